@@ -1,6 +1,416 @@
-def queries():
-    return {}
+"""Registered queries of the document operators, and the same in SQL.
 
+Queries read the whole given tables: pages, documents, conversations, labels, or notes rendered from the line items."""
 
-def oracle_sql():
-    return {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from notewarden.functions import text as T
+from notewarden.operators import corpus, filters, quality, rolling, segment, toc
+from notewarden.plans import rendered
+from notewarden.plans.rendered import table
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+N = rendered.SQL
+
+
+def query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return register
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(ORACLES)
+
+
+def _notes(spark, d, text: str = "note") -> DataFrame:
+    return rendered.notes(spark, d).select("k", "path", "file", F.col(text).alias("text"))
+
+
+TOKENS = r"regexp_extract_all({x}, '[A-Za-z]+|[0-9]+(?:\.[0-9]+)?|[一-鿿]{{2,}}')"
+
+
+def _facts(x: str) -> str:
+    t = TOKENS.format(x=x)
+    return (
+        f"list_distinct(list_filter({t}, lambda t: regexp_matches(t, '^[0-9]') AND length(replace(t, '.', '')) BETWEEN 2 AND 9))",
+        f"list_distinct(list_transform(list_filter({t}, lambda t: regexp_matches(t, '^[A-Za-z]') AND length(t) >= 3), lambda t: lower(t)))",
+    )
+
+
+def _reconcile_sql(source: str, note: str, key: str, head: str) -> str:
+    a, b = _facts(source), _facts(note)
+    return f"""{head}, f AS (SELECT {key}, {a[0]} AS sn, {a[1]} AS sw, {b[0]} AS dn, {b[1]} AS dw FROM base),
+g AS (SELECT {key}, len(sn) AS total, list_sort(list_filter(sn, lambda t: len(list_filter(dn, lambda d: contains(d, t))) = 0)) AS missing,
+  list_sort(list_filter(sw, lambda w: NOT list_contains(dw, w))) AS warn FROM f)
+SELECT {key}, total::INT AS total, len(missing)::INT AS n_missing, array_to_string(missing[1:10], ',') AS missing,
+  (total = 0 OR 1.0 - len(missing) / total >= 0.9) AS ok, array_to_string(warn[1:10], ',') AS warnings FROM g"""
+
+
+def _reconciled(df: DataFrame, key: str) -> DataFrame:
+    r = df.select(key, quality.reconcile(F.col("src"), F.col("note")).alias("r"))
+    return r.select(
+        key, F.col("r.total").cast("int").alias("total"), F.col("r.n_missing").cast("int").alias("n_missing"), F.array_join("r.missing", ",").alias("missing"), "r.ok", F.array_join("r.warnings", ",").alias("warnings")
+    )
+
+
+@query(_reconcile_sql("src", "note", "page_id", "WITH base AS (SELECT page_id, coalesce(html, '') AS src, left(coalesce(html, ''), CAST(floor(length(coalesce(html, '')) * 3 / 4) AS BIGINT)) AS note FROM pages)"))
+def reconcile_pages(spark, d):
+    """Which pages lose facts when only three quarters of them are kept?"""
+    html = T.text(F.col("html"))
+    return _reconciled(table(spark, d, "pages").select("page_id", html.alias("src"), F.left(html, F.floor(F.length(html) * 3 / 4).cast("int")).alias("note")), "page_id")
+
+
+@query(_reconcile_sql("src", "note", "k", N + ", base AS (SELECT k, src, note FROM n)"))
+def reconcile_notes(spark, d):
+    return _reconciled(rendered.notes(spark, d), "k")
+
+
+_CONTENT = r"length(regexp_replace(regexp_replace({x}, '^---\n(?s:.*?)\n---\n', ''), '[#*`|>\-\[\]()]|\s', '', 'g'))"
+
+
+@query(f"SELECT page_id, {_CONTENT.format(x='html')}::INT AS content_chars FROM pages")
+def content_length(spark, d):
+    return table(spark, d, "pages").select("page_id", T.content_length(F.col("html")).alias("content_chars"))
+
+
+@query(f"{N} SELECT k, {_CONTENT.format(x='note')} / {_CONTENT.format(x='src')} AS ratio FROM n")
+def expansion_ratio(spark, d):
+    return rendered.notes(spark, d).select("k", T.ratio(F.col("note"), F.col("src")).alias("ratio"))
+
+
+_VERDICT = rf"""{N}, ln AS (SELECT k, unnest(string_split(note, chr(10))) AS x FROM n),
+ca AS (SELECT k, sum(CASE WHEN starts_with(x, '|') THEN length(x) ELSE 0 END) AS carry, sum(CASE WHEN regexp_matches(x, '^#{{2,3}} ') THEN 1 ELSE 0 END) AS kp_note FROM ln GROUP BY k),
+su AS (SELECT k, rn, {_CONTENT.format(x='src')} AS size FROM tx), nu AS (SELECT k, rn, {_CONTENT.format(x='note')} AS size FROM tx WHERE p % 7 <> 0),
+uu AS (SELECT k, count(*) AS kp_src FROM su WHERE size > 50 GROUP BY k),
+ra AS (SELECT su.k, list_sort(list(nu.size / su.size)) AS r FROM su JOIN nu USING (k, rn) WHERE su.size > 50 GROUP BY su.k),
+v AS (SELECT n.k, {_CONTENT.format(x='note')} / {_CONTENT.format(x='src')} AS ratio, carry, kp_note, coalesce(kp_src, 0) AS kp_src,
+  coalesce(r[len(r) // 2 + 1], 1.0) AS med, coalesce(len(r), 0) AS pairs FROM n JOIN ca USING (k) LEFT JOIN uu USING (k) LEFT JOIN ra USING (k)),
+w AS (SELECT *, ratio < 0.8 AND ratio >= 0.3 AND (kp_src = 0 OR kp_note / kp_src >= 0.8) AND carry >= 10 AND (pairs = 0 OR med >= 0.4) AS exempt FROM v)
+SELECT k, carry::INT AS carry, kp_note::INT AS kp_note, kp_src::INT AS kp_src, med AS unit_median, exempt, (ratio >= 0.8 OR exempt) AS ok FROM w"""
+
+
+@query(_VERDICT)
+def expansion_verdict(spark, d):
+    """Richness of rewritten notes: ratio, points, structure and the upper median over units."""
+    df = rendered.notes(spark, d)
+    v = df.select("k", quality.expansion(F.col("src"), F.col("note")).alias("v"), F.coalesce(T.upper_median(T.unit_ratios(F.col("src"), F.col("note"))), F.lit(1.0)).alias("unit_median"))
+    return v.select("k", "v.carry", "v.kp_note", "v.kp_src", "unit_median", "v.exempt", "v.ok")
+
+
+@query(f"{N}, x AS (SELECT k, unnest(generate_series(1, len(string_split(note, chr(10))))) AS pos, unnest(string_split(note, chr(10))) AS line FROM n) SELECT k, (pos - 1)::INT AS pos, line FROM x WHERE NOT (line = '' AND pos = (SELECT max(pos) FROM x y WHERE y.k = x.k))")
+def line_explode(spark, d):
+    return rendered.notes(spark, d).select("k", F.posexplode(T.lines(F.col("note"))).alias("pos", "line"))
+
+
+_BLOCKS = rf"""{N}, l0 AS (SELECT k, unnest(range(0, len(string_split(note, chr(10))))) AS pos, unnest(string_split(note, chr(10))) AS line FROM n),
+l AS (SELECT * FROM l0 WHERE pos >= 7),
+h AS (SELECT k, pos, line, CASE WHEN regexp_matches(line, '^#{{1,6}}\s+\S') THEN length(regexp_extract(line, '^(#+)', 1)) END AS lv FROM l),
+g AS (SELECT *, count(lv) OVER (PARTITION BY k ORDER BY pos) AS b FROM h),
+q AS (SELECT k, b, max(lv) AS level, max(CASE WHEN lv IS NOT NULL THEN trim(regexp_replace(line, '^#+\s+', '')) END) AS title,
+  count(*) FILTER (WHERE lv IS NULL AND line <> '') AS n_text, min(pos) AS pos FROM g WHERE b > 0 GROUP BY k, b)"""
+
+
+@query(f"{_BLOCKS} SELECT k, (b - 1)::INT AS ord, level::INT AS level, title, n_text::INT AS n_text, CASE WHEN level = 1 THEN title ELSE 'Order ' || k || ' > ' || title END AS path FROM q")
+def assemble_blocks(spark, d):
+    """Heading blocks of rewritten notes with their breadcrumb."""
+    b = segment.blocks(_notes(spark, d), "k", "text")
+    n_text = F.size(F.filter("lines", lambda x: ~T.is_blank(x)))
+    return b.select("k", "ord", "level", "title", n_text.alias("n_text"), F.array_join("breadcrumb", " > ").alias("path"))
+
+
+@query(f"{_BLOCKS} SELECT k, (b - 1)::INT AS ord, coalesce(lead(title) OVER (PARTITION BY k ORDER BY b), '') AS next_title FROM q")
+def context_next_title(spark, d):
+    return segment.with_next_title(segment.blocks(_notes(spark, d), "k", "text"), "k").select("k", "ord", "next_title")
+
+
+@query(f"{N}, l AS (SELECT k, len(list_filter(string_split_regex(src, chr(10) || chr(10) || '+'), lambda x: trim(x, ' ' || chr(10)) <> '')) AS p FROM n) SELECT k, p::INT AS paragraphs FROM l")
+def paragraph_groups(spark, d):
+    return rendered.notes(spark, d).select("k", F.size(segment.paragraphs(T.lines(F.col("src")))).alias("paragraphs"))
+
+
+@query(
+    f"{_BLOCKS}, t AS (SELECT * FROM q WHERE level > 1) SELECT k, '## 📑 本篇目录' || chr(10) || chr(10) || string_agg(repeat('  ', CAST(level - 3 AS INT)) || '- [' || title || '](#' || "
+    "replace(regexp_replace(lower(title), '[^a-z0-9_ -]', '', 'g'), ' ', '-') || ')', chr(10) ORDER BY b) || chr(10) || chr(10) || '---' || chr(10) AS toc FROM t GROUP BY k"
+)
+def toc_render(spark, d):
+    """The contents block that a rewritten note gets."""
+    built = _notes(spark, d).select("k", toc.build(F.col("text"))["headings"].alias("h"))
+    return built.where(F.size("h") > 0).select("k", toc.render(F.col("h")).alias("toc"))
+
+
+@query(
+    f"{N}, t AS (SELECT k, note, string_agg('- [' || rn || ' · part](#' || rn || '--part)', chr(10) ORDER BY rn) AS e FROM n JOIN tx USING (k) WHERE p % 7 <> 0 GROUP BY k, n.note)"
+    " SELECT n.k, md5(CASE WHEN e IS NULL THEN n.note ELSE rtrim(replace(n.note, chr(10) || '# Order ' || n.k || chr(10), chr(10) || '# Order ' || n.k || chr(10) || '## 📑 本篇目录' || chr(10) || chr(10) || e || chr(10) || chr(10) || '---' || chr(10) || chr(10)), chr(10)) END) AS note_md5 FROM n LEFT JOIN t USING (k)".replace(
+        "n.note)", "n.note)"
+    ).replace("SELECT k, note, string_agg", "SELECT k, string_agg")
+)
+def toc_insert(spark, d):
+    """Notes with their contents block inserted; building it again changes nothing."""
+    built = _notes(spark, d).select("k", F.col("text").alias("old"), toc.build(F.col("text")).alias("b"))
+    again = F.when(F.size("b.headings") > 0, toc.build(F.col("b.text"))["text"]).otherwise(F.col("old"))
+    return built.select("k", F.md5(again).alias("note_md5"))
+
+
+@query(f"{N} SELECT k, 'Order ' || k AS title, 'order,part' AS tags, 'A summary of order ' || k || '.' AS summary, 7 AS front_end, 'Order ' || k AS heading FROM n")
+def frontmatter_fields(spark, d):
+    front = T.frontmatter(F.col("text"))
+    return _notes(spark, d).select(
+        "k", T.front_scalar(front, "title").alias("title"), F.array_join(F.try_element_at(front, F.lit("tags"))["items"], ",").alias("tags"),
+        T.clean_summary(front, F.col("text")).alias("summary"), T.front_end(F.col("text")).alias("front_end"), T.first_heading(F.col("text")).alias("heading"),
+    )
+
+
+@query(f"{N} SELECT k, md5(regexp_replace(regexp_replace(regexp_replace(src, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}', ' ', 'g'), '\\b[0-9]{{1,2}}\\.[0-9]{{1,2}}\\b', ' ', 'g'), '\\b[0-9]{{3,}}\\.[0-9]{{1,3}}\\b', ' ', 'g')) AS scrubbed_md5 FROM n")
+def metadata_scrub(spark, d):
+    return rendered.notes(spark, d).select("k", F.md5(T.scrub_meta(F.col("src"))).alias("scrubbed_md5"))
+
+
+@query(f"{N}, s AS (SELECT k, rn, {_CONTENT.format(x='src')} AS size FROM tx) SELECT k, rn::BIGINT AS num, size::INT AS size FROM s WHERE size > 50")
+def source_units(spark, d):
+    u = rendered.notes(spark, d).select("k", F.explode(T.source_units(F.col("src"))).alias("u"))
+    return u.select("k", "u.num", "u.size")
+
+
+_SCORE = r"""WITH l AS (SELECT row_number() OVER () AS r, doc_id, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '\S')) AS ls FROM documents),
+s AS (SELECT doc_id, ls, len(list_filter(ls, lambda x: regexp_matches(x, '^#{1,6}\s'))) > 0 AS head, len(list_filter(ls, lambda x: length(x) <= 1 AND NOT regexp_matches(x, '[一-鿿A-Za-z0-9]'))) AS noise FROM l)
+SELECT doc_id, (CASE WHEN len(ls) = 0 THEN 0 ELSE 40 + CASE WHEN head THEN 20 ELSE 0 END + CASE WHEN len(ls) >= 5 THEN 20 ELSE 0 END + CASE WHEN noise = 0 THEN 20 ELSE 10 END END)::DOUBLE AS score FROM s"""
+
+
+@query(_SCORE)
+def score_document(spark, d):
+    return table(spark, d, "documents").select("doc_id", quality.score(F.col("text")).alias("score"))
+
+
+WORDS = "the and, of trash that"
+
+
+@query(
+    r"""WITH w(x) AS (VALUES ('the'), ('and'), ('of'), ('trash'), ('that')),
+l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents),
+s AS (SELECT doc_id, count(*) AS score FROM l JOIN w ON contains(lower(line), x) GROUP BY doc_id)
+SELECT doc_id, score::BIGINT AS score FROM s ORDER BY score DESC, doc_id LIMIT 20"""
+)
+def search_topk(spark, d):
+    """Top documents for a query of five words; ties in the order of ids."""
+    docs = table(spark, d, "documents")
+    found = corpus.search(docs, WORDS, 20, file="doc_id", order="doc_id")
+    return found.select(F.col("file").alias("doc_id"), F.col("score").cast("bigint").alias("score"))
+
+
+@query(f"{N} SELECT 'brand ' || lower(['A','B','C','D','E'][p % 5 + 1]) || ' line' AS term, 'Brand ' || ['A','B','C','D','E'][p % 5 + 1] || ' Line' AS name, count(DISTINCT k)::INT AS n_files, min('order_' || k || '.md') AS first_file FROM tx WHERE p % 7 <> 0 GROUP BY ALL")
+def term_index(spark, d):
+    """Inverted index of bold terms."""
+    return corpus.concept_index(_notes(spark, d)).select("term", "name", F.size("files").alias("n_files"), F.get("files", 0).alias("first_file"))
+
+
+@query(
+    f"{N}, c AS (SELECT 'brand ' || lower(['A','B','C','D','E'][p % 5 + 1]) || ' line' AS term, 'order_' || k || '.md' AS file, rn, string_split(note, chr(10))[5] AS line FROM tx WHERE p % 7 <> 0),"
+    " r AS (SELECT *, row_number() OVER (PARTITION BY term, file ORDER BY rn) AS i FROM c) SELECT term, file, md5(string_agg(line, chr(10) ORDER BY rn)) AS contexts_md5 FROM r WHERE i <= 3 GROUP BY ALL"
+)
+def term_contexts(spark, d):
+    """The first lines that name each concept in each file."""
+    return corpus.concept_contexts(_notes(spark, d)).select("term", "file", F.md5(F.array_join("contexts", "\n")).alias("contexts_md5"))
+
+
+def _suppliers(spark, d) -> DataFrame:
+    s = table(spark, d, "supplier").where("s_suppkey % 3 <> 0")
+    return s.select(F.concat(F.lit("supplier_"), "s_suppkey", F.lit(".md")).alias("target"))
+
+
+_KNOWN = "kn AS (SELECT 'supplier_' || s_suppkey || '.md' AS target FROM supplier WHERE s_suppkey % 3 <> 0)"
+
+
+@query(f"{N}, {_KNOWN}, e AS (SELECT k, rn, regexp_extract(note, 'supplier_[0-9]+\\.md') AS target FROM tx WHERE p % 7 <> 0) SELECT 'notes/order_' || k || '.md' AS path, target, count(*)::BIGINT AS n FROM e WHERE target NOT IN (SELECT target FROM kn) GROUP BY ALL")
+def dangling_links(spark, d):
+    """Links of notes to suppliers that have no note: an anti-join."""
+    return corpus.dangling_links(_notes(spark, d), _suppliers(spark, d)).groupBy("path", "target").agg(F.count("*").alias("n"))
+
+
+@query(f"{N}, {_KNOWN} SELECT 'notes/order_' || k || '.md' AS path, 'prerequisites,related' AS missing, CASE WHEN 'supplier_' || (k % 150) || '.md' IN (SELECT target FROM kn) THEN '' ELSE 'next=supplier_' || (k % 150) || '.md#top' END AS broken FROM n")
+def relation_check(spark, d):
+    r = corpus.relation_check(_notes(spark, d), _suppliers(spark, d))
+    return r.select("path", F.array_join("missing", ",").alias("missing"), F.array_join("broken", ",").alias("broken"))
+
+
+@query(f"{N} SELECT k, CASE WHEN k % 3 = 2 THEN 'confidence invalid: sure' ELSE '' END AS issues, true AS schema_ok FROM n")
+def field_checks(spark, d):
+    front = T.frontmatter(F.col("text"))
+    return _notes(spark, d).select("k", F.array_join(corpus.confidence_issues(front), ",").alias("issues"), corpus.schema_check(front)["ok"].alias("schema_ok"))
+
+
+@query(
+    f"{N}, b AS (SELECT k, count(*) AS c FROM tx WHERE p % 7 <> 0 GROUP BY k), t AS (SELECT n.k, coalesce(c, 0) AS c FROM n LEFT JOIN b USING (k)) "
+    "SELECT count(*)::BIGINT AS notes, sum(c)::BIGINT AS links, sum(least(c, 10))::BIGINT AS broken_total, sum(c)::BIGINT AS all_broken, count(*)::BIGINT AS relation_broken,"
+    " (2 * count(*))::BIGINT AS relation_missing, 0::BIGINT AS citation_total, count(*) FILTER (WHERE k % 3 = 2)::BIGINT AS confidence_issues, 0::BIGINT AS schema_issues,"
+    " count(*) FILTER (WHERE k % 3 = 1)::BIGINT AS low_confidence, false AS ok FROM t"
+)
+def corpus_report(spark, d):
+    """Totals of the link, relation, citation, confidence and schema checks over all notes."""
+    return corpus.validation_totals(corpus.validation(_notes(spark, d)))
+
+
+@query(f"{N} SELECT k % 100 AS course, row_number() OVER (PARTITION BY k % 100 ORDER BY k)::INT AS n, file, 'Order ' || k AS title, 'A summary of order ' || k || '.' AS summary FROM n")
+def course_entries(spark, d):
+    """Notes of each course in natural order with title and summary."""
+    own = _notes(spark, d).withColumn("course", F.col("k") % 100)
+    return corpus.course_entries(own, ["course"]).select("course", "n", "file", "title", "summary")
+
+
+@query(
+    f"{N}, e AS (SELECT k % 100 AS course, row_number() OVER (PARTITION BY k % 100 ORDER BY k) AS i, file, k FROM n) SELECT course, md5('---' || chr(10) || 'okf_version: v0.2' || chr(10) || 'type: course-index' || chr(10) || 'course: C' || course || chr(10) || 'notes: ' || count(*) || chr(10) || '---' || chr(10) || chr(10) || '# C' || course || "
+    "' · 课程索引' || chr(10) || chr(10) || '> AI 先读本索引定位讲次与顺序，再按需打开具体笔记，勿整目录倾倒。' || chr(10) || chr(10) || '## 讲次地图' || chr(10) || chr(10) || string_agg(i || '. [[' || file || '|Order ' || k || ']] — A summary of order ' || k || '.', chr(10) ORDER BY i) || chr(10) || chr(10) || '## 统计' || chr(10) || chr(10) || '- 讲次总数：' || count(*) || chr(10) || '- 链接全部指向本课程笔记，AI 按需点开。' || chr(10)) AS index_md5 FROM e GROUP BY course"
+)
+def course_index(spark, d):
+    own = _notes(spark, d).withColumn("course", F.col("k") % 100)
+    return corpus.course_index(own, F.concat(F.lit("C"), "course"), ["course"]).select("course", F.md5("text").alias("index_md5"))
+
+
+@query(
+    "SELECT doc_id, CASE WHEN quality = 1 AND toxic = 0 AND doc_id % 101 >= 95 THEN 'pass' WHEN doc_id % 3 > 0 THEN 'repair' ELSE 'hang' END AS action, (quality = 1 AND toxic = 0 AND doc_id % 101 >= 95) AS pass FROM labels"
+)
+def gate_state(spark, d):
+    """Pass, repair or hang from labels: quality as the mechanical check, toxic as an issue."""
+    g = quality.gate(F.col("quality") == 1, F.col("toxic"), F.col("doc_id") % 101, F.col("doc_id") % 3)
+    return table(spark, d, "labels").select("doc_id", g.alias("g")).select("doc_id", "g.action", "g.pass")
+
+
+_MARKED = "CASE rn % 4 WHEN 1 THEN '## 插图笔记：' || rn WHEN 2 THEN '## 图片内容（OCR）' WHEN 3 THEN '## References' ELSE '## Section ' || rn END || chr(10) || 'see http://x.y/' || rn || ' and ' || p || chr(10)"
+
+
+def _marked(spark, d) -> DataFrame:
+    rn = F.col("rn")
+    head = F.when(rn % 4 == 1, F.concat(F.lit("## 插图笔记："), rn)).when(rn % 4 == 2, F.lit("## 图片内容（OCR）")).when(rn % 4 == 3, F.lit("## References")).otherwise(F.concat(F.lit("## Section "), rn))
+    li = table(spark, d, "lineitem")
+    num = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*rendered.ORDER))
+    li = li.select(F.col("l_orderkey").alias("k"), num.alias("rn"), F.col("l_partkey").alias("p"))
+    li = li.select("k", "rn", F.concat(head, F.lit("\nsee http://x.y/"), "rn", F.lit(" and "), "p", F.lit("\n")).alias("t"))
+    rows = li.groupBy("k").agg(F.array_sort(F.collect_list(F.struct("rn", "t"))).alias("r"))
+    return rows.select("k", F.array_join(F.transform("r", lambda x: x["t"]), "").alias("text"))
+
+
+@query(f"{N}, m AS (SELECT k, rn, {_MARKED} AS t FROM tx) SELECT k, md5(coalesce(string_agg(t, '' ORDER BY rn) FILTER (WHERE rn % 4 NOT IN (1, 2)), '')) AS text_md5, count(*) FILTER (WHERE rn % 4 = 1)::INT AS figures, count(*) FILTER (WHERE rn % 4 = 2)::INT AS ocr FROM m GROUP BY k")
+def ebook_filter(spark, d):
+    """Sources without their illustration blocks."""
+    f = _marked(spark, d).select("k", filters.drop_figures(F.col("text")).alias("f"))
+    return f.select("k", F.md5("f.text").alias("text_md5"), "f.figures", "f.ocr")
+
+
+@query(f"{N}, m AS (SELECT k, rn, '## Section ' || rn || chr(10) || 'see   and ' || p AS t FROM tx) SELECT k, md5(coalesce(string_agg(t, chr(10) ORDER BY rn) FILTER (WHERE rn % 4 = 0), '')) AS text_md5 FROM m GROUP BY k")
+def nonprose_strip(spark, d):
+    """Sources without figure blocks, references and URLs."""
+    return _marked(spark, d).select("k", F.md5(filters.strip_nonprose(F.col("text"))).alias("text_md5"))
+
+
+LINE_RULES = filters.LineRules(noise_first=(r"\b[0-9]*7[0-9]* times",), noise_last=(r"\.[0-9]*9",), short_line=40, anchored="Part", skip=(("## 3. ", "## 5. "),))
+
+
+@query(
+    rf"""{N}, l AS (SELECT k, unnest(range(0, len(string_split(src, chr(10))))) AS pos, unnest(string_split(src, chr(10))) AS line FROM n),
+f AS (SELECT k, pos, line, coalesce(last_value(CASE WHEN starts_with(line, '## 3. ') THEN true WHEN starts_with(line, '## 5. ') THEN false END IGNORE NULLS) OVER (PARTITION BY k ORDER BY pos), false) AS skip FROM l
+  WHERE NOT (line = '' AND pos = (SELECT len(string_split(src, chr(10))) - 1 FROM n WHERE n.k = l.k))),
+j AS (SELECT *, NOT skip AND NOT regexp_matches(line, '\b[0-9]*7[0-9]* times') AND (starts_with(line, '#') OR starts_with(line, 'Part') OR (NOT regexp_matches(line, '\.[0-9]*9') AND length(line) <= 40)) AS keep FROM f)
+SELECT k, count(*) FILTER (WHERE keep)::BIGINT AS kept, count(*) FILTER (WHERE NOT keep)::BIGINT AS dropped, md5(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE keep), '')) AS text_md5 FROM j GROUP BY k"""
+)
+def line_filter(spark, d):
+    """Rule-driven noise filter over the lines of sources."""
+    f = filters.filter_lines(rendered.notes(spark, d).select("k", "src"), LINE_RULES, "k", "src")
+    return f.select("k", "kept", "dropped", F.md5("text").alias("text_md5"))
+
+
+@query(
+    "WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS i, role, replace(coalesce(text, ''), chr(10), ' ') AS x FROM conversations) "
+    "SELECT conv_id, md5(CASE WHEN count(*) FILTER (WHERE role = 'user' AND x <> '') > 0 THEN string_agg(x, chr(10) ORDER BY i) FILTER (WHERE role = 'user' AND x <> '') ELSE string_agg('[0' || i || ':00] ' || CASE WHEN role = 'user' THEN '🎤 ' ELSE '📷 ' END || x, chr(10) ORDER BY i) END) AS speech_md5 FROM t GROUP BY conv_id"
+)
+def speech_track(spark, d):
+    """The speech lines of conversations written as time-coded transcripts."""
+    t = table(spark, d, "conversations").where("conv_id is not null")
+    i = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text"))
+    line = F.concat(F.lit("[0"), i, F.lit(":00] "), F.when(F.col("role") == "user", "🎤 ").otherwise("📷 "), F.translate(T.text(F.col("text")), "\n", " "))
+    rows = t.select("conv_id", F.struct(i.alias("i"), line.alias("x")).alias("r")).groupBy("conv_id").agg(F.array_sort(F.collect_list("r")).alias("r"))
+    return rows.select("conv_id", F.md5(T.speech(F.array_join(F.transform("r", lambda x: x["x"]), "\n"))).alias("speech_md5"))
+
+
+PARTS = list(quality.SIX_PARTS)
+_POINT = (
+    "'### 知识点 ' || rn || '.1 · part' || chr(10) || '- **定义**：' || p || chr(10) || '- **通俗类比**：x' || chr(10) || '- **原理**：x' || chr(10) || CASE WHEN p % 2 = 0 THEN '- **示例**：x' || chr(10) ELSE '' END"
+    " || '- **为什么重要**：x' || chr(10) || CASE WHEN p % 3 = 0 THEN '- **易错点**：①②' || chr(10) ELSE '' END || '- **❓ 示范角度**：' || repeat('①', CAST(p % 4 AS INT)) || chr(10)"
+)
+
+
+def _pointed(spark, d) -> DataFrame:
+    li = table(spark, d, "lineitem")
+    rn = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*rendered.ORDER))
+    li = li.select(F.col("l_orderkey").alias("k"), rn.alias("rn"), F.col("l_partkey").alias("p"))
+    t = F.concat(
+        F.lit("### 知识点 "), "rn", F.lit(".1 · part\n- **定义**："), "p", F.lit("\n- **通俗类比**：x\n- **原理**：x\n"), F.when(F.col("p") % 2 == 0, "- **示例**：x\n").otherwise(""),
+        F.lit("- **为什么重要**：x\n"), F.when(F.col("p") % 3 == 0, "- **易错点**：①②\n").otherwise(""), F.lit("- **❓ 示范角度**："), F.repeat(F.lit("①"), (F.col("p") % 4).cast("int")), F.lit("\n"),
+    )
+    rows = li.select("k", "rn", t.alias("t")).groupBy("k").agg(F.array_sort(F.collect_list(F.struct("rn", "t"))).alias("r"))
+    return rows.select("k", F.array_join(F.transform("r", lambda x: x["t"]), "\n").alias("note"))
+
+
+@query(f"{N}, m AS (SELECT k, rn || '.1' AS kp, concat_ws(',', CASE WHEN p % 2 <> 0 THEN '示例' END, CASE WHEN p % 3 <> 0 THEN '易错点' END) AS miss FROM tx) SELECT k, kp, miss FROM m WHERE miss <> ''")
+def six_sets(spark, d):
+    """Knowledge points without all their parts."""
+    m = _pointed(spark, d).select("k", F.explode(quality.six_sets(F.col("note"))["missing"]).alias("m"))
+    return m.select("k", "m.kp", F.array_join("m.miss", ",").alias("miss"))
+
+
+@query(f"{N} SELECT k, rn || '.1' AS kp, (p % 4)::INT AS n FROM tx WHERE p % 4 < 2")
+def demo_angles(spark, d):
+    """Knowledge points with too few demonstration angles."""
+    return _pointed(spark, d).select("k", F.explode(quality.demo_angles(F.col("note"))["low"]).alias("m")).select("k", "m.kp", "m.n")
+
+
+@query()
+def gate_reports(spark, d):
+    """The whole gate report of every rendered pair."""
+    r = quality.gate_report(rendered.notes(spark, d), "k", "note", "src")
+    return r.select("k", "pass", F.col("reconcile.coverage").alias("coverage"), F.col("reconcile.ok").alias("facts_ok"), F.col("expansion.ok").alias("rich"), F.size("variants").alias("n_variants"), F.array_join("problems", "; ").alias("problems"))
+
+
+@query()
+def term_variants(spark, d):
+    """Near-miss spellings: each document's longer words outside ASCII against a copy that swaps one letter."""
+    docs = table(spark, d, "documents").select("doc_id", F.regexp_replace("text", "[A-Za-z]+", " ").alias("src"))
+    cjk = F.translate("src", "éèêçàüöäßñóíáú", "一二三四五六七八九十百千万亿")
+    pairs = docs.select("doc_id", F.regexp_replace(cjk, " ", "").alias("src")).withColumn("note", F.translate("src", "四", "五"))
+    return quality.term_variants(pairs, "doc_id", F.col("src"), F.col("note"))
+
+
+@query()
+def chunk_documents(spark, d):
+    """Chunks of whole documents with overlap."""
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("doc"), "text")
+    c = segment.chunks(docs, max_chars=2000, overlap_chars=100)
+    return c.select("doc", "ord", F.length("text").alias("chars"), F.md5("text").alias("text_md5"), "overlap")
+
+
+@query(
+    "WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS ord, text, role FROM conversations WHERE regexp_matches(coalesce(text, ''), '\\S')), "
+    "g AS (SELECT *, sum(CASE WHEN prev = 'user' THEN 0 ELSE 1 END) OVER (PARTITION BY conv_id ORDER BY ord) - 1 AS unit FROM (SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY ord) AS prev FROM t)) "
+    "SELECT conv_id, unit::INT AS ord, count(*)::INT AS merged_blocks, md5(string_agg(text, chr(10) ORDER BY ord)) AS text_md5 FROM g GROUP BY conv_id, unit"
+)
+def rolling_compile(spark, d):
+    """The rolling fold over conversations; a user's turn asks to be merged with the next."""
+    t = table(spark, d, "conversations").where("conv_id is not null")
+    order = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text")) - 1
+    chunks = t.select("conv_id", order.alias("ord"), F.concat(F.when(F.col("role") == "user", "u").otherwise("-"), T.text(F.col("text"))).alias("text"), F.array(F.col("role")).alias("breadcrumb"))
+    chunks = chunks.where(F.regexp_like(F.substring("text", 2, 1 << 30), F.lit(r"\S")))
+    units = rolling.rolling_compile(chunks, lambda text, summary: (text[1:], summary, text[0] == "u"), key="conv_id")
+    return units.select("conv_id", "ord", "merged_blocks", F.md5("rewritten").alias("text_md5"))
