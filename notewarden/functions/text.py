@@ -7,6 +7,8 @@ Null texts count as empty.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,14 +35,23 @@ SUMMARY_MAX = 60
 NO_TEXTS = "array<string>"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with the value computed once for each row, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def text(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
 
+def after(a: Column, n: Column) -> Column:
+    """The elements of an array behind the first n."""
+    return F.slice(a, n + 1, F.greatest(F.size(a), F.lit(1)))
+
+
 def lines(c: Column) -> Column:
     """The lines of a text; a final line end opens no further line."""
-    parts = F.split(text(c), LINE_END, -1)
-    return F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
+    return let(F.split(text(c), LINE_END, -1), lambda p: F.when(F.element_at(p, -1) == "", F.slice(p, 1, F.size(p) - 1)).otherwise(p))
 
 
 def strip(c: Column) -> Column:
@@ -77,46 +88,56 @@ def without_bom(c: Column) -> Column:
 
 def heading(line: Column) -> Column:
     """struct(level, title) of a heading line, else null: hash headings, ordinal ones, and listed words."""
-    bare = strip(line)
     hashes = F.regexp_extract(line, HASH_HEADING, 1)
-    plain = (F.length(bare) <= PLAIN_HEADING_MAX) & (F.regexp_like(bare, F.lit(ORDINAL_HEADING)) | bare.isin(WORD_HEADINGS))
-    return F.when(hashes != "", F.struct(F.length(hashes).alias("level"), strip(F.regexp_extract(line, HASH_HEADING, 2)).alias("title"))).when(
-        plain, F.struct(F.lit(2).alias("level"), bare.alias("title"))
-    )
+
+    def plain(bare: Column) -> Column:
+        named = F.regexp_like(bare, F.lit(ORDINAL_HEADING)) | bare.isin(WORD_HEADINGS)
+        return F.when((F.length(bare) <= PLAIN_HEADING_MAX) & named, F.struct(F.lit(2).alias("level"), bare.alias("title")))
+
+    marked = F.struct(F.length(hashes).alias("level"), strip(F.regexp_extract(line, HASH_HEADING, 2)).alias("title"))
+    return F.when(hashes != "", marked).otherwise(let(strip(line), plain))
+
+
+def _is_rule(x: Column) -> Column:
+    return F.regexp_like(strip(x), F.lit(r"^---\s*\z"))
 
 
 def _front_end(ls: Column) -> Column:
     """Number of lines of a closed frontmatter block, else 0."""
-    fence = F.transform(ls, lambda x: F.regexp_like(strip(x), F.lit(r"^---\s*\z")))
-    close = F.array_position(F.slice(fence, 2, F.greatest(F.size(fence), F.lit(1))), True)
-    return F.when((F.size(fence) > 0) & F.get(fence, 0) & (close > 0), close.cast("int") + 1).otherwise(F.lit(0))
+    close = F.array_position(F.transform(F.slice(ls, 2, F.greatest(F.size(ls), F.lit(1))), _is_rule), True).cast("int")
+    opened = F.coalesce(_is_rule(F.get(ls, 0)), F.lit(False))
+    return F.when(opened, let(close, lambda n: F.when(n > 0, n + 1).otherwise(0))).otherwise(F.lit(0))
 
 
 def front_end(c: Column) -> Column:
     """1-based number of the line that closes the frontmatter, 0 without one."""
-    return _front_end(lines(without_bom(c)))
+    return let(lines(without_bom(c)), _front_end)
 
 
 def body_lines(c: Column) -> Column:
-    ls = lines(without_bom(c))
-    return F.slice(ls, _front_end(ls) + 1, F.greatest(F.size(ls), F.lit(1)))
+    return let(lines(without_bom(c)), lambda ls: after(ls, _front_end(ls)))
 
 
 def skip_frontmatter(c: Column) -> Column:
     bare = without_bom(c)
-    return F.when(front_end(c) > 0, F.array_join(body_lines(c), "\n")).otherwise(bare)
+    return let(lines(bare), lambda ls: let(_front_end(ls), lambda n: F.when(n > 0, F.array_join(after(ls, n), "\n")).otherwise(bare)))
 
 
 def frontmatter(c: Column) -> Column:
     """map(key -> struct(is_list, items)); the last of equal keys wins; an open block goes on to the end."""
-    ls = lines(without_bom(c))
-    fence = F.transform(ls, lambda x: F.regexp_like(strip(x), F.lit(r"^---\s*\z")))
-    inner = F.slice(ls, 2, F.when(_front_end(ls) > 0, _front_end(ls) - 2).otherwise(F.size(ls)))
-    inner = F.when((F.size(ls) > 0) & F.get(fence, 0), inner).otherwise(texts())
-    kept = F.filter(inner, lambda x: F.regexp_like(x, F.lit(FRONT_LINE)))
+
+    def inner(ls: Column) -> Column:
+        own = let(_front_end(ls), lambda n: F.slice(ls, 2, F.when(n > 0, n - 2).otherwise(F.size(ls))))
+        return F.when(F.coalesce(_is_rule(F.get(ls, 0)), F.lit(False)), own).otherwise(texts())
+
+    kept = F.filter(let(lines(without_bom(c)), inner), lambda x: F.regexp_like(x, F.lit(FRONT_LINE)))
     pairs = F.transform(kept, lambda x: F.struct(F.regexp_extract(x, FRONT_LINE, 1).alias("k"), F.regexp_extract(x, FRONT_LINE, 2).alias("v")))
-    last = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.greatest(F.size(pairs), F.lit(1))), lambda q: q["k"] == p["k"]))
-    return F.map_from_entries(F.transform(last, lambda p: F.struct(p["k"], _front_value(p["v"]))))
+    return F.map_from_entries(F.transform(let(pairs, lambda p: last_of_each(p)), lambda p: F.struct(p["k"], _front_value(p["v"]))))
+
+
+def last_of_each(pairs: Column, name: str = "k") -> Column:
+    """Of array elements with an equal field the last."""
+    return F.filter(pairs, lambda p, i: ~F.exists(after(pairs, i + 1), lambda q: q[name] == p[name]))
 
 
 def _front_value(v: Column) -> Column:
@@ -128,8 +149,7 @@ def _front_value(v: Column) -> Column:
 
 def front_scalar(front: Column, key: str) -> Column:
     """A scalar entry's value, null if it is absent or a list."""
-    entry = F.try_element_at(front, F.lit(key))
-    return F.when(~entry["is_list"], F.get(entry["items"], 0))
+    return let(F.try_element_at(front, F.lit(key)), lambda e: F.when(~e["is_list"], F.get(e["items"], 0)))
 
 
 def first_heading(c: Column) -> Column:
@@ -174,9 +194,9 @@ def links(c: Column) -> Column:
 
 def bold_terms(c: Column) -> Column:
     """Bold Latin terms in order; of equal spellings (without regard to case) the first stays."""
-    found = F.transform(all_matches(c, BOLD_TERM, 1), strip)
-    low = F.transform(found, F.lower)
-    return F.filter(found, lambda t, i: F.array_position(low, F.lower(t)) == i + 1)
+    found = F.transform(all_matches(c, BOLD_TERM, 1), lambda t: F.struct(strip(t).alias("t"), F.lower(strip(t)).alias("low")))
+    first = lambda all_: F.filter(all_, lambda t, i: F.array_position(all_["low"], t["low"]) == i + 1)
+    return F.transform(let(found, first), lambda t: t["t"])
 
 
 def query_words(q: Column) -> Column:
@@ -192,7 +212,7 @@ def contexts(c: Column, concept: Column, most: int = 3, longest: int = 200) -> C
 def speech(c: Column) -> Column:
     """The speech lines of a time-coded transcript, or the whole text where it has none."""
     said = all_matches(c, r"\[\d+:\d+\] 🎤 (.+)", 1)
-    return F.when(F.size(said) > 0, F.array_join(said, "\n")).otherwise(text(c))
+    return let(said, lambda s: F.when(F.size(s) > 0, F.array_join(s, "\n")).otherwise(text(c)))
 
 
 def slug(title: Column) -> Column:
@@ -210,8 +230,7 @@ def content_length(c: Column) -> Column:
 
 
 def ratio(note: Column, source: Column) -> Column:
-    n = content_length(source)
-    return F.when(n == 0, F.lit(0.0)).otherwise(content_length(note) / n)
+    return let(content_length(source), lambda n: F.when(n == 0, F.lit(0.0)).otherwise(content_length(note) / n))
 
 
 def carry_chars(c: Column) -> Column:
@@ -238,8 +257,7 @@ def source_sections(c: Column) -> Column:
 
 def numbered_sections(c: Column, pattern: str) -> Column:
     """array(num, size) of the sections that a numbered heading opens, each up to the next such heading."""
-    parts = F.slice(F.split(text(c), rf"(?md)(?={pattern})"), 1, 1 << 30)
-    own = F.filter(parts, lambda p: F.regexp_like(p, F.lit(rf"(?md)\A{pattern}")))
+    own = F.filter(F.split(text(c), rf"(?md)(?={pattern})"), lambda p: F.regexp_like(p, F.lit(rf"(?md)\A{pattern}")))
     return F.transform(own, lambda p: F.struct(F.regexp_extract(p, rf"(?md)\A{pattern}", 1).cast("bigint").alias("num"), content_length(p).alias("size")))
 
 
@@ -252,22 +270,18 @@ def source_units(c: Column, least: int = UNIT_MIN) -> Column:
     return F.filter(numbered_sections(c, SOURCE_UNIT), lambda u: u["size"] > least)
 
 
-def last_by_number(units: Column) -> Column:
-    """Of units with one number the last."""
-    return F.filter(units, lambda u, i: ~F.exists(F.slice(units, i + 2, F.greatest(F.size(units), F.lit(1))), lambda v: v["num"] == u["num"]))
-
-
 def unit_ratios(source: Column, note: Column, least: int = UNIT_MIN) -> Column:
-    """Note size over source size of the units that both have."""
-    theirs = last_by_number(numbered_sections(note, NOTE_UNIT))
-    ours = F.filter(last_by_number(numbered_sections(source, SOURCE_UNIT)), lambda u: u["size"] > least)
-    size = lambda u: F.get(F.filter(theirs, lambda v: v["num"] == u["num"]), 0)["size"]
-    return F.filter(F.transform(ours, lambda u: size(u) / u["size"]), lambda r: r.isNotNull())
+    """Note size over source size of the units that both have; of units with one number the last counts."""
+    theirs = let(numbered_sections(note, NOTE_UNIT), lambda u: last_of_each(u, "num"))
+    ours = F.filter(let(numbered_sections(source, SOURCE_UNIT), lambda u: last_of_each(u, "num")), lambda u: u["size"] > least)
+    by_num = lambda t: F.map_from_entries(F.transform(t, lambda u: F.struct(u["num"], u["size"])))
+    sizes = lambda m: F.transform(ours, lambda u: F.try_element_at(m, u["num"]) / u["size"])
+    return F.array_compact(let(by_num(theirs), sizes))
 
 
 def upper_median(values: Column) -> Column:
     """The element at size // 2 of the sorted values, null for none."""
-    return F.get(F.array_sort(values), F.floor(F.size(values) / 2).cast("int"))
+    return let(F.array_sort(values), lambda v: F.get(v, F.floor(F.size(v) / 2).cast("int")))
 
 
 # cleaning
@@ -306,8 +320,6 @@ def key_values(c: Column) -> Column:
     """map of ``key: value`` lines, the fallback for replies without JSON."""
     pattern = r"^\s*[\"']?([\w\x{4e00}-\x{9fff}]+)[\"']?\s*[:：]\s*(.+?)\s*$"
     own = F.filter(lines(c), lambda x: F.regexp_like(x, F.lit(pattern)))
-    pairs = F.transform(
-        own,
-        lambda x: F.struct(F.regexp_extract(x, pattern, 1).alias("k"), F.regexp_replace(F.regexp_extract(x, pattern, 2), "^[\"',]+|[\"',]+\\z", "").alias("v")),
-    )
-    return F.map_from_entries(F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.greatest(F.size(pairs), F.lit(1))), lambda q: q["k"] == p["k"])))
+    value = lambda x: F.regexp_replace(F.regexp_extract(x, pattern, 2), "^[\"',]+|[\"',]+\\z", "")
+    pairs = F.transform(own, lambda x: F.struct(F.regexp_extract(x, pattern, 1).alias("k"), value(x).alias("v")))
+    return F.map_from_entries(let(pairs, lambda p: last_of_each(p)))

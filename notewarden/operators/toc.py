@@ -35,10 +35,14 @@ def headings(c: Column) -> Column:
 
 def render(heads: Column) -> Column:
     """The contents block of array(level, title), empty for none."""
-    base = F.array_min(F.transform(heads, lambda h: h["level"]))
-    item = lambda h: F.concat(F.repeat(F.lit("  "), h["level"] - base), F.lit("- ["), h["title"], F.lit("](#"), T.slug(h["title"]), F.lit(")"))
-    block = F.concat(F.lit(f"## {TITLE}\n\n"), F.array_join(F.transform(heads, item), "\n"), F.lit("\n\n---\n"))
-    return F.when(F.size(heads) > 0, block).otherwise(F.lit(""))
+
+    def block(hs: Column) -> Column:
+        base = F.array_min(hs["level"])
+        item = lambda h, b: F.concat(F.repeat(F.lit("  "), h["level"] - b), F.lit("- ["), h["title"], F.lit("](#"), T.slug(h["title"]), F.lit(")"))
+        items = T.let(base, lambda b: F.transform(hs, lambda h: item(h, b)))
+        return F.when(F.size(hs) > 0, F.concat(F.lit(f"## {TITLE}\n\n"), F.array_join(items, "\n"), F.lit("\n\n---\n"))).otherwise(F.lit(""))
+
+    return T.let(heads, block)
 
 
 def _is_title(x: Column) -> Column:
@@ -46,40 +50,64 @@ def _is_title(x: Column) -> Column:
 
 
 def has_toc(c: Column) -> Column:
-    return F.exists(T.lines(c), _is_title)
+    return F.contains(T.text(c), F.lit(TITLE)) & F.exists(T.lines(c), _is_title)
+
+
+def _cut(ls: Column) -> Column:
+    """Lines without the contents block that they hold."""
+    at = F.array_position(F.transform(ls, _is_title), True).cast("int")
+
+    def block_end(rest: Column) -> Column:
+        foreign = F.array_position(F.transform(rest, lambda x: ~((x == "") | x.startswith("- ["))), True).cast("int")
+        return T.let(foreign, lambda n: F.when(n == 0, F.size(rest)).when(F.get(rest, n - 1) == "---", n).otherwise(n - 1))
+
+    def blanks(rest: Column) -> Column:
+        first = F.array_position(F.transform(rest, lambda x: x != ""), True).cast("int")
+        return T.let(first, lambda n: F.when(n == 0, F.size(rest)).otherwise(n - 1))
+
+    def without(a: Column) -> Column:
+        tail = F.transform(T.after(ls, a), T.strip)
+        gone = T.let(tail, lambda r: T.let(block_end(r), lambda n: n + blanks(T.after(r, n))))
+        return F.concat(F.slice(ls, 1, a - 1), T.after(ls, a + gone))
+
+    return T.let(at, without)
 
 
 def strip_toc(c: Column) -> Column:
     """Without the contents block: its title, entries and blank lines, its closing rule and the blank lines after that."""
-    ls = T.lines(c)
-    at = F.array_position(F.transform(ls, _is_title), True).cast("int")
-    rest = F.transform(F.slice(ls, at + 1, F.greatest(F.size(ls), F.lit(1))), T.strip)
-    foreign = F.array_position(F.transform(rest, lambda x: ~((x == "") | x.startswith("- ["))), True).cast("int")
-    length = F.when(foreign == 0, F.size(rest)).when(F.get(rest, foreign - 1) == "---", foreign).otherwise(foreign - 1)
-    after = F.slice(rest, length + 1, F.greatest(F.size(rest), F.lit(1)))
-    text_at = F.array_position(F.transform(after, lambda x: x != ""), True).cast("int")
-    end = at + length + F.when(text_at == 0, F.size(after)).otherwise(text_at - 1)
-    kept = F.concat(F.slice(ls, 1, at - 1), F.slice(ls, end + 1, F.greatest(F.size(ls), F.lit(1))))
-    return F.when(has_toc(c), F.array_join(kept, "\n")).otherwise(T.text(c))
+    return F.when(has_toc(c), F.array_join(T.let(T.lines(c), _cut), "\n")).otherwise(T.text(c))
+
+
+def _insert(text: Column, heads: Column) -> Column:
+    """The text with the contents block of its headings."""
+
+    def place(ls: Column, front: Column) -> Column:
+        body = F.transform(T.after(ls, front), T.strip)
+        first = lambda b: F.array_position(F.transform(b, lambda x: x != ""), True).cast("int")
+        main = lambda b, n: (n > 0) & F.regexp_like(F.coalesce(F.get(b, n - 1), F.lit("")), F.lit(r"^#\s+"))
+        return T.let(body, lambda b: T.let(first(b), lambda n: F.when(main(b, n), front + n).otherwise(front)))
+
+    def joined(ls: Column) -> Column:
+        at = T.let(T.front_end(text), lambda front: place(ls, front))
+        return T.let(at, lambda n: F.array_join(F.concat(F.slice(ls, 1, n), F.array(render(heads)), T.after(ls, n)), "\n"))
+
+    return T.let(T.lines(text), joined)
 
 
 def build(c: Column, refresh: bool = False) -> Column:
     """struct(text, headings): with a contents block after the frontmatter or a leading main heading.
 
     A text that has one stays as it is unless refresh is set; the main heading itself is not listed."""
-    bare = T.without_bom(c)
-    plain = strip_toc(bare)
-    all_heads = headings(plain)
-    heads = F.when(F.get(all_heads, 0)["level"] == 1, F.slice(all_heads, 2, F.greatest(F.size(all_heads), F.lit(1)))).otherwise(all_heads)
-    ls = T.lines(plain)
-    front = T.front_end(plain)
-    body = F.transform(F.slice(ls, front + 1, F.greatest(F.size(ls), F.lit(1))), T.strip)
-    first = F.array_position(F.transform(body, lambda x: x != ""), True).cast("int")
-    main = (first > 0) & F.regexp_like(F.coalesce(F.get(body, first - 1), F.lit("")), F.lit(r"^#\s+"))
-    at = F.when(main, front + first).otherwise(front)
-    new = F.array_join(F.concat(F.slice(ls, 1, at), F.array(render(heads)), F.slice(ls, at + 1, F.greatest(F.size(ls), F.lit(1)))), "\n")
-    keep = F.struct(bare.alias("text"), headings(bare).alias("headings"))
-    made = F.when(F.size(heads) > 0, F.struct(new.alias("text"), heads.alias("headings"))).otherwise(F.struct(plain.alias("text"), heads.alias("headings")))
-    nothing = F.struct(T.text(c).alias("text"), F.array().cast("array<struct<level:int,title:string>>").alias("headings"))
-    stays = F.lit(False) if refresh else has_toc(bare)
-    return F.when(T.is_blank(c), nothing).when(stays, keep).otherwise(made)
+    listed = lambda hs: F.when(F.get(hs, 0)["level"] == 1, T.after(hs, F.lit(1))).otherwise(hs)
+    pair = lambda text, hs: F.struct(text.alias("text"), hs.alias("headings"))
+
+    def made(text: Column) -> Column:
+        new = lambda hs: pair(F.when(F.size(hs) > 0, _insert(text, hs)).otherwise(text), hs)
+        return T.let(T.let(headings(text), listed), new)
+
+    def of(bare: Column) -> Column:
+        stays = F.lit(False) if refresh else has_toc(bare)
+        return F.when(stays, pair(bare, headings(bare))).otherwise(T.let(strip_toc(bare), made))
+
+    none = F.array().cast("array<struct<level:int,title:string>>")
+    return F.when(T.is_blank(c), pair(T.text(c), none)).otherwise(T.let(T.without_bom(c), of))
