@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # --- fixed values: the document conventions that results have to follow ---
-LINE_END = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x85  ]"
+LINE_END = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x85\x{2028}\x{2029}]"
 SPACE = r"[\s\x1C-\x1F\x85\p{Z}]"
 HASH_HEADING = r"^(#{1,6})\s+(.+?)\s*$"
 ORDINAL_HEADING = r"^第[一二三四五六七八九十百0-9]+\s*[章讲节篇课部分]"
