@@ -26,7 +26,7 @@ other columns pass through.
 
 from __future__ import annotations
 
-import re
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -38,9 +38,8 @@ from notewarden.llm.common import cut, space_words
 WINDOW = 13
 GRAM = 5
 MOST_RUNS = 256
-BATCH_WORDS = 300_000
+BATCH_BYTES = 2_000_000
 BITMAP_BITS = 1 << 24
-WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -53,57 +52,77 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-class _Codes(dict):
-    """64-bit hash of each word; forgets all words when it has grown large."""
+_SPACE = np.zeros(256, bool)
+_SPACE[list(b" \t\n\x0b\x0c\r")] = True
+_BYTE = _mix(np.arange(1, 257, dtype=np.uint64) * _BASE)  # a fixed random number for each byte
+_powers: dict[str, np.ndarray] = {}
 
-    def __missing__(self, word: bytes) -> int:
-        from xxhash import xxh3_64_intdigest
 
-        if len(self) > 300_000:
-            self.clear()
-        self[word] = code = xxh3_64_intdigest(word)
-        return code
+def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, modulo 2**64."""
+    if len(_powers.get("up", ())) < n:
+        size = max(n, 1 << 16) + (n >> 1)
+        _powers["up"] = np.cumprod(np.concatenate(([_U(1)], np.full(size, _BASE))))
+        _powers["down"] = np.cumprod(np.concatenate(([_U(1)], np.full(size, _INVERSE))))
+    return _powers["up"], _powers["down"]
 
 
-def runs_of(texts: list[bytes], codes: _Codes) -> tuple[np.ndarray, ...]:
-    """Of each run: text, first and last window start in the text, anchor, hash of its words."""
-    words = [t.split() for t in texts]
-    n = np.array([len(w) for w in words])
-    total = int(n.sum())
+def _range_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of each range of the values, the same wherever the range stands."""
+    up, down = _power(len(values) + 1)
+    sums = np.concatenate(([_U(0)], np.cumsum(values * up[: len(values)])))
+    return _mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
+
+
+class Words(NamedTuple):
+    """The words of several texts, one after the other."""
+
+    text: np.ndarray  # number of each word's text
+    start: np.ndarray  # its first and last byte + 1 in the joined texts
+    end: np.ndarray
+    first: np.ndarray  # number of the first word of each text
+    joined: bytes
+
+
+def words_of(texts: list[bytes]) -> Words:
+    joined = b"\n".join(texts)
+    space = np.concatenate(([True], _SPACE[np.frombuffer(joined, np.uint8)], [True]))
+    edge = np.flatnonzero(space[1:] != space[:-1])
+    start, end = edge[0::2], edge[1::2]
+    begins = np.cumsum([0] + [len(t) + 1 for t in texts])
+    first = np.searchsorted(start, begins[:-1])
+    text = np.repeat(np.arange(len(texts)), np.diff(np.append(first, len(start))))
+    return Words(text, start, end, first, joined)
+
+
+def runs_of(w: Words) -> tuple[np.ndarray, ...]:
+    """Of each run: text, number of the first word of its first and last window, anchor, hash of its words."""
+    total = len(w.start)
     empty = np.empty(0, np.int64)
-    if total < WINDOW:
+    size, width = total - WINDOW + 1, WINDOW - GRAM + 1
+    if size < 1:
         return empty, empty, empty, empty, empty
-    c = np.fromiter((codes[w] for ws in words for w in ws), np.uint64, total)
-    g = np.zeros(total - GRAM + 1, np.uint64)
+    start = np.flatnonzero(w.text[WINDOW - 1 :] == w.text[:size])
+    if not len(start):
+        return empty, empty, empty, empty, empty
+    code = _range_hash(_BYTE[np.frombuffer(w.joined, np.uint8)], w.start, w.end)
+    gram = np.zeros(total - GRAM + 1, np.uint64)
     for j in range(GRAM):
-        g = g * _BASE + c[j : total - GRAM + 1 + j]
-    g = _mix(g)
-    width, size = WINDOW - GRAM + 1, total - WINDOW + 1
-    low, at = g[:size].copy(), np.zeros(size, np.int8)
+        gram = gram * _BASE + code[j : total - GRAM + 1 + j]
+    gram = _mix(gram)
+    low, at = gram[:size].copy(), np.zeros(size, np.int8)
     for j in range(1, width):
-        less = g[j : size + j] < low
-        np.copyto(low, g[j : size + j], where=less)
+        less = gram[j : size + j] < low
+        np.copyto(low, gram[j : size + j], where=less)
         at[less] = j
-    first = np.concatenate(([0], np.cumsum(n)[:-1]))
-    doc = np.repeat(np.arange(len(n)), n)[:size]
-    start = np.arange(size)
-    ok = start + WINDOW <= (first + n)[doc]
-    start, doc = start[ok], doc[ok]
-    if not len(start):
-        return empty, empty, empty, empty, empty
-    anchor = start + at[ok]
-    head = np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])))
-    a = start[head]
-    b = start[np.concatenate((np.flatnonzero(head)[1:], [len(start)])) - 1]
-    power = np.cumprod(np.concatenate(([_U(1)], np.full(total, _BASE))))
-    back = np.cumprod(np.concatenate(([_U(1)], np.full(total, _INVERSE))))
-    sums = np.concatenate(([_U(0)], np.cumsum(c * power[:-1])))
-    run = _mix((sums[b + WINDOW] - sums[a]) * back[a] + (b - a).astype(np.uint64))
-    d = doc[head]
-    return d, a - first[d], b - first[d], g[anchor[head]].view(np.int64), run.view(np.int64)
-
-
-def _batches(frames, most: int = BATCH_WORDS * 6):
+    text, anchor = w.text[start], start + at[start]
+    head = np.flatnonzero(np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1]))))
+    a, b = start[head], start[np.append(head[1:], len(start)) - 1]
+    run = _range_hash(code, a, b + WINDOW)
+    return text[head], a, b, gram[anchor[head]].view(np.int64), run.view(np.int64)
+
+
+def _batches(frames, most: int = BATCH_BYTES):
     """Pieces of the frames with about most bytes of text each."""
     for f in frames:
         sizes = f["text"].map(len).to_numpy().cumsum() // most
@@ -112,17 +131,15 @@ def _batches(frames, most: int = BATCH_WORDS * 6):
 
 
 def _run_rows(frames):
-    codes = _Codes()
     for f in _batches(frames):
-        d, _, _, fp, run = runs_of(list(f["text"]), codes)
+        d, _, _, fp, run = runs_of(words_of(list(f["text"])))
         doc, key = f["doc"].to_numpy()[d], f["key"].to_numpy()[d]
-        order = np.lexsort((key, doc, run, fp))
+        order = np.lexsort((doc, run))
         fp, run, doc, key = fp[order], run[order], doc[order], key[order]
-        same = np.concatenate(([False], (fp[1:] == fp[:-1]) & (run[1:] == run[:-1])))
-        again = same & np.concatenate(([False], (doc[1:] == doc[:-1]) & (key[1:] == key[:-1])))
+        same = np.concatenate(([False], (fp[1:] == fp[:-1]) & (run[1:] == run[:-1])))[: len(fp)]
         low = doc[np.maximum.accumulate(np.where(same, 0, np.arange(len(doc))))]
-        out = pd.DataFrame({"fp": fp, "run": run, "doc": doc, "key": key, "sure": doc > low})
-        yield out[~again]
+        again = same & np.concatenate(([False], (doc[1:] == doc[:-1]) & (key[1:] == key[:-1])))[: len(fp)]
+        yield pd.DataFrame({"fp": fp, "run": run, "doc": doc, "key": key, "sure": doc > low})[~again]
 
 
 def _verdicts(frames):
@@ -249,42 +266,69 @@ def _match_shards(frames):
 
 
 def _passages(frames):
-    """Contested runs of each text with their words; runs of frequent anchors (kind 2) with one hash for each window."""
-    codes = _Codes()
-    for f in frames:
-        rows = []
-        for doc, key, text, few, many in zip(f["doc"], f["key"], f["text"], f["few"], f["many"], strict=True):
-            few, many = set(few), set(many)
-            words = text.split()
-            _, a, b, fp, run = runs_of([text], codes)
-            for i, j, p, r in zip(a.tolist(), b.tolist(), fp.tolist(), run.tolist(), strict=True):
-                if r in few:
-                    rows.append((p, doc, key, r, b" ".join(words[i : j + WINDOW]), None))
-                elif r in many:
-                    rows.append((p, doc, key, r, None, [b" ".join(words[k : k + WINDOW]) for k in range(i, j + 1)]))
+    """Contested runs of each text with their words; runs of frequent anchors (kind 2) with each of their windows."""
+    for f in _batches(frames):
+        w = words_of(list(f["text"]))
+        d, a, b, fp, run = runs_of(w)
+        few = [set(x) for x in f["few"]]
+        many = [set(x) for x in f["many"]]
+        asked = np.flatnonzero(np.isin(run, [r for s in (*few, *many) for r in s]))
+        docs, keys, rows = f["doc"].to_numpy(), f["key"].to_numpy(), []
+        part = lambda i, j: b" ".join(w.joined[w.start[i] : w.end[j - 1]].split())
+        for k, i, r, p, x, y in zip(asked.tolist(), d[asked].tolist(), run[asked].tolist(), fp[asked].tolist(), a[asked].tolist(), b[asked].tolist(), strict=True):
+            if r in few[i]:
+                rows.append((p, docs[i], keys[i], r, part(x, y + WINDOW), None))
+            elif r in many[i]:
+                rows.append((p, docs[i], keys[i], r, None, [part(j, j + WINDOW) for j in range(x, y + 1)]))
         yield pd.DataFrame(rows, columns=["fp", "doc", "key", "run", "passage", "windows"])
 
 
-def _without(text: bytes, windows: list[int]) -> str:
-    """The text without the words of the windows that start at these words."""
-    places = [m.span() for m in WORD.finditer(text)]
-    gone = np.zeros(len(places) + 1, np.int64)
-    np.add.at(gone, np.array(windows, np.int64), 1)
-    np.add.at(gone, np.array(windows, np.int64) + WINDOW, -1)
-    kept = np.flatnonzero(np.cumsum(gone)[:-1] == 0)
-    if len(kept) == len(places):
-        return text.decode()
-    pieces, before = [], None
-    breaks = np.flatnonzero(np.diff(kept) > 1)
-    for a, b in zip(np.concatenate(([0], breaks + 1)), np.concatenate((breaks, [len(kept) - 1])), strict=True):
-        if not len(kept):
-            break
-        lo, hi = places[kept[a]][0], places[kept[b]][1]
-        if before is not None:
-            pieces.append(b"\n" if b"\n" in text[before:lo] else b" ")
-        pieces.append(text[lo:hi])
-        before = hi
-    return b"".join(pieces).decode()
+def _without(texts: list[bytes], removed: np.ndarray, w: Words) -> list[str]:
+    """The texts without the words that are marked as removed."""
+    out = []
+    ends = np.append(w.first[1:], len(w.start))
+    begins = np.cumsum([0] + [len(t) + 1 for t in texts])
+    for i, text in enumerate(texts):
+        gone = removed[w.first[i] : ends[i]]
+        if not gone.any():
+            out.append(text.decode())
+            continue
+        kept = np.flatnonzero(~gone) + w.first[i]
+        turn = np.flatnonzero(np.diff(kept) > 1) + 1
+        lo = w.start[kept[np.concatenate(([0], turn))]].tolist() if len(kept) else []
+        hi = w.end[kept[np.concatenate((turn - 1, [len(kept) - 1]))]].tolist() if len(kept) else []
+        pieces = []
+        for k, (x, y) in enumerate(zip(lo, hi, strict=True)):
+            if k:
+                pieces.append(b"\n" if b"\n" in w.joined[hi[k - 1] : x] else b" ")
+            pieces.append(w.joined[x:y])
+        assert not lo or lo[0] >= begins[i]
+        out.append(b"".join(pieces).decode())
+    return out
+
+
+def _cut_out(texts: list[bytes], full: list, partial: list) -> list[str]:
+    w = words_of(texts)
+    d, a, b, _, run = runs_of(w)
+    whole = [set(x) if x is not None else set() for x in full]
+    masks: list[dict[int, int]] = []
+    for parts in partial:
+        own: dict[int, int] = {}
+        for p in parts if parts is not None else ():
+            own[p["run"]] = own.get(p["run"], 0) | p["mask"]
+        masks.append(own)
+    asked = np.flatnonzero(np.isin(run, [r for s in (*whole, *masks) for r in s]))
+    change = np.zeros(len(w.start) + 1, np.int64)
+    for i, r, x, y in zip(d[asked].tolist(), run[asked].tolist(), a[asked].tolist(), b[asked].tolist(), strict=True):
+        if r in whole[i]:
+            change[x] += 1
+            change[y + WINDOW] -= 1
+        elif mask := masks[i].get(r, 0):
+            for j in range(x, y + 1):
+                if mask >> (j - x) & 1:
+                    change[j] += 1
+                    change[j + WINDOW] -= 1
+    return _without(texts, np.cumsum(change)[:-1] > 0, w)
 
 
 def _bitmap(keys: DataFrame, bits: int = BITMAP_BITS) -> DataFrame:
@@ -339,20 +383,14 @@ def dedup_substrings(documents: DataFrame, doc_id: str = "doc_id", text: str = "
 def _cutter():
     @F.pandas_udf("string")
     def cut_out(texts: pd.Series, full: pd.Series, partial: pd.Series) -> pd.Series:
-        codes, out = _Codes(), []
-        for text, whole, parts in zip(texts, full, partial, strict=True):
-            if text is None or whole is None:
-                out.append(text)
-                continue
-            raw, whole, masks = text.encode(), set(whole), {}
-            for p in parts if parts is not None else ():
-                masks[p["run"]] = masks.get(p["run"], 0) | p["mask"]
-            _, a, b, _, run = runs_of([raw], codes)
-            gone = []
-            for i, j, r in zip(a.tolist(), b.tolist(), run.tolist(), strict=True):
-                mask = -1 if r in whole else masks.get(r, 0)
-                gone += [k for k in range(i, j + 1) if mask >> (k - i) & 1]
-            out.append(_without(raw, gone))
+        out: list = list(texts)
+        some = [i for i, (t, f) in enumerate(zip(texts, full, strict=True)) if t is not None and f is not None]
+        size = np.cumsum([len(out[i]) for i in some]) // BATCH_BYTES if some else np.empty(0, np.int64)
+        for k in np.unique(size):
+            part = [i for i, n in zip(some, size, strict=True) if n == k]
+            new = _cut_out([out[i].encode() for i in part], [full.iloc[i] for i in part], [partial.iloc[i] for i in part])
+            for i, t in zip(part, new, strict=True):
+                out[i] = t
         return pd.Series(out, dtype=object)
 
     return cut_out
