@@ -124,7 +124,7 @@ class LanguageModel:
             grid[: lengths[i], col] = pieces[i]
         alive = np.searchsorted(-lengths[order], -np.arange(len(grid)), side="left")
         n_lang = len(self.langs)
-        count = np.ones((n_lang, len(pieces)), np.int32)
+        count = np.zeros((n_lang, len(pieces)), np.int32)
         state = np.repeat(self.starts[:, None], len(pieces), 1)
         root = self.starts[:, None]
         first = np.stack([self.table[s * self.size : (s + 1) * self.size] for s in self.starts])
@@ -134,7 +134,7 @@ class LanguageModel:
             s = state[:, :live]
             to = self.table[s * self.size + c]
             ends = to < 0
-            count[:, :live] += ends
+            count[:, :live] += ends | (s == root)  # a phrase begins at the start, where the last one ends, and behind an unknown symbol
             state[:, :live] = np.where(ends, first[:, c], to)
         out = np.empty((len(pieces), n_lang), np.int32)
         out[order] = count.T
