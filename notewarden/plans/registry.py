@@ -414,3 +414,74 @@ def rolling_compile(spark, d):
     chunks = chunks.where(F.regexp_like(F.substring("text", 2, 1 << 30), F.lit(r"\S")))
     units = rolling.rolling_compile(chunks, lambda text, summary: (text[1:], summary, text[0] == "u"), key="conv_id")
     return units.select("conv_id", "ord", "merged_blocks", F.md5("rewritten").alias("text_md5"))
+
+
+_P = _facts("coalesce(html, '')")
+
+
+@query(f"SELECT page_id, len({_P[0]})::INT AS n_numbers, len({_P[1]})::INT AS n_words, array_to_string(list_sort({_P[0]}), ',') AS numbers FROM pages")
+def keypoints(spark, d):
+    """Distinct facts of each page."""
+    k = table(spark, d, "pages").select("page_id", T.keypoints(F.col("html")).alias("k"), F.array_sort(T.numbers(F.col("html"))).alias("n"))
+    return k.select("page_id", F.size("n").alias("n_numbers"), (F.size("k") - F.size("n")).alias("n_words"), F.array_join("n", ",").alias("numbers"))
+
+
+@query("SELECT p_partkey, levenshtein(p_name, p_type)::INT AS distance, CASE WHEN levenshtein(p_name, p_type) <= 12 THEN levenshtein(p_name, p_type) ELSE -1 END::INT AS bounded FROM part")
+def edit_distance(spark, d):
+    """Edit distance of two texts, plain and with an early end."""
+    return table(spark, d, "part").select("p_partkey", F.levenshtein("p_name", "p_type").alias("distance"), F.levenshtein("p_name", "p_type", 12).alias("bounded"))
+
+
+@query("SELECT event_id, regexp_extract(props, '\"k\": *([0-9]+)', 1)::BIGINT AS k, NULLIF(event_type, '') AS kind FROM events")
+def json_replies(spark, d):
+    """Model-like replies: a JSON object inside prose, and the key: value fallback."""
+    e = table(spark, d, "events").select("event_id", F.concat(F.lit("Here is the result:\n"), "props", F.lit("\nDone.")).alias("r"), F.concat(F.lit('kind: "'), "event_type", F.lit('",')).alias("f"))
+    return e.select("event_id", T.json_object(F.col("r"), "k bigint")["k"].alias("k"), F.try_element_at(T.key_values(F.col("f")), F.lit("kind")).alias("kind"))
+
+
+@query(
+    f"{N}, l AS (SELECT k, rn, '示例 ' || rn || ' of part ' || p || CASE WHEN p % 3 = 0 THEN '（来源：catalog）' ELSE '' END AS x, p FROM tx), m AS (SELECT k, x, row_number() OVER (PARTITION BY k ORDER BY rn) AS i FROM l WHERE p % 3 <> 0)"
+    " SELECT n.k, coalesce(string_agg(left(x, 40), '|' ORDER BY i) FILTER (WHERE i <= 10), '') AS missing FROM n LEFT JOIN m USING (k) GROUP BY n.k"
+)
+def missing_citations(spark, d):
+    """Example lines that name no source, ten a note at most."""
+    li = table(spark, d, "lineitem")
+    rn = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*rendered.ORDER))
+    li = li.select(F.col("l_orderkey").alias("k"), rn.alias("rn"), F.col("l_partkey").alias("p"))
+    line = F.concat(F.lit("示例 "), "rn", F.lit(" of part "), "p", F.when(F.col("p") % 3 == 0, "（来源：catalog）").otherwise(""))
+    rows = li.select("k", "rn", line.alias("x")).groupBy("k").agg(F.array_sort(F.collect_list(F.struct("rn", "x"))).alias("r"))
+    return rows.select("k", F.array_join(T.missing_sources(F.array_join(F.transform("r", lambda x: x["x"]), "\n")), "|").alias("missing"))
+
+
+@query(f"{N} SELECT file AS target FROM n UNION SELECT 'order_' || k FROM n")
+def known_targets(spark, d):
+    """What links may point at: file names with and without extension."""
+    return corpus.known_targets(_notes(spark, d))
+
+
+@query(
+    f"{N}, b AS (SELECT k, 'Brand ' || ['A','B','C','D','E'][p % 5 + 1] || ' Line' AS term, min(rn) AS a FROM tx WHERE p % 7 <> 0 GROUP BY ALL), "
+    "h AS (SELECT k, rn || ' · part' AS term, rn AS a FROM tx WHERE p % 7 <> 0), "
+    "u AS (SELECT k, 0 AS s, a, term FROM b UNION ALL SELECT k, 1, 0, 'Order ' || k FROM n UNION ALL SELECT k, 2, a, term FROM h) "
+    "SELECT k, string_agg(term, '|' ORDER BY s, a) AS terms FROM u GROUP BY k"
+)
+def concept_map(spark, d):
+    """Bold terms of each note, then its breadcrumbs, without repeats.
+
+    Chunks are cut at every block, so that each heading's breadcrumb is among them."""
+    notes = _notes(spark, d)
+    crumbs = segment.blocks(notes, "k", "text")
+    bold = notes.select("k", F.posexplode(T.bold_terms(F.col("text"))).alias("b", "term")).select("k", F.lit(0).alias("a"), "b", F.lit(0).alias("c"), "term")
+    rest = crumbs.select("k", "ord", F.posexplode("breadcrumb").alias("c", "term")).select("k", F.lit(1).alias("a"), F.col("ord").alias("b"), "c", "term")
+    first = bold.union(rest).groupBy("k", F.lower("term").alias("low")).agg(F.min(F.struct("a", "b", "c", "term")).alias("x"))
+    return first.groupBy("k").agg(F.array_sort(F.collect_list("x")).alias("x")).select("k", F.array_join(F.transform("x", lambda t: t["term"]), "|").alias("terms"))
+
+
+@query(
+    f"{N}, o AS (SELECT DISTINCT 'Brand ' || ['A','B','C','D','E'][p % 5 + 1] || ' Line' AS name, file FROM tx JOIN n USING (k) WHERE p % 7 <> 0)"
+    " SELECT lower(replace(name, ' ', '_')) || '.md' AS page, name, count(*)::BIGINT AS places FROM o GROUP BY name"
+)
+def concept_pages(spark, d):
+    """A rendered page for each concept, with a link for each of its files."""
+    pages = corpus.concept_pages(_notes(spark, d))
+    return pages.select("page", "name", F.regexp_count("text", F.lit(r"(?m)^- \[\[")).cast("bigint").alias("places"))
