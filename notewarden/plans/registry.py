@@ -215,7 +215,7 @@ def search_topk(spark, d):
 @query(f"{N} SELECT 'brand ' || lower(['A','B','C','D','E'][p % 5 + 1]) || ' line' AS term, 'Brand ' || ['A','B','C','D','E'][p % 5 + 1] || ' Line' AS name, count(DISTINCT k)::INT AS n_files, min('order_' || k || '.md') AS first_file FROM tx WHERE p % 7 <> 0 GROUP BY ALL")
 def term_index(spark, d):
     """Inverted index of bold terms."""
-    return corpus.concept_index(_notes(spark, d)).select("term", "name", F.size("files").alias("n_files"), F.get("files", 0).alias("first_file"))
+    return corpus.concept_index(_notes(spark, d))
 
 
 @query(
