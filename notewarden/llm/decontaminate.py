@@ -11,6 +11,7 @@ own automaton, and the hits of all blocks are united.  Documents are never shuff
 Defined results: null or empty texts have no words and no hits; items without words match nothing;
 items with a null id mark words but are not listed; repeated items are listed once; repeated
 document rows get the same result each; an empty benchmark hits nothing; other columns pass through.
+A column that is named like a result is replaced by it.
 """
 
 from __future__ import annotations

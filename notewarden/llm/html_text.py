@@ -12,6 +12,7 @@ Pages are independent, so this is one Arrow UDF without shuffle, linear in the p
 Defined results: null and empty pages and pages without text give an empty text; unclosed or crossed
 tags close as browsers close them; a broken tag is text; ties between containers go to the first;
 repeated rows stay.
+A column that is named like a result is replaced by it.
 """
 
 from __future__ import annotations
@@ -49,8 +50,11 @@ UNLIKELY = frozenset(
     " disqus discussion respond reply replies sidebar sidebars aside widget widgets rail menu menus nav navbar navigation navigational breadcrumb"
     " breadcrumbs pagination pager header masthead topbar footer foot colophon copyright cookie cookies consent gdpr notice notices alert"
     " popup modal overlay dialog newsletter subscribe subscription signup login form share sharing social related recommended recommendations"
-    " outbrain taboola toolbar skip search contentinfo complementary legal disclaimer".split()
+    " outbrain taboola toolbar skip search contentinfo complementary legal disclaimer feedback responses adslot adbox adunit advertorial sidenav"
+    " sidepanel menubar dropdown cookiebar notification notifications toast paywall privacy".split()
 )
+#: Words that tell that a container has, or lacks, one of these.
+ABOUT = frozenset("has have with without no".split())
 LIKELY = frozenset("article content main body post entry story text page".split())
 LINK_LISTS = frozenset("ul ol dl table div section p".split())
 
@@ -68,7 +72,7 @@ def _is_dropped(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
         return False
     names = {w for k in ("class", "id", "role") for w in re.split(r"[\s_-]+|(?<=[a-z])(?=[A-Z])", attrs.get(k, "")) if w}
     names = {w.lower() for w in names}
-    return bool(names & UNLIKELY) and not (tag in ("article", "main") and names & LIKELY)
+    return bool(names & UNLIKELY) and not names & ABOUT and not (tag in ("article", "main") and names & LIKELY)
 
 
 class _Page:

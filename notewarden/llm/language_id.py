@@ -14,6 +14,7 @@ numpy; texts are parsed whole, in pieces of ``PIECE`` symbols so that a long tex
 Defined results: null texts and texts without a letter give ``und`` with score 0; with nothing to learn
 from every text gives ``und``; ties go to the alphabetically first language; a language's name is never
 an input of a prediction.
+A column that is named like a result is replaced by it.
 """
 
 from __future__ import annotations

@@ -12,6 +12,7 @@ without shuffle, broadcast or Python.  Alignment runs only for texts that hold e
 
 Defined results: null and empty texts have 0 words, null places, empty labels and score 0; repeated rows
 stay; ties between alignments do not matter, as only the best count is used.
+A column that is named like a result is replaced by it.
 """
 
 from __future__ import annotations

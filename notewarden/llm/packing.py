@@ -10,6 +10,7 @@ sorted in one task.  A batch is ``budget // boundary`` consecutive numbers of a
 Defined results: a null or empty text has length 0 and is packed like any other (no padding if its bucket's boundary is 0); a text
 longer than the budget is a batch of its own with boundary tokens; repeated rows are packed separately; an empty
 table gives no rows.
+A column that is named like a result is replaced by it.
 """
 
 from __future__ import annotations
