@@ -117,11 +117,11 @@ def _scanner(shared):
 
 def benchmark_blocks(benchmark: DataFrame, item_id: str, text: str, window: int, block_bytes: int) -> list:
     """Broadcasts the benchmark in blocks of about block_bytes at most."""
-    items = benchmark.select(F.col(item_id).cast("string").alias("i"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+    items = benchmark.select(F.col(item_id).cast("string").alias("i"), F.coalesce(F.col(text), F.lit("")).alias("t")).distinct()
     total = items.agg(F.sum(F.octet_length("t") + 16)).first()[0] or 0
     n = max(1, math.ceil(total / block_bytes))
     spark = benchmark.sparkSession
-    place = F.pmod(F.xxhash64("t"), F.lit(n))
+    place = F.pmod(F.xxhash64("i", "t"), F.lit(n))
     blocks = ([(r.i, r.t) for r in items.where(place == b).collect()] for b in range(n))
     return [spark.sparkContext.broadcast(Block(b, window)) for b in blocks]
 

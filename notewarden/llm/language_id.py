@@ -179,7 +179,8 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: s
     texts = texts.join(few, (F.col("__d") == F.col("__id")) & (F.col("l") == F.col("__l")))
     samples: dict[str, list[str]] = {}
     share = max(1, 4 * chars_per_lang // docs_per_lang)
-    for r in sorted(texts.select("l", "__d", F.substring("t", 1, share).alias("t")).collect(), key=lambda r: (r["l"], str(r["__d"]), r["t"])):
+    texts = texts.select("l", "__d", F.substring("t", 1, share).alias("t")).groupBy("l", "__d").agg(F.min("t").alias("t"))  # one of repeated ids
+    for r in sorted(texts.collect(), key=lambda r: (r["l"], str(r["__d"]), r["t"])):
         samples.setdefault(r["l"], []).append(r["t"])
     return LanguageModel(samples, chars_per_lang)
 

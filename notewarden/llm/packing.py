@@ -69,8 +69,10 @@ def boundaries(top: np.ndarray, count: np.ndarray, total: np.ndarray, buckets: i
 
 
 def pack(documents: DataFrame, length: Column, order: str = "doc_id", buckets: int = BUCKETS, budget: int = BUDGET, part_rows: int = PART_ROWS) -> DataFrame:
-    """Adds n_tokens, bucket (from 0), bucket_len, batch (from 0 in its bucket), slot (from 0 in its batch) and padding."""
-    df = documents.withColumn("n_tokens", length)
+    """Adds n_tokens, bucket (from 0), bucket_len, batch (from 0 in its bucket), slot (from 0 in its batch) and padding.
+
+    documents should hold what packing has to carry along, such as ids, not texts: the table is checkpointed once."""
+    df = cut(documents.withColumn("n_tokens", length))  # read twice below, and its partitions salt the parts
     hist = df.groupBy(bin_of(F.col("n_tokens")).alias("bin")).agg(F.count("*").alias("n"), F.sum("n_tokens").alias("s"), F.max("n_tokens").alias("top"))
     bins = sorted((r.top, r.n, r.s) for r in hist.collect())  # bounded by the range of lengths
     tops, counts, sums = (np.array([b[i] for b in bins], np.int64) for i in range(3))
@@ -81,8 +83,8 @@ def pack(documents: DataFrame, length: Column, order: str = "doc_id", buckets: i
         bucket = F.when(F.col("n_tokens") <= bounds[k], F.lit(k)).otherwise(bucket)
     bound = F.element_at(F.array(*[F.lit(b).cast("bigint") for b in bounds or [0]]), F.col("bucket") + 1)
     df = df.withColumn("bucket", bucket).withColumn("bucket_len", bound)
-    # equal ids fall in one part in any order; the part must not depend on anything but the row
-    df = df.withColumn("__part", F.pmod(F.xxhash64(F.col(order), F.lit("pack")), F.lit(parts)).cast("int"))
+    # the partition is a salt for an id that is repeated without end
+    df = df.withColumn("__part", F.pmod(F.xxhash64(F.col(order), F.spark_partition_id()), F.lit(parts)).cast("int"))
     return _numbered(df, order, budget)
 
 
@@ -103,6 +105,5 @@ def _numbered(df: DataFrame, order: str, budget: int) -> DataFrame:
 
 
 def op7(documents: DataFrame) -> DataFrame:
-    lengths = cut(documents.select("doc_id", length_words(F.col("text")).alias("__len")))  # two numbers for each document
-    out = pack(lengths, F.col("__len"))
+    out = pack(documents.select("doc_id", length_words(F.col("text")).alias("__len")), F.col("__len"))
     return out.select("doc_id", "n_tokens", "bucket", "bucket_len", "batch", "slot", "padding")

@@ -138,12 +138,12 @@ def stats_udf():
 
 
 def learn(documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", sample_rows: int = SAMPLE_ROWS) -> Forest:
-    """Fits on at most about sample_rows labelled rows."""
+    """Fits on about sample_rows labelled rows, twice as many at most, also where one id is repeated without end."""
     marks = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("__id"), (F.col(label) == 1).cast("int").alias("__y"))
     n = marks.count()
-    chosen = F.broadcast(marks.where(hash_unit(F.col("__id"), "quality") < sample_rows / max(n, 1)))
+    chosen = F.broadcast(marks.where(hash_unit(F.col("__id"), "quality") < sample_rows / max(n, 1)).limit(2 * sample_rows))
     docs = documents.select(F.col(doc_id).alias("__id"), F.col(text).cast("binary").alias("t"))
-    rows = docs.join(chosen, "__id").select("__y", stats_udf()("t").alias("x")).toPandas()
+    rows = docs.join(chosen, "__id").select("__y", stats_udf()("t").alias("x")).limit(2 * sample_rows).toPandas()
     x = np.array(rows["x"].tolist(), float).reshape(len(rows), len(STATS))
     order = np.lexsort((*x.T, rows["__y"]))  # the fit does not depend on the order of arrival
     return fit(x[order], rows["__y"].to_numpy(float)[order])

@@ -98,9 +98,9 @@ def most_rejected(n: Column, alpha: float, level: Column) -> Column:
 
 
 def learn_cutoffs(labelled: DataFrame, alpha: float = ALPHA, delta: float = DELTA, rules: dict = RULES) -> DataFrame:
-    """stratum and one cutoff column for each rule (null: none) from good documents with statistics and stratum."""
+    """stratum and one cutoff column for each rule (null: none) from good documents with statistics, stratum and weight."""
     levels = F.explode(F.create_map(*[x for r, e in rules.items() for x in (F.lit(r), F.expr(e))])).alias("rule", "level")
-    counts = labelled.select("stratum", levels).groupBy("stratum", "rule", "level").agg(F.count("*").alias("n"))
+    counts = labelled.select("stratum", "weight", levels).groupBy("stratum", "rule", "level").agg(F.sum("weight").alias("n"))
     # at most 101 levels for each stratum and rule from here on
     by = counts.groupBy("stratum", "rule").agg(F.sum("n").alias("total"), F.collect_list(F.struct("level", "n")).alias("hist"))
     by = cut(by)
@@ -124,7 +124,7 @@ def quality_rules(
     part = F.coalesce(F.col(stratum).cast("string"), F.lit("und")) if stratum else F.lit("all")
     stats = statistics(documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), part.alias("stratum"))).drop("text")
     stats = cut(stats)  # a few numbers for each document, used to learn and to judge
-    holdout = labels.where(good).select(F.col(doc_id).alias("doc_id"))
+    holdout = labels.where(good).groupBy(F.col(doc_id).alias("doc_id")).agg(F.count("*").alias("weight"))
     cutoffs = cut(learn_cutoffs(stats.join(holdout, "doc_id"), alpha, delta))
     if cutoffs.count() <= BROADCAST_CUTOFFS:
         cutoffs = F.broadcast(cutoffs)
