@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from notewarden import config, prepare
 from notewarden.operators import corpus, filters, quality, rolling, segment, toc
-from notewarden.sources import files
+from notewarden.sources import files, vcs
 
 
 def _at_least(least: int):
@@ -41,6 +41,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--max-chars", type=_at_least(100), default=segment.MAX_CHARS)
     p.add_argument("--overlap", type=_at_least(0), default=segment.OVERLAP)
     p.add_argument("--retries", type=_at_least(0), default=1)
+    p.add_argument("--commit", action="store_true")
     for mode in ("index", "links", "concepts"):
         p = modes.add_parser(mode)
         p.add_argument("input")
@@ -102,8 +103,11 @@ def run(spark: SparkSession, a: argparse.Namespace) -> int:
         rows = done.select(toc.build(F.col("note"))["text"].alias("note")).collect()
         note = rows[0].note if rows else ""
         if a.output:
-            files.write_text(os.path.join(a.output, os.path.basename(a.input)), note)
+            target = os.path.join(a.output, os.path.basename(a.input))
+            files.write_text(target, note)
             files.write_text(os.path.join(a.output, "源数据", "转写.md"), text)
+            if a.commit:
+                vcs.commit_file(target, f"Rewrite {os.path.basename(target)}")
         else:
             print(note)
         return 0
