@@ -7,7 +7,7 @@ from pathlib import Path
 
 
 #: Bytes that a Python worker gets at once, where the session leaves Spark's default of 64 MB.
-BATCH, DEFAULT, BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", str(8 << 20)
+BATCH, DEFAULT, BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", str(4 << 20)
 
 
 def prepare(spark) -> None:
