@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +22,15 @@ WORD_BYTES = bytes(
 )
 
 
+def release_memory() -> None:
+    """Gives freed memory of a Python worker back to the system.  Workers live on between tasks, and the allocator would keep the
+    peak of every batch for as long; called once for each batch."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another allocator
+        pass
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from notewarden.llm.common import WORD_BYTES
+from notewarden.llm.common import WORD_BYTES, release_memory
 
 WINDOW = 13
 BLOCK_BYTES = 32 << 20
@@ -110,6 +110,7 @@ def _scanner(shared):
         for t in texts:
             n, spans, items, chars = _scan(t, automaton)
             rows.append((n, [{"w0": a, "w1": b, "c0": c, "c1": d} for (a, b), (c, d) in zip(spans, chars, strict=True)], items))
+        release_memory()
         return pd.DataFrame(rows, columns=["n_words", "spans", "items"])
 
     return scan

@@ -27,8 +27,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from notewarden.llm.common import release_memory
+
 DOCS_PER_LANG = 48
-CHARS_PER_LANG = 16_000
+CHARS_PER_LANG = 8_000
 MAX_LANGS = 200
 SYMBOLS = 96
 PIECE = 1024
@@ -191,10 +193,11 @@ def predictor(spark, model: LanguageModel):
     @F.pandas_udf("struct<lang:string,score:double>")
     def predict(texts: pd.Series) -> pd.DataFrame:
         langs, scores = [], []
-        for a in range(0, len(texts), 2000):
-            found = shared.value.predict(list(texts.iloc[a : a + 2000]))
+        for a in range(0, len(texts), 1000):
+            found = shared.value.predict(list(texts.iloc[a : a + 1000]))
             langs += found[0]
             scores += found[1]
+        release_memory()
         return pd.DataFrame({"lang": langs, "score": scores})
 
     return predict

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from notewarden.llm.common import cut
+from notewarden.llm.common import cut, release_memory
 
 SHINGLE = 3
 RADIUS = 3
@@ -56,7 +56,9 @@ def simhash(text: bytes | None, shingle: int = SHINGLE) -> int:
 def fingerprint(shingle: int = SHINGLE):
     @F.pandas_udf("bigint")
     def of(texts: pd.Series) -> pd.Series:
-        return pd.Series([simhash(t, shingle) for t in texts], dtype="int64")
+        found = pd.Series([simhash(t, shingle) for t in texts], dtype="int64")
+        release_memory()
+        return found
 
     return of
 

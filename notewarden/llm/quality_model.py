@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from notewarden.llm.common import hash_unit
+from notewarden.llm.common import hash_unit, release_memory
 
 SAMPLE_ROWS = 20_000
 TREES = 60
@@ -155,6 +155,7 @@ def with_score(documents: DataFrame, forest: Forest, text: str = "text", to: str
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
         x = np.array([document_stats(t) for t in texts], float).reshape(len(texts), len(STATS))
+        release_memory()
         return pd.Series(np.concatenate([shared.value.score(x[a : a + 1000]) for a in range(0, max(1, len(x)), 1000)]))
 
     return documents.withColumn(to, score(F.col(text).cast("binary")))

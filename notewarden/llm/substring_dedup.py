@@ -33,12 +33,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from notewarden.llm.common import cut, space_words
+from notewarden.llm.common import cut, release_memory, space_words
 
 WINDOW = 13
 GRAM = 5
 MOST_RUNS = 256
-BATCH_BYTES = 2_000_000
+BATCH_BYTES = 600_000
 BITMAP_BITS = 1 << 24
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -128,6 +128,7 @@ def _batches(frames, most: int = BATCH_BYTES):
         sizes = f["text"].map(len).to_numpy().cumsum() // most
         for k in np.unique(sizes):
             yield f[sizes == k]
+        release_memory()
 
 
 def _run_rows(frames):
@@ -391,6 +392,7 @@ def _cutter():
             new = _cut_out([out[i].encode() for i in part], [full.iloc[i] for i in part], [partial.iloc[i] for i in part])
             for i, t in zip(part, new, strict=True):
                 out[i] = t
+        release_memory()
         return pd.Series(out, dtype=object)
 
     return cut_out
