@@ -200,7 +200,7 @@ def predictor(spark, model: LanguageModel):
         release_memory()
         return pd.DataFrame({"lang": langs, "score": scores})
 
-    return predict
+    return predict.asNondeterministic()  # else a filter on the result would compute it twice
 
 
 def with_language(documents: DataFrame, model: LanguageModel, text: str = "text", to: str = "lang_pred") -> DataFrame:

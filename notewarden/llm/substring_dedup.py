@@ -395,7 +395,7 @@ def _cutter():
         release_memory()
         return pd.Series(out, dtype=object)
 
-    return cut_out
+    return cut_out.asNondeterministic()  # else a filter on the text would compute it twice
 
 
 def op8(documents: DataFrame) -> DataFrame:
