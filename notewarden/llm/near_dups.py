@@ -14,6 +14,11 @@ Exact copies share a fingerprint and are one node, pre-aggregated before the shu
 Defined results: a null or empty text has fingerprint 0 and is linked like any other; fewer words than a
 shingle are one shingle; repeated rows stay and share a component; a component's id is its smallest
 non-null id, null where all ids are null.
+
+``near_copies`` is the whole similarity join: it links documents whose sets of five-word shingles have a
+Jaccard similarity of at least 0.8.  At that similarity SimHashes differ in about ten bits, more than bit blocks can
+meet, so candidates share one of ``BANDS`` min-hash bands (a pair at 0.8 shares none with a chance below 0.00003, a more
+similar one still more seldom) and every candidate pair that is not yet linked is decided by its exact sets.
 """
 
 from __future__ import annotations
@@ -31,6 +36,10 @@ SHINGLE = 3
 RADIUS = 3
 BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))  # (first bit, bits)
 SEED = 42
+COPY_SHINGLE = 5
+SIMILAR = (4, 5)  # Jaccard similarity of near copies, as a fraction
+BANDS, ROWS = 20, 4
+BLOCK_SHINGLES = 1 << 21  # of a block of a shard; blocks of larger shards meet in pairs
 
 
 def simhash(text: bytes | None, shingle: int = SHINGLE) -> int:
@@ -198,9 +207,8 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     return prints.join(cut(table), "fp", "left").select("doc_id", "text_hash", "fp", "component_id", "root")
 
 
-def drop_near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """One row of each component stays: that of the smallest (id, hash of the text); all columns are kept."""
-    found = near_duplicates(documents, doc_id, text, shingle, radius)
+def _first_of_each(documents: DataFrame, found: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """One row of each root in found (doc_id, text_hash, root) stays: that of the smallest (id, hash of the text)."""
     one = found.groupBy("root", "doc_id", "text_hash").agg(F.count("*").alias("n"))
     best = one.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash", "n")).alias("k"))
     keep = cut(best.select(F.col("k.doc_id").alias("__nd_id"), F.col("k.text_hash").alias("__nd_hash"), (F.col("k.n") > 1).alias("__nd_again")))
@@ -210,6 +218,161 @@ def drop_near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str
     return once.union(again).select(*[F.col(f"`{c}`") for c in documents.columns])
 
 
+def drop_near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """One row of each component stays: that of the smallest (id, hash of the text); all columns are kept."""
+    return _first_of_each(documents, near_duplicates(documents, doc_id, text, shingle, radius), doc_id, text)
+
+
+def shingle_set(text: bytes | None, shingle: int = COPY_SHINGLE) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the word shingles of a UTF-8 text."""
+    from xxhash import xxh64_intdigest
+
+    words = (text or b"").lower().split()
+    if not words:
+        return np.empty(0, np.uint64)
+    k = min(shingle, len(words))
+    each = np.fromiter((xxh64_intdigest(w, SEED) for w in words), np.uint64, len(words))
+    out = np.full(len(words) - k + 1, k, np.uint64)
+    for j in range(k):
+        out = _mixed(out ^ each[j : j + len(out)])
+    return np.unique(out)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers that spreads every bit (the end of SplitMix64)."""
+    x = x + np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+_FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, (2, BANDS * ROWS, 1)).astype(np.uint64)
+
+
+def bands(hashes: np.ndarray) -> np.ndarray:
+    """Min-hash band keys of a shingle set."""
+    low = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for a in range(0, len(hashes), 1024):
+        low = np.minimum(low, (hashes[None, a : a + 1024] * (_FACTORS[0] | np.uint64(1)) + _FACTORS[1]).min(1))
+    key = np.arange(BANDS, dtype=np.uint64)
+    for column in low.reshape(BANDS, ROWS).T:
+        key = _mixed(key ^ column)
+    return key.view(np.int64)
+
+
+def _signature(shingle: int):
+    @F.pandas_udf("struct<node:bigint,size:bigint,keys:array<bigint>>")
+    def of(texts: pd.Series) -> pd.DataFrame:
+        from xxhash import xxh64_intdigest
+
+        node, size, keys = [], [], []
+        for t in texts:
+            own = shingle_set(t, shingle)
+            node.append(xxh64_intdigest(own.tobytes(), SEED) if len(own) else 0)
+            size.append(len(own))
+            keys.append(bands(own) if len(own) else np.empty(0, np.int64))
+        release_memory()
+        return pd.DataFrame({"node": np.array(node, np.uint64).view(np.int64), "size": size, "keys": keys})
+
+    return of.asNondeterministic()
+
+
+def _sets(shingle: int):
+    @F.pandas_udf("binary")
+    def of(texts: pd.Series) -> pd.Series:
+        found = pd.Series([shingle_set(t, shingle).tobytes() for t in texts], dtype=object)
+        release_memory()
+        return found
+
+    return of.asNondeterministic()
+
+
+def set_links(sets: list[np.ndarray], similar: tuple[int, int] = SIMILAR) -> np.ndarray:
+    """label[i]: the first member of i's component under links of Jaccard similarity at least similar, by exact sets.
+
+    A set is compared with all others at once, unless it lies in the largest component; when every set outside that has
+    been compared, all links between components are known."""
+    size = np.array([len(s) for s in sets])
+    ends = np.cumsum(size)
+    values, at = np.unique(np.concatenate(sets), return_inverse=True)
+    mark = np.zeros(len(values), np.int64)
+    label, open_ = np.arange(len(sets)), np.ones(len(sets), bool)
+    p, q = similar
+    while True:
+        largest = np.bincount(label).argmax()
+        left = np.flatnonzero(open_ & (label != largest))
+        if not len(left):
+            return label
+        i = left[0]
+        open_[i] = False
+        own = at[ends[i] - size[i] : ends[i]]
+        mark[own] = 1
+        both = np.add.reduceat(mark[at], ends - size)
+        mark[own] = 0
+        near = np.flatnonzero((p + q) * both >= p * (size + size[i]))  # both / (a + b - both) >= p / q
+        joined = np.unique(label[near])
+        label[np.isin(label, joined)] = joined[0]
+
+
+def _exact_links(batches):
+    """(key, node, hashes) sorted by key -> (u, v) with v a member of u's component in the shard."""
+
+    def found(nodes: list[int], sets: list[bytes]) -> pd.DataFrame:
+        nodes = np.array(nodes, np.int64)
+        label = set_links([np.frombuffer(s, np.uint64) for s in sets])
+        own = label != np.arange(len(nodes))
+        return pd.DataFrame({"u": nodes[own], "v": nodes[label[own]]})
+
+    key, nodes, sets = None, [], []
+    for b in batches:
+        out = []
+        for k, node, s in zip(b["key"], b["node"], b["hashes"], strict=True):
+            if k != key and nodes:
+                out.append(found(nodes, sets))
+                nodes, sets = [], []
+            key = k
+            nodes.append(node)
+            sets.append(s)
+        if out:
+            yield pd.concat(out)
+    if nodes:
+        yield found(nodes, sets)
+    release_memory()
+
+
+def near_copies(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = COPY_SHINGLE, block: int = BLOCK_SHINGLES) -> DataFrame:
+    """(doc_id, text_hash, node, root) for each document row; root names the component of near copies.
+
+    Texts of equal shingle sets are one node.  Shards with the same members are worked once; a shard of over block
+    shingles is dealt out in blocks, any two of which meet."""
+    prints = documents.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), _signature(shingle)(F.col(text).cast("binary")).alias("s"))
+    prints = cut(prints.select("doc_id", "text_hash", "s.node", "s.size", "s.keys"))
+    nodes = cut(prints.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("rep"), F.first("size").alias("size"), F.first("keys").alias("keys")))
+    members = nodes.select(F.explode("keys").alias("key"), "node", "size")
+    shards = members.groupBy("key").agg(F.count("*").alias("n"), F.sum("size").alias("total"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("a"), F.bit_xor("node").alias("b"))
+    shards = shards.where("n > 1").groupBy("n", "total", "a", "b").agg(F.min("key").alias("key"))
+    members = cut(members.join(shards.select("key", F.ceil(F.col("total") / block).cast("int").alias("blocks")), "key").select("key", "node", "blocks"))
+    needed = members.select("node").distinct().join(nodes.select("node", "rep"), "node")
+    needed = cut(needed.select("node", F.col("rep.doc_id").alias("__i"), F.col("rep.text_hash").alias("__h")))
+    docs = documents.select(F.col(doc_id).alias("__d"), F.xxhash64(text).alias("__x"), F.col(text).cast("binary").alias("__t"))
+    met = docs.join(needed, F.col("__d").eqNullSafe(F.col("__i")) & (F.col("__x") == F.col("__h"))).select("node", _sets(shingle)("__t").alias("hashes"))
+    sets = cut(met.groupBy("node").agg(F.first("hashes").alias("hashes")))  # a row may be repeated as a whole
+    own = F.pmod(F.xxhash64("node", F.lit("block")), "blocks").cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least(x, own).alias("lo"), F.greatest(x, own).alias("hi")))
+    pairs = F.filter(pairs, lambda x: (F.col("blocks") == 1) | (x["lo"] < x["hi"]))
+    dealt = members.select("key", "node", F.explode(pairs).alias("p")).select(F.xxhash64("key", "p.lo", "p.hi").alias("key"), "node")
+    shards = dealt.join(sets, "node").repartition("key").sortWithinPartitions("key")
+    links = shards.select("key", "node", "hashes").mapInPandas(_exact_links, "u bigint, v bigint")
+    linked = cut(components(links))
+    ids = prints.select("doc_id", "text_hash", "node").join(linked.select(F.col("u").alias("node"), "root"), "node", "left")
+    return ids.select("doc_id", "text_hash", "node", F.coalesce("root", "node").alias("root"))
+
+
+def drop_near_copies(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = COPY_SHINGLE) -> DataFrame:
+    """One row of each component of near copies stays: that of the smallest (id, hash of the text); all columns are kept."""
+    return _first_of_each(documents, near_copies(documents, doc_id, text, shingle), doc_id, text)
+
+
 def op9(documents: DataFrame) -> DataFrame:
     found = near_duplicates(documents)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

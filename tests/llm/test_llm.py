@@ -362,6 +362,41 @@ def test_op9_chain(spark):
     assert got == {i: 0 for i in range(1, 61)} | {200: 100, 300: 100, 299: 100}
 
 
+def test_pipeline_near_copies(spark):
+    """Word edits that move more than three bits of a SimHash are near copies while five-word shingles agree to 0.8."""
+    rng = random.Random(29)
+    docs = [*EDGE, (None, None), (1, None)]
+    for base in range(8):
+        text = words(200, rng).split()
+        for k in range(9):
+            one = list(text)
+            for j in rng.sample(range(200), k):
+                one[j] = f"edit{base}x{k}"
+            docs.append((1000 + 10 * base + k, "\n".join(one)))
+
+    def shingles(text):
+        w = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+        return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
+
+    sets, root = [shingles(t) for _, t in docs], list(range(len(docs)))
+    for i, j in itertools.combinations(range(len(docs)), 2):
+        if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+            a, b = root[i], root[j]
+            root = [a if r == b else r for r in root]
+    df = frame(spark, docs).repartition(3)
+    want = sorted(min((d is None, d or 0) for (d, _), r in zip(docs, root, strict=True) if r == x) for x in set(root))
+    got = corpus_pipeline.near_duplicates(spark, df, "")
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in got.collect()) == want and got.columns == df.columns
+    groups = {}
+    for block in (near_dups.BLOCK_SHINGLES, 500):
+        rows = near_dups.near_copies(df, block=block).collect()
+        groups[block] = {frozenset((str(r.doc_id), r.text_hash) for r in rows if r.root == x) for x in {r.root for r in rows}}
+        assert len(rows) == len(docs) and len(groups[block]) == len(set(root))
+    assert groups[500] == groups[near_dups.BLOCK_SHINGLES]
+    assert corpus_pipeline.near_duplicates(spark, empty(spark), "").count() == 0
+    assert near_dups.drop_near_duplicates(df).count() > len(want)
+
+
 PAGE = """<html><head><title>T</title><script>var a="</p>";</script></head><body><header><h1>Site</h1></header><nav><a href=1>x</a></nav>
 <div id="cookie-notice">We use cookies, accept them please now.</div><div class="wrap"><div class="content"><h1>Title &amp; more</h1>
 <p>First para, with commas, and some&nbsp;text that is
