@@ -6,8 +6,10 @@ length) / text length, and the language with the fewest such normalised phrases
 
 Training takes a bounded sample: ``docs_per_lang`` documents of each language (one from each of so many
 hash groups of ids, so the choice is spread over the corpus and pre-aggregated before its shuffle) and
-``chars_per_lang`` characters of them.  The automata are flat transition tables (state x symbol) of a
-size fixed by these bounds, and are broadcast.  Parsing runs over all texts of an Arrow batch in lockstep with
+``chars_per_lang`` characters of them; more than ``MAX_LANGS`` times ``docs_per_lang`` documents to learn from are an error.
+Every character of the sample has a code.  Transitions by the ``SYMBOLS`` - 1 most frequent ones are flat tables
+(state x symbol), those by any other (of a further script, say) a sorted list; both have a size fixed by
+these bounds, and are broadcast.  Parsing runs over all texts of an Arrow batch in lockstep with
 numpy; texts are parsed whole, in pieces of ``PIECE`` symbols so that a long text does not hold up a batch
 (each piece starts a new phrase).
 
@@ -83,46 +85,53 @@ class LanguageModel:
         for lang in self.langs:
             for ch in texts[lang]:
                 count[ch] = count.get(ch, 0) + 1
-        kept = sorted(count, key=lambda ch: (-count[ch], ch))[: SYMBOLS - 1]  # 0 stands for any other character
+        kept = sorted(count, key=lambda ch: (-count[ch], ch))  # 0 stands for a character that no sample has
         self.alphabet = {ch: i + 1 for i, ch in enumerate(kept)}
-        size, tables, starts, at = len(kept) + 1, [], [], 0
+        self.width = len(kept) + 1
+        size, tables, starts, at, rare = min(SYMBOLS, self.width), [], [], 0, {}
         for lang in self.langs:
-            trans = suffix_automaton([self.alphabet.get(ch, -1) for ch in texts[lang]])
+            trans = suffix_automaton([self.alphabet[ch] for ch in texts[lang]])
             flat = np.full((len(trans), size), -1, np.int32)
             for s, row in enumerate(trans):
                 for c, to in row.items():
-                    if c > 0:
+                    if c < size:
                         flat[s, c] = to + at
+                    else:
+                        rare[(s + at) * self.width + c] = to + at
             starts.append(at)
             tables.append(flat)
             at += len(trans)
         self.size = size
         self.table = np.concatenate(tables).ravel() if tables else np.empty(0, np.int32)
+        self.rare = np.array(sorted(rare), np.int64)
+        self.rare_to = np.array([rare[k] for k in self.rare.tolist()], np.int32)
         self.starts = np.array(starts, np.int32)
         self.weight = np.array([math.log2(len(texts[lang]) + 1) for lang in self.langs])
 
     def codes(self, text: str) -> np.ndarray:
         points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-        lut, rest = self._lut()
-        out = lut[np.minimum(points, len(lut) - 1)]
-        for i in np.flatnonzero(points >= len(lut) - 1):
-            out[i] = rest.get(int(points[i]), 0)
-        return out
+        lut = self._lut()
+        return lut[np.minimum(points, len(lut) - 1)]
 
     def _lut(self):
+        """Codes by code point; the last cell is that of all unknown characters."""
         if not hasattr(self, "_codes"):
-            lut = np.zeros(0x3001, np.uint8)
+            self._codes = np.zeros(max(map(ord, self.alphabet), default=0) + 2, np.min_scalar_type(self.width))
             for ch, c in self.alphabet.items():
-                if ord(ch) < 0x3000:
-                    lut[ord(ch)] = c
-            self._codes = lut, {ord(ch): c for ch, c in self.alphabet.items() if ord(ch) >= 0x3000}
+                self._codes[ord(ch)] = c
         return self._codes
 
+    def _rare(self, state: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """Where states go by characters outside the flat tables, -1 for nowhere."""
+        key = state.astype(np.int64) * self.width + c
+        at = np.minimum(np.searchsorted(self.rare, key), len(self.rare) - 1)
+        return np.where(self.rare[at] == key, self.rare_to[at], -1)
+
     def phrases(self, pieces: list[np.ndarray]) -> np.ndarray:
         """Phrases of each piece (rows) in each language (columns)."""
         lengths = np.array([len(p) for p in pieces])
         order = np.argsort(-lengths, kind="stable")
-        grid = np.zeros((lengths.max(initial=0), len(pieces)), np.uint8)
+        grid = np.zeros((lengths.max(initial=0), len(pieces)), np.min_scalar_type(self.width))
         for col, i in enumerate(order):
             grid[: lengths[i], col] = pieces[i]
         alive = np.searchsorted(-lengths[order], -np.arange(len(grid)), side="left")
@@ -135,10 +144,19 @@ class LanguageModel:
         for t, live in enumerate(alive):
             c = grid[t, :live].astype(np.int32)
             s = state[:, :live]
+            odd = np.flatnonzero(c >= self.size)
+            far = c[odd]
+            c[odd] = 0
             to = self.table[s * self.size + c]
+            if len(odd):
+                to[:, odd] = self._rare(s[:, odd], far)
             ends = to < 0
             count[:, :live] += ends | (s == root)  # a phrase begins at the start, where the last one ends, and behind an unknown symbol
-            state[:, :live] = np.where(ends, first[:, c], to)
+            again = first[:, c]
+            if len(odd):
+                begun = self._rare(np.broadcast_to(root, (n_lang, len(odd))), far)
+                again[:, odd] = np.where(begun < 0, root, begun)
+            state[:, :live] = np.where(ends, again, to)
         out = np.empty((len(pieces), n_lang), np.int32)
         out[order] = count.T
         return out
@@ -175,14 +193,18 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: s
     order = F.xxhash64(F.col(doc_id), F.lit("language"))
     group = F.pmod(F.xxhash64(F.col(doc_id), F.lit("group")), F.lit(docs_per_lang))
     picked = rows.groupBy(F.col(lang).cast("string").alias("lang"), group.alias("g")).agg(F.min_by(F.col(doc_id), order).alias("id"))
-    few = F.broadcast(picked.orderBy("lang", "g").limit(MAX_LANGS * docs_per_lang).select(F.col("lang").alias("__l"), F.col("id").alias("__id")))
+    picked = picked.where("id is not null")
+    few = F.broadcast(picked.orderBy("lang", "g").limit(MAX_LANGS * docs_per_lang + 1).select(F.col("lang").alias("__l"), F.col("id").alias("__id")))
     # ids first, then their texts: the long texts of the corpus are never shuffled
     texts = rows.select(F.col(doc_id).alias("__d"), F.col(lang).cast("string").alias("l"), F.substring(F.col(text), 1, chars_per_lang).alias("t"))
     texts = texts.join(few, (F.col("__d") == F.col("__id")) & (F.col("l") == F.col("__l")))
     samples: dict[str, list[str]] = {}
     share = max(1, 4 * chars_per_lang // docs_per_lang)
     texts = texts.select("l", "__d", F.substring("t", 1, share).alias("t")).groupBy("l", "__d").agg(F.min("t").alias("t"))  # one of repeated ids
-    for r in sorted(texts.collect(), key=lambda r: (r["l"], str(r["__d"]), r["t"])):
+    rows = texts.collect()
+    if len(rows) > MAX_LANGS * docs_per_lang:
+        raise ValueError(f"more than {MAX_LANGS * docs_per_lang} documents to learn from: over {MAX_LANGS} languages")
+    for r in sorted(rows, key=lambda r: (r["l"], str(r["__d"]), r["t"])):
         samples.setdefault(r["l"], []).append(r["t"])
     return LanguageModel(samples, chars_per_lang)
 

@@ -195,6 +195,34 @@ def test_op6_phrases():
     assert got.tolist() == [[brute(t, lang) for lang in model.langs] for t in texts]
 
 
+def test_op6_scripts(spark, monkeypatch):
+    """Every script of the samples counts, also where far more characters than one flat table takes are in use."""
+    rng = random.Random(31)
+    scripts = {"ar": (0x621, 26), "de": (0x61, 26), "hi": (0x905, 48), "ja": (0x3041, 80), "ru": (0x430, 32), "zh": (0x4E00, 900), "zz": (0x10D0, 33)}
+    lexicon = {lang: ["".join(chr(a + rng.randrange(n)) for _ in range(rng.randint(2, 5))) for _ in range(120)] for lang, (a, n) in scripts.items()}
+    lexicon["zh"] = ["".join(chr(0x4E00 + rng.randrange(900)) for _ in range(2)) for _ in range(300)]
+    lexicon["zz"] = lexicon["zh"][:60] + lexicon["ja"]  # two languages that share a script
+    rows = [(i, " ".join(rng.choices(lexicon[lang], k=80)), lang, "s", 1) for i, lang in enumerate(sorted(scripts) * 40)]
+    docs = spark.createDataFrame(rows, DOC)
+    got = language_id.op6(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
+    assert len(got) > 50 and all(r.lang_pred == r.lang for r in got)
+    samples = {lang: [t for _, t, x, _, _ in rows if x == lang][:3] for lang in scripts}
+    model = language_id.LanguageModel(samples)
+    source = {lang: " ".join(map(language_id.squeezed, parts))[: language_id.CHARS_PER_LANG] for lang, parts in samples.items()}
+    text = language_id.squeezed(rows[5][1] + " " + rows[1][1] + " " + rows[6][1] + " ㍿ǆ")[:900]
+    for col, lang in enumerate(model.langs):
+        n, i = 0, 0
+        while i < len(text):
+            k = 1
+            while i + k < len(text) and text[i : i + k + 1] in source[lang]:
+                k += 1
+            n, i = n + 1, i + k
+        assert model.phrases([model.codes(text)])[0, col] == n
+    monkeypatch.setattr(language_id, "MAX_LANGS", 1)
+    with pytest.raises(ValueError, match="languages"):
+        language_id.learn(docs)
+
+
 def test_op7_boundaries():
     rng = random.Random(3)
     for _ in range(20):
