@@ -2,7 +2,9 @@
 
 A page is read once into elements and text blocks.  Elements that never hold article text (scripts, menus,
 headers, footers, forms, and whatever is named like an advert, notice, sidebar or comment section) are
-dropped with all they contain.  Every remaining block passes points for its length and commas to its
+dropped with all they contain.  Inside an ``article`` or ``main`` only classes and roles of one meaning count, and ids,
+which are often made of headings, never; the same holds for headings and sections anywhere, and ids of
+blocks do not count inside the container that is kept.  Every remaining block passes points for its length and commas to its
 ancestors, less with each level and less by its share of link text.  The container of the most points, again
 discounted by its link density, is kept with its good siblings; inside an ``article`` or ``main`` it grows to
 that element.  Its blocks are the result, in page order.
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|title|iframe|svg|math|object|select)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style|noscript|template|textarea|title|iframe|svg|object|select)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<[!?/][^>]*>",
     re.S | re.I,
@@ -34,7 +36,7 @@ TOKEN = re.compile(
 ATTR = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|\b(hidden)\b")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-DROPPED = frozenset("head nav footer aside form button input label fieldset dialog menu canvas audio video datalist map".split())
+DROPPED = frozenset("head nav footer aside form button input label fieldset dialog menu canvas audio video datalist map annotation annotation-xml".split())
 BLOCKS = frozenset(
     "html body article main section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption pre blockquote figure"
     " figcaption address header footer nav aside form fieldset hr center details summary hgroup search".split()
@@ -53,33 +55,50 @@ UNLIKELY = frozenset(
     " outbrain taboola toolbar skip search contentinfo complementary legal disclaimer feedback responses adslot adbox adunit advertorial sidenav"
     " sidepanel menubar dropdown cookiebar notification notifications toast paywall privacy".split()
 )
+#: Those that have no other meaning, even inside an article, and roles like them.
+SURE = frozenset(
+    "ad ads adv advert adverts advertisement advertising adsense sponsored adslot adbox adunit advertorial comments commentlist disqus sidebar"
+    " sidebars sidenav sidepanel share sharing cookie cookies cookiebar gdpr newsletter navbar breadcrumb breadcrumbs pagination outbrain taboola paywall".split()
+)
+HARD, SOFT = 2, 1
+SURE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog menu menubar toolbar".split())
 #: Words that tell that a container has, or lacks, one of these.
 ABOUT = frozenset("has have with without no".split())
 LIKELY = frozenset("article content main body post entry story text page".split())
-LINK_LISTS = frozenset("ul ol dl table div section p".split())
+LINK_LISTS = frozenset("ul ol dl div".split())
 
 
 def _attrs(raw: str) -> dict[str, str]:
     return {(m[1] or m[5]).lower(): m[2] or m[3] or m[4] or "" for m in ATTR.finditer(raw)} if raw.strip(" /") else {}
 
 
-def _is_dropped(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
+def _words(attrs: dict[str, str], *keys: str) -> set[str]:
+    return {w.lower() for k in keys for w in re.split(r"[\s_-]+|(?<=[a-z])(?=[A-Z])", attrs.get(k, "")) if w}
+
+
+def _is_dropped(tag: str, attrs: dict[str, str], in_article: bool) -> int:
+    """HARD if an element is dropped, SOFT if only outside the container that is kept, else 0."""
     if tag in DROPPED or tag == "header" and not in_article:
-        return True
+        return HARD
     if "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in attrs.get("style", "").replace(" ", "").lower():
-        return True
+        return HARD
     if tag in ("html", "body"):
-        return False
-    names = {w for k in ("class", "id", "role") for w in re.split(r"[\s_-]+|(?<=[a-z])(?=[A-Z])", attrs.get(k, "")) if w}
-    names = {w.lower() for w in names}
-    return bool(names & UNLIKELY) and not names & ABOUT and not (tag in ("article", "main") and names & LIKELY)
+        return 0
+    names, ids = _words(attrs, "class", "role"), _words(attrs, "id")
+    if (names | ids) & ABOUT or tag in ("article", "main") and (names | ids) & LIKELY:
+        return 0
+    if in_article or tag in HEADINGS or tag == "section":
+        return HARD if names & SURE or attrs.get("role", "").lower() in SURE_ROLES else 0
+    if names & UNLIKELY:
+        return HARD
+    return (SOFT if tag in BLOCKS else HARD) if ids & UNLIKELY else 0
 
 
 class _Page:
     """Elements (tag, parent, dropped) and blocks of text in page order."""
 
     def __init__(self, html: str):
-        self.tag, self.parent, self.dropped, self.block_of = ["html"], [-1], [False], [0]
+        self.tag, self.parent, self.dropped, self.block_of = ["html"], [-1], [0], [0]
         self.articles = [-1]  # the outermost article or main around each element
         self.blocks: list[tuple[int, str, int]] = []  # block element, text, letters in links
         self.links: list[int] = [0]  # links inside, own ones only
@@ -136,7 +155,7 @@ class _Page:
         around = self.articles[parent]
         self.tag.append(tag)
         self.parent.append(parent)
-        self.dropped.append(self.dropped[parent] or _is_dropped(tag, attrs, around >= 0))
+        self.dropped.append(max(self.dropped[parent], _is_dropped(tag, attrs, around >= 0)))
         self.block_of.append(i if tag in BLOCKS else self.block_of[parent])
         self.articles.append(around if around >= 0 else i if tag in ("article", "main") else -1)
         self.links.append(0)
@@ -163,7 +182,7 @@ class _Page:
         return closed
 
     def _text(self, element: int, raw: str, anchors: int) -> None:
-        if not self.dropped[element]:
+        if self.dropped[element] < HARD:
             self._parts.append(text := unescape(raw))
             if anchors:
                 self._linked += len("".join(text.split()))
@@ -188,6 +207,8 @@ def main_text(html: str | None) -> str:
         if page.parent[i] >= 0:
             links[page.parent[i]] += links[i]
     for block, text, link in page.blocks:
+        if page.dropped[block]:
+            continue
         letters = len(text) - text.count(" ")
         own = 0.0 if page.tag[block] in HEADINGS else (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - min(1, link / max(1, letters)))
         level, i = 0, block if page.tag[block] in ("html", "body", "article", "main", "section", "div", "center") else page.parent[block]
@@ -215,11 +236,15 @@ def main_text(html: str | None) -> str:
             good = page.tag[i] in ("p", "pre", "blockquote") and density[i] < 0.25 and (size[i] > 80 or density[i] == 0)
             if score[i] >= least or good:
                 kept.add(i)
+    spare = page.tag[top] not in ("html", "body") and not page.dropped[top]  # blocks named by an id inside the container stay
+    within = [False] * n
+    for i in range(n):
+        within[i] = i == top or page.parent[i] >= 0 and within[page.parent[i]]
     lists = {i for i in range(n) if page.tag[i] in LINK_LISTS and links[i] >= 2 and density[i] > 0.6 and i != top}
     inside = [False] * n
     for i in range(n):
         inside[i] = i not in lists and (i in kept or page.parent[i] >= 0 and inside[page.parent[i]])
-    return "\n".join(text for block, text, _ in page.blocks if inside[block])
+    return "\n".join(text for block, text, _ in page.blocks if inside[block] and (not page.dropped[block] or spare and within[block]))
 
 
 def main_text_udf():

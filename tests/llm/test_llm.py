@@ -443,6 +443,19 @@ def test_op10(spark):
     assert html_text.op10(pages.limit(0)).count() == 0
 
 
+def test_op10_keeps_the_whole_article():
+    para = "A paragraph of the article, with commas, and enough words in it, to score well among the others."
+    parts = "".join(f"<section id='{x}'><h2 id='{x}-h'>{x}</h2><p>{para} {x}</p></section>" for x in ("related-work", "discussion", "privacy", "legal", "feedback", "search", "responses", "promotion"))
+    odd = "<p>See <a href=1>first</a> and <a href=2>second</a>.</p><table><tr><td><a href=1>one</a></td><td><a href=2>two</a></td></tr></table><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> hold.</p>"
+    ads = f"<div class='ad'><p>{para} bought</p></div><div class='comments'><p>{para} said</p></div>"
+    for outer in ("article", "main", "div class='content'"):
+        text = html_text.main_text(f"<body><div id='sidebar'><p>aside, {para}</p></div><{outer}><h1>T</h1><p>{para}</p>{parts}<div id='related-links'><p>{para} kept</p></div>{odd}{ads}</{outer.split()[0]}></body>")
+        lines = text.split("\n")
+        assert [x for x in ("related-work", "discussion", "privacy", "legal", "feedback", "search", "responses", "promotion") if x not in lines or f"{para} {x}" not in lines] == []
+        assert {f"{para} kept", "See first and second.", "one", "two", "Let x=1 hold."} <= set(lines)
+        assert "bought" not in text and "said" not in text and "aside" not in text
+
+
 def test_pipeline(spark, tmp_path):
     rng = random.Random(23)
     item = words(20, rng)
