@@ -9,6 +9,10 @@ the exact (Clopper-Pearson) upper bound lying at or below alpha.  Rejections onl
 so the cutoffs of one rule are tested in that fixed order and need no further correction.  The lowest admitted
 cutoff is taken; where none is, the rule rejects nothing in that stratum.
 
+With ``pooled``, each rule is also tested over all strata together, which counts in the correction, and strata with too
+few labels for a test of their own use that cutoff: its bound holds for their mixture, not for each.
+The registered query has none, as its SQL says.
+
 All labelled documents count.  Counts are pre-aggregated to (stratum, rule, level), so their size does
 not follow the input and a hot stratum is no hot task; the cutoff table is broadcast
 after its size was checked.
@@ -97,16 +101,23 @@ def most_rejected(n: Column, alpha: float, level: Column) -> Column:
     return F.aggregate(ks, start, step, lambda s: s["k"])
 
 
-def learn_cutoffs(labelled: DataFrame, alpha: float = ALPHA, delta: float = DELTA, rules: dict = RULES) -> DataFrame:
-    """stratum and one cutoff column for each rule (null: none) from good documents with statistics, stratum and weight."""
+def learn_cutoffs(labelled: DataFrame, alpha: float = ALPHA, delta: float = DELTA, rules: dict = RULES, pooled: bool = False) -> DataFrame:
+    """stratum and one cutoff column for each rule (null: none) from good documents with statistics, stratum and weight.
+
+    With pooled, a null stratum has the cutoffs over all; null is then only where labels are too few, and over LEVELS none."""
     levels = F.explode(F.create_map(*[x for r, e in rules.items() for x in (F.lit(r), F.expr(e))])).alias("rule", "level")
     counts = labelled.select("stratum", "weight", levels).groupBy("stratum", "rule", "level").agg(F.sum("weight").alias("n"))
+    if pooled:
+        counts = cut(counts)
+        counts = counts.union(counts.groupBy("rule", "level").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string"), "rule", "level", "n"))
     # at most 101 levels for each stratum and rule from here on
     by = counts.groupBy("stratum", "rule").agg(F.sum("n").alias("total"), F.collect_list(F.struct("level", "n")).alias("hist"))
     by = cut(by)
     by = by.withColumn("most", most_rejected(F.col("total"), alpha, F.lit(delta / max(1, by.count()))))
     rejected = lambda c: F.aggregate("hist", F.lit(0).cast("bigint"), lambda s, x: s + F.when(x["level"] >= c, x["n"]).otherwise(0))
     cutoff = F.array_min(F.filter(F.sequence(F.lit(1), F.lit(LEVELS)), lambda c: rejected(c) <= F.col("most")))
+    if pooled:
+        cutoff = F.when(F.col("most") >= 0, F.coalesce(cutoff, F.lit(LEVELS + 1)))
     return by.select("stratum", "rule", cutoff.alias("cutoff")).groupBy("stratum").agg(*[F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"cut_{r}") for r in rules])
 
 
@@ -119,17 +130,19 @@ def quality_rules(
     good: str = "quality = 1",
     alpha: float = ALPHA,
     delta: float = DELTA,
+    pooled: bool = False,
 ) -> DataFrame:
     """(doc_id, the statistics, base_failed, kept, failed_rules) for each document row; labels has doc_id."""
     part = F.coalesce(F.col(stratum).cast("string"), F.lit("und")) if stratum else F.lit("all")
     stats = statistics(documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), part.alias("stratum"))).drop("text")
     stats = cut(stats)  # a few numbers for each document, used to learn and to judge
     holdout = labels.where(good).groupBy(F.col(doc_id).alias("doc_id")).agg(F.count("*").alias("weight"))
-    cutoffs = cut(learn_cutoffs(stats.join(holdout, "doc_id"), alpha, delta))
+    cutoffs = cut(learn_cutoffs(stats.join(holdout, "doc_id"), alpha, delta, pooled=pooled))
+    over_all = cutoffs.where("stratum is null").first() if pooled else None
     if cutoffs.count() <= BROADCAST_CUTOFFS:
         cutoffs = F.broadcast(cutoffs)
     judged = stats.join(cutoffs, "stratum", "left")
-    failed = F.array_compact(F.array(*[F.when(F.expr(e) >= F.col(f"cut_{r}"), F.lit(r)) for r, e in RULES.items()]))
+    failed = F.array_compact(F.array(*[F.when(F.expr(e) >= F.coalesce(F.col(f"cut_{r}"), F.lit(over_all and over_all[f"cut_{r}"]).cast("int")), F.lit(r)) for r, e in RULES.items()]))
     base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     return judged.select("doc_id", *STATS, base.alias("base_failed"), (~base & (F.size(failed) == 0)).alias("kept"), failed.alias("failed_rules"))
 

@@ -110,6 +110,19 @@ def test_op2_false_rejection_is_bounded(spark):
     assert quality_rules.op2(frame(spark, good[:20]), labels.limit(0)).where("kept").count() == 20
 
 
+def test_op2_pooled_cutoffs(spark):
+    """Strata with too few labels reject junk by the cutoffs over all strata; good documents stay."""
+    rng = random.Random(37)
+    rows = [(i, words(60, rng), ("a", "b", "c", None)[i % 4], "s", 1) for i in range(2400)]
+    rows += [(10_000 + i, " ".join(w + "***" for w in words(60, rng).split()), ("a", "b", "c", None, "rare")[i % 5], "s", 1) for i in range(100)]
+    docs = spark.createDataFrame(rows, DOC)
+    labels = spark.createDataFrame([(i, int(i < 10_000), 0) for i, *_ in rows], "doc_id bigint, quality int, toxic int")
+    kept = {p: {r.doc_id for r in quality_rules.quality_rules(docs, labels, pooled=p).where("kept").collect()} for p in (False, True)}
+    assert len([i for i in kept[False] if i >= 10_000]) == 100
+    assert not [i for i in kept[True] if i >= 10_000] and len(kept[True]) >= 0.975 * 2400
+    assert quality_rules.quality_rules(docs, labels.limit(0), pooled=True).where("kept").count() >= 2400
+
+
 def test_op3(spark):
     mit = license_scan.TEMPLATES["mit"][0]
     docs = [*EDGE, (40, "x Under the MIT License, y under the mit-license"), (41, "CC BY-NC; Apache License, Version 2"), (42, words(30) + " " + mit.title() + " " + words(10)), (43, mit.replace("without restriction", "x y")), (44, " ".join(reversed(mit.split())))]
