@@ -1,25 +1,30 @@
 """Quality rules whose cutoffs are chosen under a bound on false rejection.
 
 Whole-text statistics are built-in column work, one narrow projection.  Each rule turns them into an
-integer level from 0 to ``LEVELS``; a cutoff c rejects documents at level c or above.  For every
-stratum (a language) and rule, the labelled good documents are the holdout: with k of n good
-documents rejected, the cutoff is admitted if the exact binomial probability of k or fewer at
-rejection rate ``alpha`` is at most ``delta`` divided by the number of (stratum, rule) tests, which is
-the exact (Clopper-Pearson) upper bound lying at or below alpha.  Rejections only grow as the cutoff falls,
-so the cutoffs of one rule are tested in that fixed order and need no further correction.  The lowest admitted
-cutoff is taken; where none is, the rule rejects nothing in that stratum.
-
-With ``pooled``, each rule is also tested over all strata together, which counts in the correction, and strata with too
-few labels for a test of their own use that cutoff: its bound holds for their mixture, not for each.
-The registered query has none, as its SQL says.
-
-All labelled documents count.  Counts are pre-aggregated to (stratum, rule, level), so their size does
+integer level: 0 for what prose shows, ``LEVELS`` for the extreme.  A document's severity is its highest level, and a
+cutoff c rejects every document of severity c or above, so the risk that is controlled is that of all rules together.
+
+For every stratum (a language), the labelled good documents are the holdout: with k of n good documents rejected, a
+cutoff is admitted if the exact binomial probability of k or fewer at rejection rate alpha is at most ``delta``
+divided by the number of strata (the correction for multiple tests), which is the exact (Clopper-Pearson) upper bound lying at or below
+alpha.  Rejections only grow as the cutoff falls, so the cutoffs of a stratum are tested in that fixed order and need no further
+correction.  The lowest admitted cutoff is taken.  So with probability 1 - delta every stratum falsely rejects at most its alpha of the good documents.
+
+alpha is the target ``ALPHA`` where a stratum has labels enough to certify it, else the smallest per mille that its number of labels
+can certify, up to ``MAX_ALPHA``; beyond that (fewer than 86 labels in four strata) no bound can be given and the rules reject nothing there.  It follows from the
+number of labels alone, not from what they show, so the bound stays exact.
+
+With ``pooled``, the cutoff over all strata together is tested too (which counts in the correction), and strata with too
+few labels use it: its bound holds for their mixture, not for each.  The registered query does without.
+
+All labelled documents count.  Counts are pre-aggregated to (stratum, level), so their size does
 not follow the input and a hot stratum is no hot task; the cutoff table is broadcast
-after its size was checked.
+only after its size was checked.
 
-Defined results: a null or empty text has zero statistics and fails the base rule (fewer than 10 words);
-a null stratum value is the stratum ``und``; documents without label are judged, never learnt from;
-repeated documents and labels all count; without labels only the base rule rejects.
+Defined results: a null or empty text has zero statistics and fails the base rule (fewer than 10 words); very long texts are
+measured whole; a null stratum value is the stratum ``und``; documents without label are judged, never learnt from;
+repeated documents and labels all count; a severity equal to the cutoff is rejected; without labels only the base rule rejects; an empty table gives
+no rows; columns of documents other than id, text and stratum are not read, so none can clash.
 """
 
 from __future__ import annotations
@@ -34,6 +39,7 @@ from notewarden.llm.common import SPACE_CHARS, cut, space_words
 SYMBOLS = "#*$%&|<>"
 LEVELS = 100
 ALPHA = 0.005
+MAX_ALPHA = 0.05
 DELTA = 0.05
 BROADCAST_CUTOFFS = 100_000
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -43,8 +49,8 @@ RULES = {
     "symbols": "least((100 * n_symbols) div greatest(n_words, 1), 100)",
     "dup_lines": "least((400 * n_dup_lines) div greatest(n_words, 1), 100)",
     "repeats": "least((100 * n_repeat_words) div greatest(n_words, 1), 100)",
-    "long_words": "least((5 * word_chars) div greatest(n_words, 1), 100)",
-    "short_words": "least((100 * n_words) div greatest(word_chars, 1), 100)",
+    "long_words": "least((10 * greatest(word_chars - 8 * n_words, 0)) div greatest(n_words, 1), 100)",
+    "short_words": "least((40 * greatest(3 * n_words - word_chars, 0)) div greatest(n_words, 1), 100)",
 }
 
 
@@ -85,40 +91,46 @@ def statistics(documents: DataFrame, text: str = "text") -> DataFrame:
     ).drop("__words", "__lines", "__grams", "__twice", "__placed", "__at")
 
 
-def most_rejected(n: Column, alpha: float, level: Column) -> Column:
+def certified_alpha(n: Column, level: Column, alpha: float = ALPHA) -> Column:
+    """The smallest rejection rate that n good documents, none of them rejected, certify at the level; in per mille, at least alpha."""
+    return F.greatest(F.lit(alpha), F.ceil(1000 * (1 - F.pow(level, 1 / n))) / 1000)
+
+
+def most_rejected(n: Column, alpha: Column, level: Column) -> Column:
     """The largest k with P(Bin(n, alpha) <= k) <= level, -1 if there is none; exact, summed in logarithms."""
-    odds = math.log(alpha / (1 - alpha))
+    odds = F.log(alpha / (1 - alpha))
 
     def step(s: Column, k: Column) -> Column:
         term = s["term"] + F.log(n - k + 1) - F.log(k.cast("double")) + odds
         total = F.greatest(s["total"], term) + F.log1p(F.exp(-F.abs(s["total"] - term)))
         return F.struct(term.alias("term"), total.alias("total"), F.when(total <= F.log(level), k).otherwise(s["k"]).alias("k"))
 
-    first = n * math.log(1 - alpha)
+    first = n * F.log(1 - alpha)
     start = F.struct(first.alias("term"), first.alias("total"), F.when(first <= F.log(level), F.lit(0).cast("bigint")).otherwise(F.lit(-1).cast("bigint")).alias("k"))
     # P(X <= k) is at least about a half from the mean on, so no larger k can pass
     ks = F.when(n * alpha >= 1, F.sequence(F.lit(1).cast("bigint"), F.ceil(n * alpha))).otherwise(F.array().cast("array<bigint>"))
     return F.aggregate(ks, start, step, lambda s: s["k"])
 
 
-def learn_cutoffs(labelled: DataFrame, alpha: float = ALPHA, delta: float = DELTA, rules: dict = RULES, pooled: bool = False) -> DataFrame:
-    """stratum and one cutoff column for each rule (null: none) from good documents with statistics, stratum and weight.
+def severity(rules: dict = RULES) -> Column:
+    return F.greatest(*[F.expr(e) for e in rules.values()])
 
-    With pooled, a null stratum has the cutoffs over all; null is then only where labels are too few, and over LEVELS none."""
-    levels = F.explode(F.create_map(*[x for r, e in rules.items() for x in (F.lit(r), F.expr(e))])).alias("rule", "level")
-    counts = labelled.select("stratum", "weight", levels).groupBy("stratum", "rule", "level").agg(F.sum("weight").alias("n"))
+
+def learn_cutoffs(labelled: DataFrame, alpha: float = ALPHA, delta: float = DELTA, max_alpha: float = MAX_ALPHA, rules: dict = RULES, pooled: bool = False) -> DataFrame:
+    """(stratum, alpha, cutoff) from good documents with statistics, stratum and weight; a null cutoff where the labels are too few,
+    one over LEVELS where none is admitted.  With pooled, a null stratum has the cutoff over all."""
+    counts = labelled.groupBy("stratum", severity(rules).alias("level")).agg(F.sum("weight").alias("n"))
     if pooled:
         counts = cut(counts)
-        counts = counts.union(counts.groupBy("rule", "level").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string"), "rule", "level", "n"))
-    # at most 101 levels for each stratum and rule from here on
-    by = counts.groupBy("stratum", "rule").agg(F.sum("n").alias("total"), F.collect_list(F.struct("level", "n")).alias("hist"))
-    by = cut(by)
-    by = by.withColumn("most", most_rejected(F.col("total"), alpha, F.lit(delta / max(1, by.count()))))
+        counts = counts.union(counts.groupBy("level").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string"), "level", "n"))
+    # at most 101 levels for each stratum from here on
+    by = cut(counts.groupBy("stratum").agg(F.sum("n").alias("total"), F.collect_list(F.struct("level", "n")).alias("hist")))
+    level = F.lit(delta / max(1, by.count()))
+    by = by.withColumn("alpha", certified_alpha(F.col("total"), level, alpha))
+    by = by.withColumn("most", most_rejected(F.col("total"), F.col("alpha"), level))
     rejected = lambda c: F.aggregate("hist", F.lit(0).cast("bigint"), lambda s, x: s + F.when(x["level"] >= c, x["n"]).otherwise(0))
     cutoff = F.array_min(F.filter(F.sequence(F.lit(1), F.lit(LEVELS)), lambda c: rejected(c) <= F.col("most")))
-    if pooled:
-        cutoff = F.when(F.col("most") >= 0, F.coalesce(cutoff, F.lit(LEVELS + 1)))
-    return by.select("stratum", "rule", cutoff.alias("cutoff")).groupBy("stratum").agg(*[F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"cut_{r}") for r in rules])
+    return by.select("stratum", "alpha", F.when(F.col("alpha") <= max_alpha, F.coalesce(cutoff, F.lit(LEVELS + 1))).alias("cutoff"))
 
 
 def quality_rules(
@@ -130,6 +142,7 @@ def quality_rules(
     good: str = "quality = 1",
     alpha: float = ALPHA,
     delta: float = DELTA,
+    max_alpha: float = MAX_ALPHA,
     pooled: bool = False,
 ) -> DataFrame:
     """(doc_id, the statistics, base_failed, kept, failed_rules) for each document row; labels has doc_id."""
@@ -137,14 +150,15 @@ def quality_rules(
     stats = statistics(documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), part.alias("stratum"))).drop("text")
     stats = cut(stats)  # a few numbers for each document, used to learn and to judge
     holdout = labels.where(good).groupBy(F.col(doc_id).alias("doc_id")).agg(F.count("*").alias("weight"))
-    cutoffs = cut(learn_cutoffs(stats.join(holdout, "doc_id"), alpha, delta, pooled=pooled))
+    cutoffs = cut(learn_cutoffs(stats.join(holdout, "doc_id"), alpha, delta, max_alpha, pooled=pooled))
     over_all = cutoffs.where("stratum is null").first() if pooled else None
     if cutoffs.count() <= BROADCAST_CUTOFFS:
         cutoffs = F.broadcast(cutoffs)
     judged = stats.join(cutoffs, "stratum", "left")
-    failed = F.array_compact(F.array(*[F.when(F.expr(e) >= F.coalesce(F.col(f"cut_{r}"), F.lit(over_all and over_all[f"cut_{r}"]).cast("int")), F.lit(r)) for r, e in RULES.items()]))
+    limit = F.coalesce("cutoff", F.lit(over_all and over_all.cutoff).cast("int"), F.lit(LEVELS + 1))
+    failed = F.array_compact(F.array(*[F.when(F.expr(e) >= limit, F.lit(r)) for r, e in RULES.items()]))
     base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return judged.select("doc_id", *STATS, base.alias("base_failed"), (~base & (F.size(failed) == 0)).alias("kept"), failed.alias("failed_rules"))
+    return judged.select("doc_id", *STATS, base.alias("base_failed"), (~base & (severity() < limit)).alias("kept"), failed.alias("failed_rules"))
 
 
 def op2(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -153,8 +167,7 @@ def op2(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _sql() -> str:
     rule = {r: e.replace(" div ", " // ") for r, e in RULES.items()}
-    levels = " UNION ALL ".join(f"SELECT stratum, '{r}' AS rule, {e} AS level FROM good" for r, e in rule.items())
-    fails = " OR ".join(f"coalesce({e} >= (SELECT cutoff FROM c WHERE c.stratum = s.stratum AND c.rule = '{r}'), false)" for r, e in rule.items())
+    level = f"greatest({', '.join(rule.values())})"
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, coalesce(lang, 'und') AS stratum,
     list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
@@ -168,17 +181,18 @@ s AS (SELECT d.r, doc_id, stratum, len(w)::BIGINT AS n_words, coalesce(list_sum(
   coalesce(l.n, 0)::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words
   FROM d LEFT JOIN l USING (r) LEFT JOIN rep USING (r)),
 good AS (SELECT s.* FROM s JOIN labels USING (doc_id) WHERE quality = 1),
-lv AS ({levels}),
-tot AS (SELECT stratum, rule, count(*) AS n FROM lv GROUP BY ALL),
-pr AS (SELECT stratum, rule, k, sum(exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * ln({ALPHA}) + (n - k) * ln(1 - {ALPHA})))
-    OVER (PARTITION BY stratum, rule ORDER BY k) AS p
-  FROM (SELECT stratum, rule, n, unnest(range(0, n + 1)) AS k FROM tot)),
-most AS (SELECT stratum, rule, max(k) AS most FROM pr WHERE p <= {DELTA} / (SELECT count(*) FROM tot) GROUP BY ALL),
-c AS (SELECT stratum, rule, min(cut) AS cutoff FROM
-  (SELECT m.stratum, m.rule, cut, most, count(lv.level) AS k FROM most m CROSS JOIN range(1, {LEVELS + 1}) AS x(cut)
-   LEFT JOIN lv ON lv.stratum = m.stratum AND lv.rule = m.rule AND lv.level >= cut GROUP BY ALL) WHERE k <= most GROUP BY ALL)
+lv AS (SELECT stratum, {level} AS level FROM good),
+tot AS (SELECT stratum, n, greatest({ALPHA}, ceil(1000 * (1 - pow({DELTA} / (SELECT count(DISTINCT stratum) FROM lv), 1.0::DOUBLE / n))) / 1000)::DOUBLE AS alpha
+  FROM (SELECT stratum, count(*) AS n FROM lv GROUP BY stratum)),
+pr AS (SELECT stratum, k, sum(exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * ln(alpha) + (n - k) * ln(1 - alpha)))
+    OVER (PARTITION BY stratum ORDER BY k) AS p
+  FROM (SELECT stratum, n, alpha, unnest(range(0, n + 1)) AS k FROM tot WHERE alpha <= {MAX_ALPHA})),
+most AS (SELECT stratum, max(k) AS most FROM pr WHERE p <= {DELTA} / (SELECT count(*) FROM tot) GROUP BY ALL),
+c AS (SELECT stratum, min(cut) AS cutoff FROM
+  (SELECT m.stratum, cut, most, count(lv.level) AS k FROM most m CROSS JOIN range(1, {LEVELS + 1}) AS x(cut)
+   LEFT JOIN lv ON lv.stratum = m.stratum AND lv.level >= cut GROUP BY ALL) WHERE k <= most GROUP BY ALL)
 SELECT doc_id, {', '.join(STATS)}, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
-  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR {fails}) AS kept FROM s
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR coalesce({level} >= cutoff, false)) AS kept FROM s LEFT JOIN c USING (stratum)
 """
 
 

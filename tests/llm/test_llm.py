@@ -86,7 +86,7 @@ def test_op2_statistics(spark):
 
 @pytest.mark.parametrize(("n", "alpha", "level"), [(0, 0.01, 0.05), (10, 0.01, 0.05), (2000, 0.01, 0.01), (300, 0.2, 0.001), (50_000, 0.005, 0.0025)])
 def test_op2_binomial(spark, n, alpha, level):
-    got = spark.range(1).select(quality_rules.most_rejected(F.lit(n).cast("bigint"), alpha, F.lit(level)).alias("k")).first().k
+    got = spark.range(1).select(quality_rules.most_rejected(F.lit(n).cast("bigint"), F.lit(alpha), F.lit(level)).alias("k")).first().k
     total, want = 0.0, -1
     for k in range(n + 1):
         total += math.exp(math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(alpha) + (n - k) * math.log(1 - alpha))
@@ -110,21 +110,39 @@ def test_op2_false_rejection_is_bounded(spark):
     assert quality_rules.op2(frame(spark, good[:20]), labels.limit(0)).where("kept").count() == 20
 
 
-def test_op2_pooled_cutoffs(spark):
-    """Strata with too few labels reject junk by the cutoffs over all strata; good documents stay."""
+def test_op2_joint_bound(spark):
+    """Cutoffs at which all rules together would reject more than alpha of the good documents are seldom admitted."""
+    rng = random.Random(41)
+    trials, rows = 60, []
+    for t in range(trials):  # 0.6 % of good documents break one rule, another 0.6 % a second one at level 60
+        rows += [(f"s{t:02}", 100 if rng.random() < 0.006 else 0, 15 if rng.random() < 0.006 else 0) for _ in range(300)]
+    df = spark.createDataFrame(rows, "stratum string, n_symbols bigint, n_dup_lines bigint")
+    df = df.selectExpr("*", "100L AS n_words", "500L AS word_chars", "0L AS n_repeat_words", "1L AS weight")
+    got = quality_rules.learn_cutoffs(df, delta=0.05 * trials).collect()  # each stratum is a trial at 0.05
+    assert len(got) == trials and all(r.alpha == 0.01 for r in got)  # 300 documents certify 1 % at best
+    assert sum(r.cutoff <= 60 for r in got) <= 0.05 * trials + 3  # 1.2 % together
+    assert sum(60 < r.cutoff <= 100 for r in got) >= 3  # 0.6 %
+
+
+def test_op2_strata(spark):
+    """Strata with labels enough reject junk by their own cutoff; one with too few only by the pooled one."""
     rng = random.Random(37)
     rows = [(i, words(60, rng), ("a", "b", "c", None)[i % 4], "s", 1) for i in range(2400)]
     rows += [(10_000 + i, " ".join(w + "***" for w in words(60, rng).split()), ("a", "b", "c", None, "rare")[i % 5], "s", 1) for i in range(100)]
     docs = spark.createDataFrame(rows, DOC)
     labels = spark.createDataFrame([(i, int(i < 10_000), 0) for i, *_ in rows], "doc_id bigint, quality int, toxic int")
     kept = {p: {r.doc_id for r in quality_rules.quality_rules(docs, labels, pooled=p).where("kept").collect()} for p in (False, True)}
-    assert len([i for i in kept[False] if i >= 10_000]) == 100
+    assert {i for i in kept[False] if i >= 10_000} == {i for i in range(10_000, 10_100) if i % 5 == 4}
     assert not [i for i in kept[True] if i >= 10_000] and len(kept[True]) >= 0.975 * 2400
+    few = labels.where("doc_id < 200")  # 50 a stratum: no bound can be given
+    assert quality_rules.quality_rules(docs, few).where("kept").count() >= 2400 + 95
     assert quality_rules.quality_rules(docs, labels.limit(0), pooled=True).where("kept").count() >= 2400
+    clash = docs.withColumns({"stratum": F.lit("x"), "kept": F.lit(1), "n_words": F.lit("y"), "cutoff": F.lit(0)})
+    assert sorted(map(str, quality_rules.op2(clash, labels).collect())) == sorted(map(str, quality_rules.op2(docs, labels).collect()))
 
 
 def test_op3(spark):
-    mit = license_scan.TEMPLATES["mit"][0]
+    mit = license_scan.TEMPLATES[0][1]
     docs = [*EDGE, (40, "x Under the MIT License, y under the mit-license"), (41, "CC BY-NC; Apache License, Version 2"), (42, words(30) + " " + mit.title() + " " + words(10)), (43, mit.replace("without restriction", "x y")), (44, " ".join(reversed(mit.split())))]
     got = {r.doc_id: r for r in license_scan.op3(frame(spark, docs)).collect()}
     r = got[40]
@@ -135,6 +153,45 @@ def test_op3(spark):
     assert (got[1].n_words, got[1].first_word, got[1].score) == (0, None, 0.0)
     assert all(r.n_words == len(alnum(t)) for i, t in docs if (r := got[i]) and i != 7)
     assert license_scan.op3(empty(spark)).count() == 0
+    clash = frame(spark, docs).withColumns({"labels": F.lit(1), "__at": F.lit(2), "n_words": F.lit("z")})
+    assert sorted(r.labels for r in license_scan.license_scan(clash).collect()) == sorted(r.labels for r in license_scan.op3(frame(spark, docs)).collect())
+
+
+def brute_licenses(texts, templates, rare):
+    """labels and best share of each text, by counting over all alignments."""
+    docs = [alnum(t) for t in texts]
+    df = lambda w: sum(w in d for d in docs)
+    out = []
+    for d in docs:
+        line, found = f" {' '.join(d)} ", {}
+        for label, passage, keys in templates:
+            v = alnum(passage)
+            top = sorted(set(v), key=lambda w: (df(w), -len(w), w))[:rare]
+            places = [(w, p) for p, w in enumerate(v) if w in top]
+            best = max((sum(0 <= x + p < len(d) and d[x + p] == w for w, p in places) for x in range(-len(v), len(d))), default=0)
+            if places and 5 * best >= 3 * len(places) and all(f" {' '.join(alnum(k))} " in line for k in keys):
+                found[label] = max(found.get(label, 0.0), best / len(places))
+        out.append((",".join(sorted(found)), max(found.values(), default=0.0)))
+    return out
+
+
+def test_op3_catalogue(spark):
+    """A catalogue given as a table, against counting over all alignments; the index follows the corpus' frequencies."""
+    rng = random.Random(43)
+    templates = [(f"l{i % 5}", words(rng.randint(3, 40), rng), [words(1, rng)] if i % 3 else []) for i in range(12)]
+    templates = [(x, p + " " + " ".join(k), k) for x, p, k in templates]
+    texts = [None, "", "..."]
+    for i in range(80):
+        parts = [words(rng.randint(0, 30), rng), rng.choice(templates)[1], words(5, rng), rng.choice(templates)[1]]
+        mess = [w if rng.random() < 0.85 else rng.choice(VOCAB) for w in " ".join(parts[: rng.randint(1, 4)]).split()]
+        texts.append(" ".join(mess))
+    table = spark.createDataFrame([*templates, ("none", "...", []), (None, "x", []), ("null", None, None), templates[0]], "label string, passage string, phrases array<string>")
+    got = {r.doc_id: r for r in license_scan.license_scan(frame(spark, list(enumerate(texts))), table, phrases={"zzz": "z"}, rare=6).collect()}
+    want = brute_licenses(texts, templates, 6)
+    assert sum(bool(w) for w, _ in want) > 30
+    for i, (labels, share) in enumerate(want):
+        assert (got[i].labels, round(got[i].score, 9)) == (labels, round(share, 9))
+    assert license_scan.license_scan(frame(spark, [(1, "x y")]), table.limit(0)).first().labels == ""
 
 
 def test_op4(spark):
