@@ -5,17 +5,20 @@ phrases that occur in that language's text; the entropy estimate is phrases * lo
 length) / text length, and the language with the fewest such normalised phrases wins.
 
 Training takes a bounded sample: ``docs_per_lang`` documents of each language (one from each of so many
-hash groups of ids, so the choice is spread over the corpus and pre-aggregated before its shuffle) and
-``chars_per_lang`` characters of them; more than ``MAX_LANGS`` times ``docs_per_lang`` documents to learn from are an error.
+hash groups of ids, so the choice is spread over the corpus and pre-aggregated before its shuffle; texts of
+``USUAL`` characters are preferred), of which whole texts are taken while they fit ``chars_per_lang`` characters.  A language that has only
+longer texts is learnt from slices spread evenly over one of them.  More than ``MAX_LANGS`` times ``docs_per_lang`` documents to learn from are an error.
 Every character of the sample has a code.  Transitions by the ``SYMBOLS`` - 1 most frequent ones are flat tables
 (state x symbol), those by any other (of a further script, say) a sorted list; both have a size fixed by
-these bounds, and are broadcast.  Parsing runs over all texts of an Arrow batch in lockstep with
-numpy; texts are parsed whole, in pieces of ``PIECE`` symbols so that a long text does not hold up a batch
-(each piece starts a new phrase).
+these bounds, and are broadcast.
+
+Texts are parsed whole.  Parsing runs over all texts of an Arrow batch in lockstep with numpy; so that a long text does not hold
+up a batch, it is parsed in pieces at once, each from ``WARM`` characters before its start.  Where a piece has not met the state in which the
+one before it ends, it is parsed again from there, so the phrases are those of one pass.
 
 Defined results: null texts and texts without a letter give ``und`` with score 0; with nothing to learn
-from every text gives ``und``; ties go to the alphabetically first language; a language's name is never
-an input of a prediction.
+from every text gives ``und``; ties go to the alphabetically first language; repeated rows get the same result each; an empty table
+gives no rows; a language's name is never an input of a prediction.
 A column that is named like a result is replaced by it.
 """
 
@@ -35,7 +38,10 @@ DOCS_PER_LANG = 48
 CHARS_PER_LANG = 8_000
 MAX_LANGS = 200
 SYMBOLS = 96
-PIECE = 1024
+PIECE, WARM = 1024, 256
+USUAL = (100, 1_000)
+SLICES = 8
+UNKNOWN = (20, 0.75)  # characters from which, and phrases a character beyond which, a text is in none of the languages
 LETTER = re.compile(r"[^\W\d_]")
 SQUEEZE = re.compile(r"[\W\d_]+")
 
@@ -75,11 +81,21 @@ def squeezed(text: str) -> str:
     return SQUEEZE.sub(" ", text.lower()).strip()
 
 
+def _fitting(texts: list[str], most: int) -> list[str]:
+    """The first text, and of the others those that still fit."""
+    out, size = texts[:1], sum(map(len, texts[:1]))
+    for t in texts[1:]:
+        if size + len(t) + 1 <= most:
+            out.append(t)
+            size += len(t) + 1
+    return out
+
+
 class LanguageModel:
     """Alphabet, transition tables of all languages in one array, and the weight of a phrase."""
 
     def __init__(self, samples: dict[str, list[str]], chars_per_lang: int = CHARS_PER_LANG):
-        texts = {lang: " ".join(filter(None, map(squeezed, parts)))[:chars_per_lang] for lang, parts in samples.items()}
+        texts = {lang: " ".join(_fitting([t for t in map(squeezed, parts) if t], chars_per_lang)) for lang, parts in samples.items()}
         self.langs = sorted(lang for lang, t in texts.items() if t)
         count: dict[str, int] = {}
         for lang in self.langs:
@@ -127,21 +143,26 @@ class LanguageModel:
         at = np.minimum(np.searchsorted(self.rare, key), len(self.rare) - 1)
         return np.where(self.rare[at] == key, self.rare_to[at], -1)
 
-    def phrases(self, pieces: list[np.ndarray]) -> np.ndarray:
-        """Phrases of each piece (rows) in each language (columns)."""
+    def _parse(self, pieces: list[np.ndarray], state: np.ndarray, warm: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Phrases of each piece (columns) in each language (rows) behind its warm-up, and the states there and at its end."""
         lengths = np.array([len(p) for p in pieces])
         order = np.argsort(-lengths, kind="stable")
         grid = np.zeros((lengths.max(initial=0), len(pieces)), np.min_scalar_type(self.width))
         for col, i in enumerate(order):
             grid[: lengths[i], col] = pieces[i]
         alive = np.searchsorted(-lengths[order], -np.arange(len(grid)), side="left")
+        warmed = np.flatnonzero(warm[order])
         n_lang = len(self.langs)
         count = np.zeros((n_lang, len(pieces)), np.int32)
-        state = np.repeat(self.starts[:, None], len(pieces), 1)
+        state = state[:, order].copy()
+        met = state.copy()
         root = self.starts[:, None]
         first = np.stack([self.table[s * self.size : (s + 1) * self.size] for s in self.starts])
         first = np.where(first < 0, root, first)  # an unknown symbol is a phrase of its own
         for t, live in enumerate(alive):
+            if t == WARM and len(warmed):
+                count[:, warmed] = 0
+                met[:, warmed] = state[:, warmed]
             c = grid[t, :live].astype(np.int32)
             s = state[:, :live]
             odd = np.flatnonzero(c >= self.size)
@@ -157,66 +178,87 @@ class LanguageModel:
                 begun = self._rare(np.broadcast_to(root, (n_lang, len(odd))), far)
                 again[:, odd] = np.where(begun < 0, root, begun)
             state[:, :live] = np.where(ends, again, to)
-        out = np.empty((len(pieces), n_lang), np.int32)
-        out[order] = count.T
+        back = np.argsort(order)
+        return count[:, back], met[:, back], state[:, back]
+
+    def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
+        """Phrases of each text's codes (rows) in each language (columns)."""
+        pieces, owner, nth = [], [], []
+        for i, t in enumerate(texts):
+            for k, a in enumerate(range(0, max(1, len(t)), PIECE)):
+                pieces.append(t[max(0, a - WARM) : a + PIECE])
+                owner.append(i)
+                nth.append(k)
+        owner, nth = np.array(owner, np.int64), np.array(nth, np.int64)
+        root = np.repeat(self.starts[:, None], len(pieces), 1)
+        count, met, final = self._parse(pieces, root, nth > 0)
+        for k in range(1, int(nth.max(initial=0)) + 1):
+            at = np.flatnonzero(nth == k)
+            at = at[(met[:, at] != final[:, at - 1]).any(0)]
+            if len(at):
+                count[:, at], _, final[:, at] = self._parse([pieces[i][WARM:] for i in at], final[:, at - 1], np.zeros(len(at), bool))
+        out = np.zeros((len(texts), len(self.langs)), np.int64)
+        np.add.at(out, owner, count.T)
         return out
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+    def predict(self, texts: list[str | None], reject: bool = False) -> tuple[list[str], list[float]]:
+        """Languages and scores; with reject, texts that are in none of the languages give und as well."""
         langs, scores = ["und"] * len(texts), [0.0] * len(texts)
-        if not self.langs:
+        some = [i for i, t in enumerate(texts) if t and LETTER.search(t)] if self.langs else []
+        if not some:
             return langs, scores
-        pieces, owner, n = [], [], np.zeros(len(texts))
-        for i, t in enumerate(texts):
-            if t and LETTER.search(t):
-                codes = self.codes(squeezed(t))
-                n[i] = max(1, len(codes))
-                for a in range(0, max(1, len(codes)), PIECE):
-                    pieces.append(codes[a : a + PIECE])
-                    owner.append(i)
-        if not pieces:
-            return langs, scores
-        total = np.zeros((len(texts), len(self.langs)))
-        np.add.at(total, owner, self.phrases(pieces))
-        entropy = total * self.weight / np.maximum(n, 1)[:, None]
+        codes = [self.codes(squeezed(texts[i])) for i in some]
+        n = np.array([max(1, len(c)) for c in codes])
+        total = self.phrases(codes)
+        entropy = total * self.weight / n[:, None]
         best = entropy.argmin(1)
         # share of the winner among exp(-excess phrases), as a softmax over total code length
-        excess = np.minimum((entropy - entropy.min(1, keepdims=True)) * np.maximum(n, 1)[:, None], 700.0)
+        excess = np.minimum((entropy - entropy.min(1, keepdims=True)) * n[:, None], 700.0)
         share = 1 / np.exp(-excess).sum(1)
-        for i in set(owner):
-            langs[i], scores[i] = self.langs[best[i]], float(share[i])
+        strange = (n >= UNKNOWN[0]) & (total[np.arange(len(some)), best] > UNKNOWN[1] * n) & reject
+        for k in np.flatnonzero(~strange).tolist():
+            langs[some[k]], scores[some[k]] = self.langs[best[k]], float(share[k])
         return langs, scores
 
 
+def _whole_or_slices(text: Column, most: int) -> Column:
+    """The text, or SLICES slices spread over it if it is longer than most."""
+    part, n = most // SLICES, F.length(text)
+    at = lambda k: F.lit(1) + F.floor((n - part) * k / (SLICES - 1)).cast("int")
+    return F.when(n <= most, text).otherwise(F.concat_ws(" ", *[F.substring(text, at(k), F.lit(part)) for k in range(SLICES)]))
+
+
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", docs_per_lang: int = DOCS_PER_LANG, chars_per_lang: int = CHARS_PER_LANG) -> LanguageModel:
     """A model from the rows with a non-null language; at most docs_per_lang rows of each reach the driver."""
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    order = F.xxhash64(F.col(doc_id), F.lit("language"))
+    size = F.length(F.col(text))
+    order = F.struct(~size.between(*USUAL), size > chars_per_lang, F.xxhash64(F.col(doc_id), F.lit("language")), F.xxhash64(F.col(text)))
     group = F.pmod(F.xxhash64(F.col(doc_id), F.lit("group")), F.lit(docs_per_lang))
-    picked = rows.groupBy(F.col(lang).cast("string").alias("lang"), group.alias("g")).agg(F.min_by(F.col(doc_id), order).alias("id"))
-    picked = picked.where("id is not null")
-    few = F.broadcast(picked.orderBy("lang", "g").limit(MAX_LANGS * docs_per_lang + 1).select(F.col("lang").alias("__l"), F.col("id").alias("__id")))
+    picked = rows.groupBy(F.col(lang).cast("string").alias("lang"), group.alias("g")).agg(F.min_by(F.struct(F.col(doc_id).alias("id"), F.xxhash64(F.col(text)).alias("h")), order).alias("k"))
+    picked = picked.where("k.id is not null")
+    few = F.broadcast(picked.orderBy("lang", "g").limit(MAX_LANGS * docs_per_lang + 1).select(F.col("lang").alias("__l"), F.col("k.id").alias("__id"), F.col("k.h").alias("__h")))
     # ids first, then their texts: the long texts of the corpus are never shuffled
-    texts = rows.select(F.col(doc_id).alias("__d"), F.col(lang).cast("string").alias("l"), F.substring(F.col(text), 1, chars_per_lang).alias("t"))
-    texts = texts.join(few, (F.col("__d") == F.col("__id")) & (F.col("l") == F.col("__l")))
-    samples: dict[str, list[str]] = {}
-    share = max(1, 4 * chars_per_lang // docs_per_lang)
-    texts = texts.select("l", "__d", F.substring("t", 1, share).alias("t")).groupBy("l", "__d").agg(F.min("t").alias("t"))  # one of repeated ids
-    rows = texts.collect()
-    if len(rows) > MAX_LANGS * docs_per_lang:
+    texts = rows.select(F.col(doc_id).alias("__d"), F.col(lang).cast("string").alias("l"), F.xxhash64(F.col(text)).alias("__x"), F.col(text).alias("t"))
+    texts = texts.join(few, (F.col("__d") == F.col("__id")) & (F.col("l") == F.col("__l")) & (F.col("__x") == F.col("__h")))
+    texts = texts.select("l", "__d", _whole_or_slices(F.col("t"), chars_per_lang).alias("t")).distinct()  # one of repeated rows
+    samples: dict[str, list[tuple]] = {}
+    found = texts.collect()
+    if len(found) > MAX_LANGS * docs_per_lang:
         raise ValueError(f"more than {MAX_LANGS * docs_per_lang} documents to learn from: over {MAX_LANGS} languages")
-    for r in sorted(rows, key=lambda r: (r["l"], str(r["__d"]), r["t"])):
-        samples.setdefault(r["l"], []).append(r["t"])
-    return LanguageModel(samples, chars_per_lang)
+    for r in found:
+        short = USUAL[0] <= len(r["t"]) <= USUAL[1]
+        samples.setdefault(r["l"], []).append((not short, str(r["__d"]), r["t"]))
+    return LanguageModel({lang: [t for *_, t in sorted(parts)] for lang, parts in samples.items()}, chars_per_lang)
 
 
-def predictor(spark, model: LanguageModel):
+def predictor(spark, model: LanguageModel, reject: bool = False):
     shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("struct<lang:string,score:double>")
     def predict(texts: pd.Series) -> pd.DataFrame:
         langs, scores = [], []
         for a in range(0, len(texts), 1000):
-            found = shared.value.predict(list(texts.iloc[a : a + 1000]))
+            found = shared.value.predict(list(texts.iloc[a : a + 1000]), reject)
             langs += found[0]
             scores += found[1]
         release_memory()
@@ -225,9 +267,9 @@ def predictor(spark, model: LanguageModel):
     return predict.asNondeterministic()  # else a filter on the result would compute it twice
 
 
-def with_language(documents: DataFrame, model: LanguageModel, text: str = "text", to: str = "lang_pred") -> DataFrame:
-    """Adds a struct (lang, score) named to."""
-    return documents.withColumn(to, predictor(documents.sparkSession, model)(F.col(text).cast("string")))
+def with_language(documents: DataFrame, model: LanguageModel, text: str = "text", to: str = "lang_pred", reject: bool = False) -> DataFrame:
+    """Adds a struct (lang, score) named to; with reject, lang is und also for texts in none of the languages."""
+    return documents.withColumn(to, predictor(documents.sparkSession, model, reject)(F.col(text).cast("string")))
 
 
 def held_out(doc_id: Column) -> Column:

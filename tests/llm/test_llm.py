@@ -247,18 +247,22 @@ def test_op6(spark):
     assert {r.lang_pred for r in language_id.op6(frame(spark, EDGE).withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def brute_phrases(text, source):
+    n, i = 0, 0
+    while i < len(text):
+        k = 1
+        while i + k < len(text) and text[i : i + k + 1] in source:
+            k += 1
+        n, i = n + 1, i + k
+    return n
+
+
 def test_op6_phrases():
     model = language_id.LanguageModel({"a": ["abracadabra"], "b": ["hello world hello"]})
 
     def brute(text, lang):
-        text, n, i = language_id.squeezed(text), 0, 0
-        source = {"a": "abracadabra", "b": "hello world hello"}[lang]
-        while i < len(text):
-            k = 1
-            while i + k < len(text) and text[i : i + k + 1] in source:
-                k += 1
-            n, i = n + 1, i + k
-        return n
+        text = language_id.squeezed(text)
+        return brute_phrases(text, {"a": "abracadabra", "b": "hello world hello"}[lang])
 
     texts = ["abra cad", "hello", "world hello abrac", "zzz", "drab low"]
     got = model.phrases([model.codes(language_id.squeezed(t)) for t in texts])
@@ -275,19 +279,28 @@ def test_op6_scripts(spark, monkeypatch):
     rows = [(i, " ".join(rng.choices(lexicon[lang], k=80)), lang, "s", 1) for i, lang in enumerate(sorted(scripts) * 40)]
     docs = spark.createDataFrame(rows, DOC)
     got = language_id.op6(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
-    assert len(got) > 50 and all(r.lang_pred == r.lang for r in got)
+    wrong = [r for r in got if r.lang_pred != r.lang]
+    assert len(got) > 50 and len(wrong) <= 2 and all({r.lang, r.lang_pred} == {"ja", "zz"} for r in wrong)  # zz has all words of ja
     samples = {lang: [t for _, t, x, _, _ in rows if x == lang][:3] for lang in scripts}
     model = language_id.LanguageModel(samples)
-    source = {lang: " ".join(map(language_id.squeezed, parts))[: language_id.CHARS_PER_LANG] for lang, parts in samples.items()}
-    text = language_id.squeezed(rows[5][1] + " " + rows[1][1] + " " + rows[6][1] + " ㍿ǆ")[:900]
-    for col, lang in enumerate(model.langs):
-        n, i = 0, 0
-        while i < len(text):
-            k = 1
-            while i + k < len(text) and text[i : i + k + 1] in source[lang]:
-                k += 1
-            n, i = n + 1, i + k
-        assert model.phrases([model.codes(text)])[0, col] == n
+    source = {lang: " ".join(map(language_id.squeezed, parts)) for lang, parts in samples.items()}
+    # whole predictions of texts of several pieces, also where pieces meet the state before them late or never
+    texts = [language_id.squeezed(" ".join(rng.choice(rows)[1] for _ in range(20)) + " ㍿ǆ") for _ in range(3)]
+    texts += [source["zh"] * 4, source["ja"][:300] * 20, texts[0][:500], "x", texts[1][:1024], texts[1][:1280]]
+    assert len(texts[0]) > 5000
+    got = model.phrases([model.codes(t) for t in texts])
+    assert got.tolist() == [[brute_phrases(t, source[lang]) for lang in model.langs] for t in texts]
+    langs, _ = model.predict(texts)
+    assert langs == [model.langs[int(np.argmin([brute_phrases(t, source[x]) * math.log2(len(source[x]) + 1) for x in model.langs]))] for t in texts]
+    monkeypatch.setattr(language_id, "WARM", 1)  # hardly any piece meets the state before it
+    assert (model.phrases([model.codes(t) for t in texts]) == got).all()
+    strange = ["ሀሁሂሃ ለሉሊላ ሐሑሒሓ መሙሚማ ሠሡሢሣ", rows[0][1], "ok", None]
+    assert model.predict(strange, reject=True)[0] == ["und", "ar", model.predict(["ok"])[0][0], "und"] and model.predict(strange)[0][0] != "und"
+    longer = docs.withColumn("text", F.when(F.col("lang") == "de", F.repeat(F.concat("text", F.lit(" ")), 60)).otherwise(F.col("text")))
+    clash = longer.withColumns({"l": F.lit(1), "__d": F.lit(2), "lang_pred": F.lit(3), "score": F.lit("x")})
+    for one in (longer, clash):  # a language that has only long texts is learnt from slices
+        got = language_id.op6(one).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
+        assert sum(r.lang_pred != r.lang for r in got) <= 3
     monkeypatch.setattr(language_id, "MAX_LANGS", 1)
     with pytest.raises(ValueError, match="languages"):
         language_id.learn(docs)
