@@ -2,18 +2,19 @@
 
 A page is read once into elements and text blocks.  Elements that never hold article text (scripts, menus,
 headers, footers, forms, and whatever is named like an advert, notice, sidebar or comment section) are
-dropped with all they contain.  Inside an ``article`` or ``main`` only classes and roles of one meaning count, and ids,
-which are often made of headings, never; the same holds for headings and sections anywhere, and ids of
+dropped with all they contain.  Inside an ``article`` only classes and roles of one meaning count, and ids,
+which are often made of headings, never; the same holds for headings, paragraphs, tables and sections anywhere, and ids of
 blocks do not count inside the container that is kept.  Every remaining block passes points for its length and commas to its
-ancestors, less with each level and less by its share of link text.  The container of the most points, again
-discounted by its link density, is kept with its good siblings; inside an ``article`` or ``main`` it grows to
-that element.  Its blocks are the result, in page order.
+ancestors, half as much with each level and less by its share of link text.  The container of the most points, again
+discounted by its link density, is kept with its good siblings; inside an ``article`` (or ``main``) it grows to
+that element, so among several articles the points decide.  Its blocks are the result, in page order.
 
-Pages are independent, so this is one Arrow UDF without shuffle, linear in the page's length.
+Pages are independent, so this is one Arrow UDF without shuffle.  Time is linear in the page's length: a tag that does not end is looked
+for once, open elements are found by their kind, and sums over ancestors are one pass over the elements.
 
-Defined results: null and empty pages and pages without text give an empty text; unclosed or crossed
-tags close as browsers close them; a broken tag is text; ties between containers go to the first;
-repeated rows stay.
+Defined results: null and empty pages and pages without text give an empty text; very long and very deep pages are read whole;
+unclosed or crossed tags close as browsers close them; a quote in a tag counts only behind ``=``; a tag without an end is text; ties between
+containers go to the first; repeated rows stay; an empty table gives no rows.
 A column that is named like a result is replaced by it.
 """
 
@@ -26,15 +27,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|title|iframe|svg|object|select)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
-    r"|<[!?/][^>]*>",
-    re.S | re.I,
-)
-ATTR = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|\b(hidden)\b")
+NAME = re.compile(r"(/?)([a-zA-Z][a-zA-Z0-9:-]*+)")
+PLAIN = re.compile(r"[^>\"']*+")
+ATTR = re.compile(r"(?<![\w-])(?:([a-zA-Z-]++)\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]++))|(hidden)\b)")
 
+#: Elements whose content is no markup of the page.
+RAW = {t: re.compile(rf"</{t}\s*+>", re.I) for t in "script style noscript template textarea title iframe svg object select".split()}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset("head nav footer aside form button input label fieldset dialog menu canvas audio video datalist map annotation annotation-xml".split())
 BLOCKS = frozenset(
@@ -44,7 +42,9 @@ BLOCKS = frozenset(
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that a start tag of the same kind closes, and where the search for an open one ends.
 CLOSES_P = BLOCKS - {"html", "body", "summary"}
-SELF_CLOSING = {"li": ("ul", "ol"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",)}
+#: Kinds of elements of which a start tag closes the open one, and the tags in which the search for it ends.
+KIND = {"li": 0, "dt": 1, "dd": 1, "tr": 2, "td": 3, "th": 3}
+ENDS = {"ul": (0,), "ol": (0,), "dl": (1,), "table": (2, 3), "tr": (3,)}
 WEIGHT = {"article": 10, "main": 8, "div": 5, "section": 4, "pre": 3, "td": 3, "blockquote": 3, "ol": -3, "ul": -3, "dl": -3, "address": -3, "th": -5}
 #: Names (class, id or role, split into words) of what is not the article.
 UNLIKELY = frozenset(
@@ -66,6 +66,9 @@ SURE_ROLES = frozenset("navigation banner contentinfo complementary search dialo
 ABOUT = frozenset("has have with without no".split())
 LIKELY = frozenset("article content main body post entry story text page".split())
 LINK_LISTS = frozenset("ul ol dl div".split())
+CONTAINERS = frozenset("html body article main section div center".split())
+#: Elements of running text, which a class name alone does not make side content.
+RUNNING = HEADINGS | frozenset("p section table pre blockquote figure".split())
 
 
 def _attrs(raw: str) -> dict[str, str]:
@@ -80,6 +83,8 @@ def _is_dropped(tag: str, attrs: dict[str, str], in_article: bool) -> int:
     """HARD if an element is dropped, SOFT if only outside the container that is kept, else 0."""
     if tag in DROPPED or tag == "header" and not in_article:
         return HARD
+    if not attrs:
+        return 0
     if "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in attrs.get("style", "").replace(" ", "").lower():
         return HARD
     if tag in ("html", "body"):
@@ -87,111 +92,156 @@ def _is_dropped(tag: str, attrs: dict[str, str], in_article: bool) -> int:
     names, ids = _words(attrs, "class", "role"), _words(attrs, "id")
     if (names | ids) & ABOUT or tag in ("article", "main") and (names | ids) & LIKELY:
         return 0
-    if in_article or tag in HEADINGS or tag == "section":
+    if in_article or tag in RUNNING:
         return HARD if names & SURE or attrs.get("role", "").lower() in SURE_ROLES else 0
     if names & UNLIKELY:
         return HARD
     return (SOFT if tag in BLOCKS else HARD) if ids & UNLIKELY else 0
 
 
+def _tag_end(html: str, at: int) -> int:
+    """Where the tag ends whose name ends at this place; -1 if it does not."""
+    while True:
+        at = PLAIN.match(html, at).end()
+        if at == len(html) or html[at] == ">":
+            return at if at < len(html) else -1
+        before = at - 1
+        while html[before].isspace():
+            before -= 1
+        close = html.find(html[at], at + 1) if html[before] == "=" else -1
+        at = max(at, close) + 1
+
+
+def _tokens(html: str):
+    """(text, "", "", False) for text and ("", tag, attributes, whether an end tag) for tags, in page order."""
+    at, look, quotes, last = 0, 0, True, html.rfind(">")
+    while (i := html.find("<", look)) >= 0:
+        end, tag = -1, None
+        if html.startswith("<!--", i):
+            end = html.find("-->", i + 2) + 3
+            end = end if end > 2 else len(html)
+        elif i > last:  # no tag ends from here on, but a comment may begin
+            i = html.find("<!--", i)
+            end = len(html)
+            if i < 0:
+                break
+        elif m := NAME.match(html, i + 1):
+            close = _tag_end(html, m.end()) if quotes else html.find(">", m.end())
+            if close >= 0:
+                tag, attrs, end = m[2].lower(), html[m.end() : close], close + 1
+                if tag in RAW and not m[1]:
+                    tag, over = None, RAW[tag].search(html, end)
+                    end = over.end() if over else len(html)
+            else:
+                quotes = False  # so that the rest is not searched for every tag
+        elif html[i + 1 : i + 2] in ("!", "?", "/"):
+            end = html.find(">", i + 2) + 1 or -1
+        if end < 0:
+            look = i + 1
+            continue
+        if i > at:
+            yield html[at:i], "", "", False
+        if tag:
+            yield "", tag, attrs, bool(m[1])
+        at = look = end
+    if at < len(html):
+        yield html[at:], "", "", False
+
+
 class _Page:
     """Elements (tag, parent, dropped) and blocks of text in page order."""
 
     def __init__(self, html: str):
-        self.tag, self.parent, self.dropped, self.block_of = ["html"], [-1], [0], [0]
-        self.articles = [-1]  # the outermost article or main around each element
+        self.tag, self.parent, self.dropped, self.block_of = [], [], [], []
+        self.articles: list[int] = []  # the outermost article around each element, else the outermost main
         self.blocks: list[tuple[int, str, int]] = []  # block element, text, letters in links
-        self.links: list[int] = [0]  # links inside, own ones only
+        self.links: list[int] = []  # links inside, own ones only
         self._parts: list[str] = []
-        self._linked = 0
-        stack, at, anchors = [0], 0, 0
-        for m in TOKEN.finditer(html):
-            if m.start() > at:
-                self._text(stack[-1], html[at : m.start()], anchors)
-            at = m.end()
-            tag = (m["tag"] or "").lower()
+        self._linked = self._anchors = 0
+        self._stack: list[int] = []
+        self._open: dict[str, list[int]] = {}  # places in the stack by tag
+        self._open_blocks: list[int] = []
+        self._near = [(-1, -1, -1, -1)]  # places of the open elements of each KIND
+        self._push("html", -1, {})
+        for text, tag, raw, is_end in _tokens(html):
             if not tag:
-                continue
-            if tag == "br":
+                self._text(text)
+            elif tag == "br":
                 self._parts.append(" ")
-            elif m["end"]:
-                if self._closes(tag, stack):
-                    while True:
-                        i = stack.pop()
-                        anchors -= self.tag[i] == "a"
-                        if self.tag[i] in BLOCKS:
-                            self._flush(self.block_of[i])
-                        if self.tag[i] == tag:
-                            break
-                    stack = stack or [0]
-                elif tag in BLOCKS:
-                    self._flush(self.block_of[stack[-1]])
+            elif is_end:
+                self._close(tag)
             else:
-                anchors -= self._close_for(tag, stack)
-                attrs = _attrs(m["attrs"])
-                if tag in BLOCKS:
-                    self._flush(self.block_of[stack[-1]])
-                if tag in VOID:
-                    continue
-                i = self._add(tag, stack[-1], attrs)
-                if not m["attrs"].endswith("/") or tag in BLOCKS or tag in ("a", "b", "i", "em", "strong", "span"):
-                    stack.append(i)
-                    anchors += tag == "a"
-        if at < len(html):
-            self._text(stack[-1], html[at:], anchors)
-        self._flush(self.block_of[stack[-1]])
-
-    def _closes(self, tag: str, stack: list[int]) -> bool:
-        """Whether an end tag has an open element; an inline one must not lie outside the present block."""
-        for k in range(len(stack) - 1, 0, -1):
-            if self.tag[stack[k]] == tag:
-                return True
-            if tag not in BLOCKS and self.tag[stack[k]] in BLOCKS:
-                return False
-        return False
-
-    def _add(self, tag: str, parent: int, attrs: dict[str, str]) -> int:
-        i = len(self.tag)
-        around = self.articles[parent]
+                self._start(tag, raw)
+        self._flush()
+
+    def _start(self, tag: str, raw: str) -> None:
+        if tag in CLOSES_P and self.tag[self._stack[self._open_blocks[-1]]] == "p":
+            self._pop_to(self._open_blocks[-1])
+        if tag in KIND:
+            near = self._near[-1]
+            at = max(near[2], near[3]) if tag == "tr" and near[2] < 0 else near[KIND[tag]]
+            if at > 0:
+                self._pop_to(at)
+        if tag in BLOCKS:
+            self._flush()
+        if tag not in VOID:
+            alone = raw.endswith("/") and tag not in BLOCKS and tag not in ("a", "b", "i", "em", "strong", "span")
+            self._push(tag, self._stack[-1], _attrs(raw), alone)
+
+    def _push(self, tag: str, parent: int, attrs: dict[str, str], alone: bool = False) -> None:
+        i, place = len(self.tag), len(self._stack)
+        around = self.articles[parent] if parent >= 0 else -1
+        in_article = around >= 0 and self.tag[around] == "article"
         self.tag.append(tag)
         self.parent.append(parent)
-        self.dropped.append(max(self.dropped[parent], _is_dropped(tag, attrs, around >= 0)))
+        self.dropped.append(max(self.dropped[parent], _is_dropped(tag, attrs, in_article)) if parent >= 0 else 0)
         self.block_of.append(i if tag in BLOCKS else self.block_of[parent])
-        self.articles.append(around if around >= 0 else i if tag in ("article", "main") else -1)
+        self.articles.append(i if tag == "article" and not in_article or tag == "main" and around < 0 else around)
         self.links.append(0)
         if tag == "a":
             self.links[self.block_of[i]] += 1
-        return i
-
-    def _close_for(self, tag: str, stack: list[int]) -> int:
-        """Closes what a start tag ends without an end tag; the number of links closed."""
-        limits = SELF_CLOSING.get(tag)
-        closed = 0
-        for k in range(len(stack) - 1, 0, -1):
-            t = self.tag[stack[k]]
-            if tag in CLOSES_P and t == "p" or limits and (t == tag or t in ("dt", "dd") and tag in ("dt", "dd") or t in ("td", "th") and tag in ("td", "th", "tr")):
-                while len(stack) > k:
-                    i = stack.pop()
-                    closed += self.tag[i] == "a"
-                    if self.tag[i] in BLOCKS:
-                        self._flush(self.block_of[i])
-                if t != "td" and t != "th" or tag != "tr":
-                    break
-            elif limits and t in limits or t in BLOCKS and not limits:
-                break
-        return closed
+        if alone:
+            return
+        self._stack.append(i)
+        self._open.setdefault(tag, []).append(place)
+        if tag in BLOCKS:
+            self._open_blocks.append(place)
+        self._anchors += tag == "a"
+        near = self._near[-1]
+        if tag in KIND or tag in ENDS:
+            near = tuple(place if KIND.get(tag) == k else -1 if k in ENDS.get(tag, ()) else x for k, x in enumerate(near))
+        self._near.append(near)
 
-    def _text(self, element: int, raw: str, anchors: int) -> None:
-        if self.dropped[element] < HARD:
+    def _pop_to(self, place: int) -> None:
+        """Closes the open elements from a place of the stack on."""
+        while len(self._stack) > place:
+            if self._open_blocks[-1] == len(self._stack) - 1:
+                self._flush()
+                self._open_blocks.pop()
+            tag = self.tag[self._stack.pop()]
+            self._open[tag].pop()
+            self._near.pop()
+            self._anchors -= tag == "a"
+
+    def _close(self, tag: str) -> None:
+        """An end tag closes the open element; an inline one must not lie outside the present block."""
+        at = self._open.get(tag)
+        if at and at[-1] > 0 and (tag in BLOCKS or at[-1] > self._open_blocks[-1]):
+            self._pop_to(at[-1])
+        elif tag in BLOCKS:
+            self._flush()
+
+    def _text(self, raw: str) -> None:
+        if self.dropped[self._stack[-1]] < HARD:
             self._parts.append(text := unescape(raw))
-            if anchors:
+            if self._anchors:
                 self._linked += len("".join(text.split()))
 
-    def _flush(self, block: int) -> None:
+    def _flush(self) -> None:
         if self._parts:
             text = " ".join("".join(self._parts).split())
             if text:
-                self.blocks.append((block, text, self._linked))
+                self.blocks.append((self.block_of[self._stack[-1]], text, self._linked))
             self._parts, self._linked = [], 0
 
 
@@ -200,50 +250,45 @@ def main_text(html: str | None) -> str:
     page = _Page(html or "")
     if not page.blocks:
         return ""
-    n = len(page.tag)
-    points, size, linked, links = [0.0] * n, [0] * n, [0] * n, [0] * n
-    for i in range(n - 1, -1, -1):
-        links[i] += page.links[i]
-        if page.parent[i] >= 0:
-            links[page.parent[i]] += links[i]
+    tag, parent, n = page.tag, page.parent, len(page.tag)
+    points, size, linked, links = [0.0] * n, [0] * n, [0] * n, page.links
     for block, text, link in page.blocks:
         if page.dropped[block]:
             continue
         letters = len(text) - text.count(" ")
-        own = 0.0 if page.tag[block] in HEADINGS else (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - min(1, link / max(1, letters)))
-        level, i = 0, block if page.tag[block] in ("html", "body", "article", "main", "section", "div", "center") else page.parent[block]
-        while i >= 0:
-            points[i] += own / (1, 2)[level] if level < 2 else own / (3 * level)
-            level += 1
-            i = page.parent[i]
-        i = block
-        while i >= 0:
-            size[i] += letters
-            linked[i] += link
-            i = page.parent[i]
+        own = 0.0 if tag[block] in HEADINGS else (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - min(1, link / max(1, letters)))
+        points[block if tag[block] in CONTAINERS else parent[block]] += own
+        size[block] += letters
+        linked[block] += link
+    for i in range(n - 1, 0, -1):  # children come behind their parents
+        up = parent[i]
+        points[up] += points[i] / 2
+        size[up] += size[i]
+        linked[up] += linked[i]
+        links[up] += links[i]
     density = [linked[i] / size[i] if size[i] else 0.0 for i in range(n)]
-    score = [(points[i] + WEIGHT.get(page.tag[i], 0)) * (1 - density[i]) if points[i] else 0.0 for i in range(n)]
+    score = [(points[i] + WEIGHT.get(tag[i], 0)) * (1 - density[i]) if points[i] else 0.0 for i in range(n)]
     best = max(range(n), key=lambda i: (score[i], -i))
     if score[best] <= 0:
-        best = next((i for i in range(n) if page.tag[i] in ("article", "main") and size[i]), -1)
+        best = next((i for i in range(n) if tag[i] in ("article", "main") and size[i]), -1)
         if best < 0:
             return ""
     top = page.articles[best] if page.articles[best] >= 0 else best
     kept = {top}
     least = max(10.0, 0.2 * score[best])
     for i in range(n):
-        if page.parent[i] == page.parent[top] and i != top and size[i]:
-            good = page.tag[i] in ("p", "pre", "blockquote") and density[i] < 0.25 and (size[i] > 80 or density[i] == 0)
-            if score[i] >= least or good:
+        if parent[i] == parent[top] and i != top and size[i]:
+            good = tag[i] in ("p", "pre", "blockquote") and density[i] < 0.25 and (size[i] > 80 or density[i] == 0)
+            if points[i] * (1 - density[i]) >= least or good or tag[i] in HEADINGS and tag[parent[top]] == "main":
                 kept.add(i)
-    spare = page.tag[top] not in ("html", "body") and not page.dropped[top]  # blocks named by an id inside the container stay
-    within = [False] * n
-    for i in range(n):
-        within[i] = i == top or page.parent[i] >= 0 and within[page.parent[i]]
-    lists = {i for i in range(n) if page.tag[i] in LINK_LISTS and links[i] >= 2 and density[i] > 0.6 and i != top}
-    inside = [False] * n
+    spare = tag[top] not in ("html", "body") and not page.dropped[top]  # blocks named by an id inside the container stay
+    within, inside = [False] * n, [False] * n
     for i in range(n):
-        inside[i] = i not in lists and (i in kept or page.parent[i] >= 0 and inside[page.parent[i]])
+        up = parent[i]
+        within[i] = i == top or up >= 0 and within[up]
+        most = 0.95 if page.articles[i] >= 0 else 0.6
+        menu = tag[i] in LINK_LISTS and links[i] >= 2 and density[i] > most and i != top
+        inside[i] = not menu and (i in kept or up >= 0 and inside[up])
     return "\n".join(text for block, text, _ in page.blocks if inside[block] and (not page.dropped[block] or spare and within[block]))
 
 

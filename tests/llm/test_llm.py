@@ -520,12 +520,93 @@ def test_op10(spark):
     assert html_text.main_text(PAGE) == "Title & more\nFirst para, with commas, and some text that is long enough to score.\nSecond link here, fine.\none\ntwo"
     assert [html_text.main_text(x) for x in (None, "", "<p>", "<script>x", "plain &lt; text", "<article><h1>Only</h1></article>")] == ["", "", "", "", "plain < text", "Only"]
     assert html_text.main_text("<div>" * 3000 + "deep, text" + "</div>" * 10) == "deep, text"
+    deep = "<div>" * 20_000 + "<p>" + "word, " * 40_000
+    assert html_text.main_text(deep) == ("word, " * 40_000).strip()
     pages = spark.createDataFrame([(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (2, None, None, None)], "page_id bigint, url string, html string, text string")
     got = html_text.op10(pages).collect()
     assert sorted(r.n_chars for r in got)[0] == 0 and len(got) == 3
     assert html_text.op10(pages.limit(0)).count() == 0
 
 
+def brute_points(tree, above=()):
+    """Points of every element of a tree (tag, children or text), each block handing them on to each ancestor by itself."""
+    points = {}
+
+    def walk(node, up):
+        tag, kids = node[0], node[1]
+        points.setdefault(id(node), 0.0)
+        chain = [node, *up]
+        if isinstance(kids, str):
+            own = 1 + kids.count(",") + min(len(kids) / 100, 3)
+            for level, x in enumerate(chain if tag in html_text.CONTAINERS else chain[1:]):
+                points[id(x)] = points.get(id(x), 0.0) + own / 2**level
+        else:
+            for k in kids:
+                walk(k, chain)
+
+    walk(tree, [])
+    return points
+
+
+def test_op10_score_decides():
+    """Pages without article or main: the container of the most points is kept, as found by handing points on one by one."""
+    rng = random.Random(47)
+    for _ in range(60):
+        serial = itertools.count()
+
+        def text():
+            n = next(serial)
+            return f"w{n} " + ", ".join(words(rng.randint(1, 12), rng) for _ in range(rng.randint(1, 5)))
+
+        def grow(depth):
+            kids = [("p", text()) for _ in range(rng.randint(0, 4))] + [grow(depth - 1) for _ in range(rng.randint(0, 3) if depth else 0)]
+            rng.shuffle(kids)
+            return "div", kids or [("p", text())]
+
+        body = ("body", [grow(3) for _ in range(rng.randint(1, 3))])
+        render = lambda x: f"<{x[0]}>{x[1] if isinstance(x[1], str) else ''.join(map(render, x[1]))}</{x[0]}>"
+        nodes, leaves = [], lambda x: [x[1]] if isinstance(x[1], str) else [t for k in x[1] for t in leaves(k)]
+
+        def collect(x, up):
+            nodes.append((x, up))
+            for k in () if isinstance(x[1], str) else x[1]:
+                collect(k, x)
+
+        collect(body, None)
+        points = brute_points(("html", [body]))
+        score = lambda x: points[id(x)] + html_text.WEIGHT.get(x[0], 0) if points[id(x)] else 0.0
+        top, up = max(nodes, key=lambda x: score(x[0]))
+        beside = [x for x in (up[1] if up else []) if x is not top]
+        keep = {id(top)} | {id(x) for x in beside if points[id(x)] >= max(10.0, 0.2 * score(top)) or x[0] == "p"}
+        want = [t for x in (up[1] if up else [top]) if id(x) in keep for t in leaves(x)]
+        got = html_text.main_text(f"<html>{render(body)}</html>").split("\n")
+        assert got == [" ".join(t.split()) for t in want]
+    teasers = "".join(f"<article><h2>Other {i}</h2><p>Teaser {i}.</p></article>" for i in range(3))
+    long = "".join(f"<p>Paragraph {i} of the story, with commas, and enough words to weigh.</p>" for i in range(4))
+    assert html_text.main_text(f"<body>{teasers}<article><h1>Story</h1>{long}</article></body>").startswith("Story\nParagraph 0")
+    page = f"<body><main><h1>Story</h1><article>{long}</article><div class='related'><p>Read, also, this, and that, please, now.</p></div></main></body>"
+    assert html_text.main_text(page) == "Story\n" + "\n".join(f"Paragraph {i} of the story, with commas, and enough words to weigh." for i in range(4))
+
+
+def test_op10_is_linear():
+    """Pages that would make a scan quadratic: four times the page takes about four times as long."""
+    import time
+
+    bad = {
+        "<div>x": "", "<a ": "", "<a '": ">", "<b>x": "", "<b ='<c =\"": ">", "<!x": "", "<!--": "", "&": "", "<": "", "<li>x<div>": "", "<table><tr><td>x": "", "<i></b>": "",
+        "<p a=": ">", "a": "", "<p>x</div>": "", "<script>": "", "<hr>": "",
+    }
+    for part, end in bad.items():
+        seconds = []
+        for size in (40_000, 160_000):
+            page = "<p>start</p><b>" + part * (size // len(part)) + end
+            t = time.perf_counter()
+            html_text.main_text(page)
+            seconds.append(time.perf_counter() - t)
+        assert seconds[1] < 10 * seconds[0] + 0.5, part
+    assert html_text.main_text("<p>a <a href='x>y' title=it's>b</a> <x y='z>c</p>") == "a b <x y='z>c"
+
+
 def test_op10_keeps_the_whole_article():
     para = "A paragraph of the article, with commas, and enough words in it, to score well among the others."
     parts = "".join(f"<section id='{x}'><h2 id='{x}-h'>{x}</h2><p>{para} {x}</p></section>" for x in ("related-work", "discussion", "privacy", "legal", "feedback", "search", "responses", "promotion"))
