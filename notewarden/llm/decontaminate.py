@@ -1,16 +1,18 @@
 """Benchmark decontamination with one Aho-Corasick automaton.
 
-Benchmark texts are normalised to letter-and-digit words; every window of ``window`` consecutive
-words (a shorter item is one window) is a pattern.  Each document is normalised once by a byte map,
-scanned once, and hits are mapped back to character offsets of the original text.
+Benchmark texts are normalised to letter-and-digit words.  A window of 13 consecutive words holds one of the pieces of 7
+words that start at every seventh word of its item, so these pieces (and items of less than 13 words as a whole) are the
+patterns: a node for about each byte of the benchmark, where its overlapping windows would take over ten times as many.  Each document is normalised once by
+a byte map and scanned once; where a piece is hit, text and item are compared to both sides, and a common run of 13 words or more
+is a hit.  Hits are mapped back to character offsets of the original text.
 
-The automaton is rebuilt in each Python worker from a broadcast list of patterns whose size is
-bounded: a benchmark above ``block_bytes`` is cut into blocks by a hash of its text, each with its
-own automaton, and the hits of all blocks are united.  Documents are never shuffled.
+The automaton is rebuilt in each Python worker from a broadcast block of the benchmark of ``block_bytes`` of text at most, which bounds the
+memory of a worker (about 60 bytes for a byte of text).  A larger benchmark is cut into blocks by a hash of
+its text and takes one pass for each block, checkpointed between passes, so that no worker or driver holds two of them.  Documents are never shuffled.
 
-Defined results: null or empty texts have no words and no hits; items without words match nothing;
+Defined results: null or empty texts have no words and no hits; very long texts are scanned whole; items without words match nothing;
 items with a null id mark words but are not listed; repeated items are listed once; repeated
-document rows get the same result each; an empty benchmark hits nothing; other columns pass through.
+document rows get the same result each; an empty benchmark hits nothing, an empty table gives no rows; other columns pass through.
 A column that is named like a result is replaced by it.
 """
 
@@ -22,18 +24,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from notewarden.llm.common import WORD_BYTES, release_memory
+from notewarden.llm.common import WORD_BYTES, cut, release_memory
 
 WINDOW = 13
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 8 << 20
 HITS = "struct<n_words:bigint,spans:array<struct<w0:bigint,w1:bigint,c0:bigint,c1:bigint>>,items:array<string>>"
 
-def windows_of(words: list[bytes], window: int) -> set[bytes]:
-    if not words:
-        return set()
-    k = min(window, len(words))
-    return {b" ".join(words[i : i + k]) for i in range(len(words) - k + 1)}
-
 
 class Block:
     """A block of (item id, text); its automaton is built once in each worker."""
@@ -46,41 +42,62 @@ class Block:
 
     @property
     def automaton(self):
-        """None if no item has a word."""
+        """Of the pieces: (words of the piece, [(item, its place in the item)]); None if no item has a word."""
         if self._automaton is None:
             import ahocorasick
 
-            owners: dict[bytes, list[str]] = {}
-            for item_id, text in self.items:
-                for w in windows_of(text.encode().translate(WORD_BYTES).split(), self.window):
-                    owners.setdefault(w, []).append(item_id)
+            lexicon: dict[bytes, bytes] = {}
+            self.words = [[lexicon.setdefault(w, w) for w in text.encode().translate(WORD_BYTES).split()] for _, text in self.items]
+            step = (self.window + 1) // 2
             built = ahocorasick.Automaton()
-            for w, ids in owners.items():
-                built.add_word(f" {w.decode('latin-1')} ", (w.count(b" ") + 1, [i for i in ids if i is not None]))
-            if owners:
+            for i, words in enumerate(self.words):
+                k = step if len(words) >= self.window else len(words)
+                for at in range(0, len(words) - k + 1, k) if k else ():
+                    piece = f" {b' '.join(words[at : at + k]).decode('latin-1')} "
+                    built.get(piece, None) or built.add_word(piece, (k, []))
+                    built.get(piece)[1].append((i, at))
+            if len(built):
                 built.make_automaton()
             self._automaton = built
         return self._automaton if len(self._automaton) else None
 
 
-def _scan(text: bytes | None, automaton) -> tuple:
+def _common(words: list[bytes], a: int, item: list[bytes], b: int, k: int) -> tuple[int, int]:
+    """The range of words around words[a : a + k] == item[b : b + k] that both have in common."""
+    lo, hi = 0, k
+    while lo < min(a, b) and words[a - lo - 1] == item[b - lo - 1]:
+        lo += 1
+    while hi < min(len(words) - a, len(item) - b) and words[a + hi] == item[b + hi]:
+        hi += 1
+    return a - lo, a + hi
+
+
+def _scan(text: bytes | None, block: Block) -> tuple:
     words = (text or b"").translate(WORD_BYTES).split()
     found, items = [], set()
-    if words and automaton is not None:
+    if words and block.automaton is not None:
         line = f" {b' '.join(words).decode('latin-1')} "
         at, seen = 0, 0
-        for end, (k, ids) in automaton.iter(line):
+        run_end: dict[tuple[int, int], int] = {}  # by item and alignment, so that a run is compared once
+        for end, (k, owners) in block.automaton.iter(line):
             seen += line.count(" ", at, end)  # words that end before this place
             at = end
-            found.append((seen - k, seen))
-            items.update(ids)
+            for i, place in owners:
+                key = (i, seen - k - place)
+                if run_end.get(key, 0) >= seen:
+                    continue
+                item = block.words[i]
+                lo, run_end[key] = _common(words, seen - k, item, place, k)
+                if run_end[key] - lo >= min(block.window, len(item)):
+                    found.append((lo, run_end[key]))
+                    items.add(block.items[i][0])
     spans: list[list[int]] = []
     for a, b in sorted(found):
         if spans and a <= spans[-1][1]:
             spans[-1][1] = max(b, spans[-1][1])
         else:
             spans.append([a, b])
-    return len(words), spans, sorted(items), _offsets(text, words, spans)
+    return len(words), spans, sorted(i for i in items if i is not None), _offsets(text, words, spans)
 
 
 def _offsets(text: bytes | None, words: list[bytes], spans: list[list[int]]) -> list[tuple[int, int]]:
@@ -105,10 +122,9 @@ def _offsets(text: bytes | None, words: list[bytes], spans: list[list[int]]) ->
 def _scanner(shared):
     @F.pandas_udf(HITS)
     def scan(texts: pd.Series) -> pd.DataFrame:
-        automaton = shared.value.automaton
         rows = []
         for t in texts:
-            n, spans, items, chars = _scan(t, automaton)
+            n, spans, items, chars = _scan(t, shared.value)
             rows.append((n, [{"w0": a, "w1": b, "c0": c, "c1": d} for (a, b), (c, d) in zip(spans, chars, strict=True)], items))
         release_memory()
         return pd.DataFrame(rows, columns=["n_words", "spans", "items"])
@@ -116,15 +132,14 @@ def _scanner(shared):
     return scan.asNondeterministic()  # else a filter on the result would compute it twice
 
 
-def benchmark_blocks(benchmark: DataFrame, item_id: str, text: str, window: int, block_bytes: int) -> list:
-    """Broadcasts the benchmark in blocks of about block_bytes at most."""
+def benchmark_blocks(benchmark: DataFrame, item_id: str, text: str, window: int, block_bytes: int):
+    """Yields the benchmark in blocks of about block_bytes at most, one block in memory at a time."""
     items = benchmark.select(F.col(item_id).cast("string").alias("i"), F.coalesce(F.col(text), F.lit("")).alias("t")).distinct()
     total = items.agg(F.sum(F.octet_length("t") + 16)).first()[0] or 0
     n = max(1, math.ceil(total / block_bytes))
-    spark = benchmark.sparkSession
     place = F.pmod(F.xxhash64("i", "t"), F.lit(n))
-    blocks = ([(r.i, r.t) for r in items.where(place == b).collect()] for b in range(n))
-    return [spark.sparkContext.broadcast(Block(b, window)) for b in blocks]
+    for b in range(n):
+        yield b + 1 == n, Block([(r.i, r.t) for r in items.where(place == b).collect()], window)
 
 
 def decontaminate(
@@ -140,11 +155,14 @@ def decontaminate(
 ) -> DataFrame:
     """Adds n_words, n_hit, item_ids (sorted texts), spans (of the original text: word and character
     ranges) and contaminated (n_hit > 0 and share * n_hit >= n_words), each named with the prefix."""
-    shared = benchmark_blocks(benchmark, item_id, item_text, window, block_bytes)
-    names = [f"__hits_{b}" for b in range(len(shared))]
-    out = documents
-    for name, one in zip(names, shared, strict=True):
-        out = out.withColumn(name, _scanner(one)(F.col(text).cast("binary")))
+    out, names = documents, []
+    for last, block in benchmark_blocks(benchmark, item_id, item_text, window, block_bytes):
+        shared = documents.sparkSession.sparkContext.broadcast(block)
+        names.append(f"__hits_{len(names)}")
+        out = out.withColumn(names[-1], _scanner(shared)(F.col(text).cast("binary")))
+        if not last:  # the next pass starts from what this one wrote
+            out = cut(out)
+            shared.unpersist()
     spans = F.array_sort(F.flatten(F.array(*[F.col(f"{n}.spans") for n in names])))
     out = out.withColumns(
         {
