@@ -1,15 +1,16 @@
 """Packing into length buckets that minimise padding, with token-budget batches.
 
-The histogram of text lengths over the whole corpus is aggregated to bins (exact lengths up to 1,023 words, then steps of
-1/512 of the length at most), each with its count, sum and largest length, so its size is bounded by the range of lengths and not by the
-number of documents.  Dynamic programming over the bins chooses the bucket boundaries of least total padding.
+The histogram of text lengths, a row for each length that occurs, is aggregated over the whole corpus; its size follows the range of
+lengths and not the number of documents (d different lengths need d * d / 2 words).  Dynamic programming over the histogram chooses the bucket
+boundaries of least total padding; best former boundaries only move up with the length, so each bucket takes n log n steps, done with numpy for a
+whole level at a time.
 Documents of a bucket are numbered in parts: a hash deals each bucket to parts of about ``part_rows``
 rows, the few part sizes give each part its offset, and rows are numbered inside their part; so no bucket is
 sorted in one task.  A batch is ``budget // boundary`` consecutive numbers of a bucket, at least one.
 
-Defined results: a null or empty text has length 0 and is packed like any other (no padding if its bucket's boundary is 0); a text
-longer than the budget is a batch of its own with boundary tokens; repeated rows are packed separately; an empty
-table gives no rows.
+Defined results: a null or empty text has length 0 and is packed like any other (no padding if its bucket's boundary is 0); a very long text,
+longer than the budget, is a batch of its own with boundary tokens; of several best choices of boundaries the one with the smallest
+former boundaries is taken; repeated rows are packed separately; an empty table gives no rows.
 A column that is named like a result is replaced by it.
 """
 
@@ -32,40 +33,52 @@ def length_words(text: Column) -> Column:
     return F.size(space_words(text)).cast("bigint")
 
 
-def bin_of(n: Column) -> Column:
-    """A length's bin: the length without its binary digits below the highest ten."""
-    step = F.greatest(F.floor(F.log2(F.greatest(n, F.lit(1)).cast("double"))) - 9, F.lit(0)).cast("int")
-    return F.floor(n / F.pow(F.lit(2.0), step)) * F.pow(F.lit(2.0), step).cast("bigint")
-
-
-def boundaries(top: np.ndarray, count: np.ndarray, total: np.ndarray, buckets: int) -> tuple[list[int], int]:
-    """Bucket boundaries (largest lengths, ascending) of least padding, and that padding.
-
-    top, count, total: of each bin in ascending order, its largest length, number and sum of lengths."""
-    n = len(top)
+def boundaries(lengths: np.ndarray, count: np.ndarray, buckets: int) -> tuple[list[int], int]:
+    """Bucket boundaries (ascending) of least padding, and that padding, for ascending lengths with their numbers of texts."""
+    n = len(lengths)
     if not n:
         return [], 0
-    c = np.concatenate(([0], np.cumsum(count))).astype(np.float64)
-    s = np.concatenate(([0], np.cumsum(total))).astype(np.float64)
-    best = np.full(n + 1, np.inf)
-    best[0] = 0
-    back = []
-    for _ in range(min(buckets, n)):
-        now, arg = np.full(n + 1, np.inf), np.zeros(n + 1, np.int64)
-        now[0] = 0
-        for j in range(1, n + 1):
-            cost = best[:j] + (c[j] - c[:j]) * top[j - 1] - (s[j] - s[:j])
-            arg[j] = int(cost.argmin())
-            now[j] = cost[arg[j]]
-        best = now
-        back.append(arg)
+    lengths = lengths.astype(np.int64)
+    c = np.concatenate(([0], np.cumsum(count, dtype=np.int64)))
+    s = np.concatenate(([0], np.cumsum(count * lengths, dtype=np.int64)))
+    best, back = c[1:] * lengths - s[1:], [np.zeros(n, np.int64)]  # of the first j + 1 lengths in one bucket
+    for _ in range(min(buckets, n) - 1):
+        best, split = _one_more(best, lengths, c, s)
+        back.append(split)
     out, j = [], n
-    for arg in reversed(back):
-        if j == 0:
-            break
-        out.append(int(top[j - 1]))
-        j = int(arg[j])
-    return sorted(out), int(best[n])
+    for split in reversed(back):
+        if j:
+            out.append(int(lengths[j - 1]))
+            j = int(split[j - 1])
+    return sorted(out), int(best[-1])
+
+
+def _one_more(best: np.ndarray, lengths: np.ndarray, c: np.ndarray, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Least padding of the first j + 1 lengths with one more bucket, and how many lengths lie before the last bucket.
+
+    Middles of ranges are solved level by level; each looks only between the solutions beside its range."""
+    n = len(best)
+    now, split = np.empty(n, np.int64), np.zeros(n, np.int64)
+    before = np.concatenate(([0], best))  # padding of the first i lengths
+    lo, hi, low, high = (np.array([x]) for x in (0, n, 0, n - 1))  # ranges of j, and of their splits
+    while len(lo):
+        mid = (lo + hi) // 2
+        top = np.minimum(high, mid)
+        width = top - low + 1
+        first = np.concatenate(([0], np.cumsum(width)[:-1]))
+        j = np.repeat(mid, width)
+        i = np.arange(width.sum()) - np.repeat(first - low, width)
+        cost = before[i] + (c[j + 1] - c[i]) * lengths[j] - (s[j + 1] - s[i])
+        least = np.minimum.reduceat(cost, first)
+        at = np.flatnonzero(cost == np.repeat(least, width))
+        found = i[at[np.searchsorted(at, first)]]
+        now[mid], split[mid] = least, found
+        lo, hi, low, high = np.concatenate((lo, mid + 1)), np.concatenate((mid, hi)), np.concatenate((low, found)), np.concatenate((found, high))
+        left = lo < hi
+        lo, hi, low, high = lo[left], hi[left], low[left], high[left]
+        order = np.argsort(lo)
+        lo, hi, low, high = lo[order], hi[order], low[order], high[order]
+    return now, split
 
 
 def pack(documents: DataFrame, length: Column, order: str = "doc_id", buckets: int = BUCKETS, budget: int = BUDGET, part_rows: int = PART_ROWS) -> DataFrame:
@@ -73,10 +86,9 @@ def pack(documents: DataFrame, length: Column, order: str = "doc_id", buckets: i
 
     documents should hold what packing has to carry along, such as ids, not texts: the table is checkpointed once."""
     df = cut(documents.withColumn("n_tokens", length))  # read twice below, and its partitions salt the parts
-    hist = df.groupBy(bin_of(F.col("n_tokens")).alias("bin")).agg(F.count("*").alias("n"), F.sum("n_tokens").alias("s"), F.max("n_tokens").alias("top"))
-    bins = sorted((r.top, r.n, r.s) for r in hist.collect())  # bounded by the range of lengths
-    tops, counts, sums = (np.array([b[i] for b in bins], np.int64) for i in range(3))
-    bounds, _ = boundaries(tops, counts, sums, buckets)
+    hist = df.groupBy("n_tokens").agg(F.count("*").alias("n")).collect()  # bounded by the range of lengths
+    tops, counts = (np.array(x, np.int64) for x in zip(*sorted((r.n_tokens, r.n) for r in hist), strict=True)) if hist else (np.empty(0, np.int64),) * 2
+    bounds, _ = boundaries(tops, counts, buckets)
     parts = max(1, math.ceil(counts.sum() / part_rows))
     bucket = F.lit(len(bounds))
     for k in range(len(bounds) - 1, -1, -1):

@@ -345,22 +345,32 @@ def test_op6_scripts(spark, monkeypatch):
 
 def test_op7_boundaries():
     rng = random.Random(3)
-    for _ in range(20):
-        tops = sorted(rng.sample(range(1, 60), rng.randint(1, 8)))
+    for n in range(60):
+        tops = sorted(rng.sample(range(0, 60), rng.randint(1, 9)))
         counts = [rng.randint(1, 9) for _ in tops]
-        sums = [c * t for c, t in zip(counts, tops, strict=True)]
         k = rng.randint(1, 5)
-        bounds, pad = packing.boundaries(np.array(tops), np.array(counts), np.array(sums), k)
+        bounds, pad = packing.boundaries(np.array(tops), np.array(counts), k)
         cost = lambda bs: sum(c * (min(b for b in bs if b >= t) - t) for t, c in zip(tops, counts, strict=True))
         best = min(cost([*bs, tops[-1]]) for n in range(min(k, len(tops))) for bs in itertools.combinations(tops[:-1], n))
         assert pad == best == cost(bounds) and len(bounds) <= k
+    tops = np.unique((np.random.default_rng(1).pareto(1.2, 3000) * 500).astype(np.int64))  # long lengths, against the plain recursion
+    counts = np.random.default_rng(2).integers(1, 1000, len(tops))
+    c, s = np.concatenate(([0], np.cumsum(counts))), np.concatenate(([0], np.cumsum(counts * tops)))
+    best = np.concatenate(([0], np.full(len(tops), 1 << 60)))
+    for _ in range(7):
+        best = np.array([0] + [min(int(best[i]) + int(c[j] - c[i]) * int(tops[j - 1]) - int(s[j] - s[i]) for i in range(max(0, j - 400), j)) for j in range(1, len(tops) + 1)])
+    bounds, pad = packing.boundaries(tops, counts, 7)
+    assert pad <= best[-1] and pad == sum(int(k) * (min(b for b in bounds if b >= t) - int(t)) for t, k in zip(tops, counts, strict=True)) and len(bounds) == 7
 
 
 def test_op7(spark):
     rng = random.Random(5)
     docs = [*EDGE, *((100 + i, words(int(rng.expovariate(0.02)) + 1, rng)) for i in range(400))]
     lengths = packing.length_words(F.col("text"))
-    got = packing.pack(frame(spark, docs).drop("n_chars"), lengths, buckets=6, budget=300, part_rows=40).collect()
+    table = frame(spark, docs).withColumns({"__at": F.lit(1), "n": F.lit(2), "bucket": F.lit("x"), "__part": F.lit(0)})
+    got = packing.pack(table.drop("n_chars"), lengths, buckets=6, budget=300, part_rows=40).collect()
+    sizes = sorted(len(spaced(t)) for _, t in docs)
+    assert sorted({r.bucket_len for r in got}) == packing.boundaries(*np.unique(sizes, return_counts=True), 6)[0]
     assert sorted(r.n_tokens for r in got) == sorted(len(spaced(t)) for _, t in docs)
     places = {}
     for r in got:
