@@ -37,13 +37,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder for checkpoints that all executors share: spark.checkpoint.dir of the session.
-    Only where nothing is set (single-machine tests) a temporary folder is taken."""
+    Only on one machine (tests) a temporary folder is taken where nothing is set; on a cluster that is an error."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
     return sc.getCheckpointDir()
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder of intermediate results on any file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Computes df once and cuts its lineage with a reliable checkpoint."""
     shared_dir(df.sparkSession)

@@ -2,7 +2,8 @@
 
 Fingerprints are 64-bit SimHashes of word shingles.  Two fingerprints that differ in at most ``RADIUS`` = 3
 bits agree in at least two of five bit blocks, so each distinct fingerprint goes to ten shards, one for
-each pair of blocks; a shard key holds at least 25 bits, so shards stay small as the corpus grows.  The BK-tree of every
+each pair of blocks; a shard key holds at least 25 bits, so shards stay small as the corpus grows.  A shard of over ``SHARD_NODES`` nodes is
+split: of four groups of its other bits one must agree too, so its nodes go to four shards with longer keys, and so on.  The BK-tree of every
 shard (children keyed by the integer Hamming distance to their parent) is built where the shard lies, instead of
 being broadcast: all trees together grow with the corpus, so no bound would hold for them.  A query follows only
 edges within the radius.  Trees are built and searched level by level with numpy for all shards of a batch.
@@ -12,8 +13,8 @@ links meet in connected components over DataFrames (alternating large and small
 Exact copies share a fingerprint and are one node, pre-aggregated before the shuffle.
 
 Defined results: a null or empty text has fingerprint 0 and is linked like any other; fewer words than a
-shingle are one shingle; repeated rows stay and share a component; a component's id is its smallest
-non-null id, null where all ids are null.
+shingle are one shingle; very long texts are read whole; of bits set in exactly half the shingles none is set; repeated rows stay and share a component; a component's id is its smallest
+non-null id, null where all ids are null; an empty table gives no rows.  Ids of any type that can be ordered will do, and only id and text are read, so no other column can clash.
 
 ``near_copies`` is the whole similarity join: it links documents whose sets of five-word shingles have a
 Jaccard similarity of at least 0.8.  At that similarity SimHashes differ in about ten bits, more than bit blocks can
@@ -35,6 +36,7 @@ from notewarden.llm.common import cut, release_memory
 SHINGLE = 3
 RADIUS = 3
 BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))  # (first bit, bits)
+SHARD_NODES = 50_000
 SEED = 42
 COPY_SHINGLE = 5
 SIMILAR = (4, 5)  # Jaccard similarity of near copies, as a fraction
@@ -100,13 +102,28 @@ class BKForest:
         order = np.argsort(key)
         self.kid, self.kid_key = kids[order], key[order]
 
-    def links(self, radius: int, most: int = 1 << 20):
-        """Blocks of (query, node) pairs of equal shards within the radius; all points are queries."""
-        work = [(np.arange(a, min(a + 4096, len(self.points))), None) for a in range(0, len(self.points), 4096)]
+    def links(self, radius: int, label: np.ndarray | None = None, most: int = 1 << 20, block: int = 4096):
+        """Blocks of (query, node) pairs of equal shards within the radius; all points are queries.
+
+        With label, the classes found so far (which the caller unites after each block), points of the largest class of a shard of over block
+        points are not asked any more: a link to another class is found from there."""
+        first = np.flatnonzero(np.concatenate(([True], self.shard[1:] != self.shard[:-1]))) if len(self.shard) else np.empty(0, np.int64)
+        last = np.append(first[1:], len(self.points))
+        for a in range(0, len(self.points), block):
+            query = np.arange(a, min(a + block, len(self.points)))
+            if label is not None:
+                size = np.bincount(label, minlength=len(label)) if (last - first).max() > block else None
+                for lo, hi in zip(first, last, strict=True) if size is not None else ():
+                    if hi - lo > block and lo <= query[-1] and hi > query[0]:
+                        query = query[label[query] != lo + size[lo:hi].argmax()]
+                        if not len(query):
+                            break
+            yield from self._search(query, radius, most)
+
+    def _search(self, query: np.ndarray, radius: int, most: int):
+        work = [(query, self.root[query])]
         while work:
             query, node = work.pop()
-            if node is None:
-                node = self.root[query]
             if len(query) > most and len(query) > 1:
                 half = len(query) // 2
                 work += [(query[:half], node[:half]), (query[half:], node[half:])]
@@ -149,54 +166,84 @@ def shard_links(batches, radius: int = RADIUS):
         order = np.lexsort((fps, shard))
         shard, fps = shard[order], fps[order]
         label = np.arange(len(fps))
-        for q, v in BKForest(shard, fps.view(np.uint64)).links(radius):
+        for q, v in BKForest(shard, fps.view(np.uint64)).links(radius, label):
             _merge(label, q, v)
         own = label != np.arange(len(fps))
         return pd.DataFrame({"u": fps[own], "v": fps[label[own]]})
 
-    keys, fps = np.empty(0, np.int64), np.empty(0, np.int64)
+    held: list[tuple[np.ndarray, np.ndarray]] = []  # the last shard may go on in the next batch
     for b in batches:
-        keys, fps = np.concatenate((keys, b["key"].to_numpy())), np.concatenate((fps, b["fp"].to_numpy()))
-        done = int(np.searchsorted(keys, keys[-1])) if len(keys) else 0  # the last shard may go on
-        if done:
-            yield found(keys[:done], fps[:done])
-            keys, fps = keys[done:], fps[done:]
-    if len(keys):
-        yield found(keys, fps)
-
-
-def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """(u, root) for every linked u: root is the smallest value of its connected component."""
+        keys, fps = b["key"].to_numpy(), b["fp"].to_numpy()
+        if not len(keys):
+            continue
+        done = int(np.searchsorted(keys, keys[-1])) if not held or keys[-1] != held[0][0][0] else 0
+        if done or held and keys[-1] != held[0][0][0]:
+            yield found(*map(np.concatenate, zip(*held, (keys[:done], fps[:done]), strict=True)))
+            held = []
+        held.append((keys[done:], fps[done:]))
+    if held:
+        yield found(*map(np.concatenate, zip(*held, strict=True)))
+
+
+def _groups(mask: int, n: int = 4) -> list[int]:
+    """The mask with each of n groups of the bits outside it."""
+    free = [b for b in range(64) if not mask >> b & 1]
+    return [mask | sum(1 << b for b in free[g::n]) for g in range(n)]
+
+
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+def shards(nodes: DataFrame, most: int = SHARD_NODES) -> DataFrame:
+    """(key, fp): any two fingerprints that differ in at most three bits share a key."""
+    block = [((1 << size) - 1) << first for first, size in BLOCKS]
+    masks = [x | y for x, y in combinations(block, 2)]
+    rows, out = nodes.select("fp", F.explode(F.sequence(F.lit(0), F.lit(len(masks) - 1))).alias("m")), None
+    for level in range(4):  # after three splits a key holds over 47 bits, and a shard at most 2 ** 17 fingerprints
+        bits = F.element_at(F.lit([_signed(m) for m in masks]).cast("array<bigint>"), F.col("m") + 1)
+        rows = rows.select("fp", "m", F.xxhash64(F.lit(level), "m", F.col("fp").bitwiseAND(bits)).alias("key"))
+        hot = cut(rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > most).select("key", F.lit(True).alias("hot"))) if level < 3 else None
+        if hot is None or hot.isEmpty():
+            return out.union(rows.select("key", "fp")) if out else rows.select("key", "fp")
+        rows = rows.join(hot, "key", "left")  # both sides are plain tables, so Spark may broadcast the few keys or split a hot one
+        small = rows.where("hot is null").select("key", "fp")
+        out = out.union(small) if out else small
+        masks = [g for m in masks for g in _groups(m)]
+        rows = rows.where("hot").select("fp", F.explode(F.sequence(4 * F.col("m"), 4 * F.col("m") + 3)).alias("m"))
+    return out
+
+
+def components(links: DataFrame) -> DataFrame:
+    """(u, root) for every linked u: root is the smallest value of its connected component.
+
+    Each round brings nodes nearer to their root, at least by a constant factor, until nothing changes (so a number of rounds in the order of
+    the logarithm squared).  Joins read written tables, so that Spark can split the rows of a hub."""
     links = cut(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     before = None
-    for _ in range(most_rounds):
+    while True:
         both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         large = cut(large)
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = cut(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
         links = cut(small.where("u <> v").distinct())
         now = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
-            break
+            return links.select("u", F.col("v").alias("root"))
         before = now
-    else:
-        raise RuntimeError(f"components did not settle in {most_rounds} rounds")
-    return links.select("u", F.col("v").alias("root"))
 
 
-def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS, shard_nodes: int = SHARD_NODES) -> DataFrame:
     """(doc_id, text_hash, fp, component_id, root) for each document row; root names the component."""
+    if radius > RADIUS:
+        raise ValueError(f"shards meet for {RADIUS} bits at most")
     prints = documents.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), fingerprint(shingle)(F.col(text).cast("binary")).alias("fp"))
     prints = cut(prints)  # three numbers for each document; the texts are read once
     nodes = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    keys = []
-    for k, (x, y) in enumerate(combinations(range(len(BLOCKS)), 2)):
-        part = lambda b: F.shiftrightunsigned("fp", BLOCKS[b][0]).bitwiseAND((1 << BLOCKS[b][1]) - 1)
-        keys.append(F.lit(k << 32).bitwiseOR(F.shiftleft(part(x), 13)).bitwiseOR(part(y)))
-    shards = nodes.select(F.explode(F.array(*keys)).alias("key"), "fp").repartition("key").sortWithinPartitions("key")
-    links = shards.mapInPandas(lambda it: shard_links(it, radius), "u bigint, v bigint")
+    dealt = shards(nodes, shard_nodes).repartition("key").sortWithinPartitions("key")
+    links = dealt.mapInPandas(lambda it: shard_links(it, radius), "u bigint, v bigint")
     linked = components(links)
     ids = linked.union(linked.select("root", "root").distinct()).toDF("fp", "root")
     named = ids.join(nodes, "fp")

@@ -13,15 +13,18 @@ A word goes if a window of ``WINDOW`` = 13 words that covers it also starts in a
    are a repeat), and then added to it.  The automata are built where their shard lies, not broadcast: repeats grow
    with the corpus, so no bound would hold for a broadcast.  An anchor with more than ``MOST_RUNS`` different runs
    (a frequent line in many contexts) is resolved exactly by its windows instead: the smallest id for each window.
+   Anchors that would fill a task (found in a sample of documents, at most ``HOT_SHARE`` for each partition) are dealt
+   by anchor and run, and taken by windows as well; which ones they are changes the work, never the result.
 4. Repeats are gathered for each document and cut out of its text.  Texts are moved only for documents that may
    have repeats: a bitmap of ``BITMAP_BITS`` hashed document keys, a fixed 2 MB, is collected and tested before the join;
    where it saturates, more texts move and the result stays the same.
 
-Words are compared by 64-bit hashes in step 1 and 2 and by their text in the automata.
+Runs are equal in step 1 and 2 if their anchors' and their own 64-bit hashes are equal, so only runs around the same 5 words could be
+mistaken for each other; in step 3 words are compared by their text, windows by SHA-256.
 
-Defined results: null and empty texts and texts below 13 words lose nothing (a null text stays null); rows with a null
-id lose nothing and count as no reference; repeated rows with one id are no reference for each other;
-other columns pass through.
+Defined results: null and empty texts and texts below 13 words lose nothing (a null text stays null); very long texts are taken whole; rows with a null
+id lose nothing and count as no reference; repeated rows with one id are no reference for each other; ids that are no whole numbers are
+replaced by their rank; an empty table gives no rows; other columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -40,6 +43,8 @@ GRAM = 5
 MOST_RUNS = 256
 BATCH_BYTES = 600_000
 BITMAP_BITS = 1 << 24
+SAMPLE_DOCS = 20_000
+HOT_SHARE = 8
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -143,9 +148,10 @@ def _run_rows(frames):
         yield pd.DataFrame({"fp": fp, "run": run, "doc": doc, "key": key, "sure": doc > low})[~again]
 
 
-def _verdicts(frames):
+def _verdicts(frames, often=()):
     """Streams rows sorted by (sure, fp, run, doc, key): kind 0 repeat, 1 contested, 2 contested by many runs."""
     cols = ["fp", "run", "doc", "key"]
+    often = np.array(sorted(often), np.int64)
     held = pd.DataFrame(columns=cols).astype("int64")
     hot: tuple[int, int, int] | None = None  # anchor under way, its last run and that run's smallest id
 
@@ -158,7 +164,7 @@ def _verdicts(frames):
         new_run = new_fp | np.concatenate(([True], run[1:] != run[:-1]))
         low = doc[np.maximum.accumulate(np.where(new_run, np.arange(len(doc)), 0))]
         group = np.cumsum(new_fp) - 1
-        runs = np.bincount(group, new_run)
+        runs = np.where(np.isin(fp[new_fp], often), MOST_RUNS + 1, np.bincount(group, new_run))
         if hot and fp[0] == hot[0]:
             runs[0] = MOST_RUNS + 1
             if run[0] == hot[1]:
@@ -348,17 +354,41 @@ def _with_hit(docs: DataFrame, bitmap: DataFrame, bits: int = BITMAP_BITS) -> Da
     return docs.withColumn("__hit", hit).drop("__bucket", "__bits")
 
 
+def hot_anchors(some: DataFrame, n_docs: int, partitions: int, sample_docs: int = SAMPLE_DOCS) -> list[int]:
+    """Anchors with over 1 / (HOT_SHARE * partitions) of all runs of a sample, so at most HOT_SHARE * partitions of them."""
+    sample = some.where(F.pmod(F.xxhash64("doc", "key", F.lit("sample")), F.lit(max(1, n_docs // sample_docs))) == 0)
+    counts = sample.mapInPandas(_run_rows, RUN_ROWS).groupBy("fp").agg(F.count("*").alias("n"))
+    counts = cut(counts.where("n > 1"))
+    total = sample.agg(F.sum(F.octet_length("text"))).first()[0] or 0  # about 35 bytes of text a run
+    least = max(16.0, total / 35 / (HOT_SHARE * partitions))
+    return [r.fp for r in counts.where(F.col("n") > least).orderBy(F.desc("n"), "fp").limit(HOT_SHARE * partitions).collect()]
+
+
+def _ranked(documents: DataFrame, doc_id: str) -> DataFrame:
+    """Adds __doc: the id, or its rank among all ids where it is no whole number."""
+    if documents.schema[doc_id].dataType.typeName() in ("byte", "short", "integer", "long"):
+        return documents.withColumn("__doc", F.col(doc_id).cast("bigint"))
+    ids = documents.select(F.col(doc_id).alias("__id")).where("__id is not null").distinct().orderBy("__id")
+    ids = cut(ids.select("__id", F.monotonically_increasing_id().alias("__doc")))  # ascending over sorted partitions
+    return documents.join(ids, F.col(doc_id) == F.col("__id"), "left").drop("__id")
+
+
+RUN_ROWS = "fp bigint, run bigint, doc bigint, key bigint, sure boolean"
+
+
 def dedup_substrings(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents with repeats cut out of their text; the other columns are kept."""
     cols = documents.columns
     key = F.xxhash64(text)
-    docs = documents.select(F.struct(*[F.col(f"`{c}`") for c in cols if c != text]).alias("row"), F.col(text).alias("text"), F.col(doc_id).cast("bigint").alias("doc"), key.alias("key"))
+    docs = _ranked(documents, doc_id).select(F.struct(*[F.col(f"`{c}`") for c in cols if c != text]).alias("row"), F.col(text).alias("text"), F.col("__doc").alias("doc"), key.alias("key"))
     read = docs.select("doc", "key", F.col("text").cast("binary").alias("text"))
     some = read.where("doc is not null and octet_length(text) >= 25")  # 13 words and 12 spaces at least
+    often = hot_anchors(some, documents.count(), int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
-    rows = some.mapInPandas(_run_rows, "fp bigint, run bigint, doc bigint, key bigint, sure boolean")
-    dealt = rows.repartition(F.when(F.col("sure"), F.xxhash64("doc", "run")).otherwise(F.col("fp")))
-    judged = dealt.sortWithinPartitions("sure", "fp", "run", "doc", "key").mapInPandas(_verdicts, "fp bigint, run bigint, doc bigint, key bigint, kind int")
+    rows = some.mapInPandas(_run_rows, RUN_ROWS)
+    place = F.when(F.col("sure"), F.xxhash64("doc", "run")).when(F.col("fp").isin(often), F.xxhash64("fp", "run")).otherwise(F.col("fp"))
+    dealt = rows.repartition(place).sortWithinPartitions("sure", "fp", "run", "doc", "key")
+    judged = dealt.mapInPandas(lambda frames: _verdicts(frames, often), "fp bigint, run bigint, doc bigint, key bigint, kind int")
     of_kind = lambda k: F.collect_set(F.when(F.col("kind") == k, F.col("run")))
     found = cut(judged.groupBy("doc", "key").agg(of_kind(0).alias("full"), of_kind(1).alias("few"), of_kind(2).alias("many")))
 
@@ -368,7 +398,7 @@ def dedup_substrings(documents: DataFrame, doc_id: str = "doc_id", text: str = "
     shards = runs.where("passage is not null").select("fp", "doc", "key", "run", "passage").repartition("fp").sortWithinPartitions("fp", "doc", "key", "run")
     matched = shards.mapInPandas(_match_shards, "doc bigint, key bigint, run bigint, mask bigint")
     one = runs.where("windows is not null").select("doc", "key", "run", F.posexplode("windows").alias("i", "w")).withColumn("w", F.sha2("w", 256))
-    low = one.groupBy("w").agg(F.min("doc").alias("low"))
+    low = cut(one.groupBy("w").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("w", "low"))  # plain tables, so Spark may split a frequent window
     by_window = one.join(low, "w").where("doc > low").select("doc", "key", "run", F.expr("shiftleft(1L, i)").alias("mask"))
     masks = matched.union(by_window).groupBy("doc", "key").agg(F.collect_list(F.struct("run", "mask")).alias("partial"))
     changes = cut(found.select("doc", "key", "full").join(masks, ["doc", "key"], "left").where("size(full) > 0 or partial is not null"))

@@ -436,6 +436,22 @@ def test_op8_frequent_anchor(spark):
     assert substring_dedup.op8(empty(spark)).count() == 0
 
 
+def test_op8_hot_anchors_and_text_ids(spark, monkeypatch):
+    """Anchors found hot in a sample are dealt by run, and ids may be texts; both change nothing in the result."""
+    rng = random.Random(61)
+    line = words(16, rng)
+    docs = [(i, f"{words(rng.randint(0, 20), rng)} {line} {words(20, rng)}") for i in range(200)] + [(3, line), (None, line)]
+    some = spark.createDataFrame([(i, 1, t.encode()) for i, t in docs if i is not None], "doc bigint, key bigint, text binary")
+    often = substring_dedup.hot_anchors(some, len(docs), 1, sample_docs=100)
+    assert 0 < len(often) <= 8
+    monkeypatch.setattr(substring_dedup, "hot_anchors", lambda *_: often)
+    got = substring_dedup.op8(frame(spark, docs).repartition(6)).collect()
+    assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in got) == brute_dedup(docs)
+    named = frame(spark, docs).withColumn("doc_id", F.concat(F.lit("id-"), F.lpad(F.col("doc_id").cast("string"), 5, "0")))
+    texts = substring_dedup.op8(named).collect()
+    assert sorted((r.n_words, r.n_removed, r.kept_sha256) for r in texts) == sorted((r.n_words, r.n_removed, r.kept_sha256) for r in got)
+
+
 def test_op8_columns(spark):
     docs = frame(spark, [(1, words(30)), (2, None)]).withColumns({"doc": F.lit(1), "key": F.lit("k"), "row": F.lit(2), "full": F.lit(3)})
     out = substring_dedup.dedup_substrings(docs)
@@ -497,6 +513,8 @@ def test_op9(spark):
     want = sorted((str(i), f"{f:016x}", str(c)) for (i, _), f, c in zip(docs, fps, brute_components([i for i, _ in docs], fps), strict=True))
     assert sorted((str(r.doc_id), r.fingerprint, str(r.component_id)) for r in got) == want
     assert len({r.component_id for r in got}) < len(docs) - 10
+    split = near_dups.near_duplicates(frame(spark, docs), shard_nodes=2).collect()  # shards are split as often as they can be
+    assert sorted((str(r.doc_id), str(r.component_id)) for r in split) == sorted((x, c) for x, _, c in want)
     assert near_dups.op9(empty(spark)).count() == 0
     kept = near_dups.drop_near_duplicates(frame(spark, docs).withColumn("fp", F.lit(1)))
     assert kept.count() == len(set(brute_components(range(len(docs)), fps)))
@@ -512,6 +530,31 @@ def test_op9_trees():
     near = lambda i, j: bin(int(points[i]) ^ int(points[j])).count("1") <= 3
     want = {(i, j) for i in range(len(points)) for j in range(len(points)) if i != j and shard[i] == shard[j] and near(i, j)}
     assert got == want and len(want) > 300
+    # where points of the largest class are not asked any more, the classes stay the same
+    points = np.unique(np.concatenate([points, *(points[:3, None] ^ (np.uint64(1) << rng.integers(0, 60, (3, 200)).astype(np.uint64))).tolist()]).astype(np.uint64))
+    shard = np.repeat([0, 1], [len(points) - 100, 100])
+    whole, lazy = np.arange(len(points)), np.arange(len(points))
+    forest = near_dups.BKForest(shard, points)
+    asked = [0, 0]
+    for k, (label, pairs) in enumerate(((whole, forest.links(3)), (lazy, forest.links(3, lazy, block=32)))):
+        for q, v in pairs:
+            asked[k] += len(q)
+            near_dups._merge(label, q, v)
+    assert (whole == lazy).all() and asked[1] < asked[0]
+
+
+def test_op9_shards(spark):
+    """Fingerprints within three bits share a key at every level of splitting."""
+    rng = random.Random(67)
+    base = [rng.getrandbits(64) for _ in range(40)]
+    fps = {f ^ sum({1 << rng.randrange(64) for _ in range(rng.randint(0, 3))}) for f in base for _ in range(6)} | set(base)
+    fps |= {base[0] ^ sum({1 << rng.randrange(8) for _ in range(3)}) for _ in range(60)}  # many with long common parts
+    nodes = spark.createDataFrame([(near_dups._signed(f),) for f in fps], "fp bigint")
+    for most in (1, 20, 50_000):
+        keys = {}
+        for r in near_dups.shards(nodes, most).collect():
+            keys.setdefault(r.fp & (2**64 - 1), set()).add(r.key)
+        assert all(keys[x] & keys[y] for x, y in itertools.combinations(sorted(fps), 2) if bin(x ^ y).count("1") <= 3)
 
 
 def test_op9_chain(spark):
@@ -690,3 +733,11 @@ def test_pipeline(spark, tmp_path):
     assert [s[1] for s in seen] == [[3, 4, 5, 6, 7, 8, 9], [3, 6, 7, 8, 9], [3, 6, 7, 8, 9], [3, 6, 7, 9], [3, 6, 7, 9]]
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert sorted(r.doc_id for r in out.collect()) == [3, 6, 7, 9]
+    clash = ["row", "key", "doc", "fp", "root", "node", "n", "bucket", "score", "l", "text_hash", "k", "i", "spans", "n_words"]
+    wide = docs.withColumns({c: F.lit(i) for i, c in enumerate(clash)})
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty(spark), str(tmp_path)).count() == 0
+        wide = stage(spark, wide, str(tmp_path))
+        if name != "packing":
+            assert wide.columns == [*docs.columns, *clash]
+    assert sorted(r.doc_id for r in wide.collect()) == [3, 6, 7, 9]
