@@ -117,17 +117,17 @@ def run(spark: SparkSession, a: argparse.Namespace) -> int:
             return 1
         notes = corpus.without_index(files.notes(spark, a.input))
     if a.mode == "index":
-        rows = corpus.course_index(notes, F.lit(a.name or os.path.basename(a.input.rstrip("/")))).collect()
+        rows = corpus.course_index(notes, F.lit(a.name or os.path.basename(a.input.rstrip("/")))).orderBy("section", "n").collect()
         if not rows:
             return 1
-        files.write_text(os.path.join(a.output or a.input, corpus.INDEX_FILE), rows[0].text)
+        files.write_text(os.path.join(a.output or a.input, corpus.INDEX_FILE), "\n".join(r.line for r in rows))
         return 0
     if a.mode == "links":
         report = corpus.validation(notes)
         _show(report.where("n_broken > 0 or size(relations_broken) > 0 or size(citations) > 0 or size(confidence) > 0"))
         return 0 if _show(corpus.validation_totals(report))[0]["ok"] else 1
     if a.mode == "concepts":
-        files.write_notes(corpus.concept_pages(notes).withColumnRenamed("page", "file"), a.output or os.path.join(a.input, "concepts"))
+        files.write_pages(corpus.concept_pages(notes), a.output or os.path.join(a.input, "concepts"))
         return 0
     if a.mode == "search":
         return 0 if _show(corpus.search(corpus.latest(notes), a.words, a.top)) else 1

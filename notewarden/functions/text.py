@@ -30,6 +30,7 @@ FRONT_LINE = r"^([A-Za-z_]\w*)\s*:\s*(.+?)\s*$"
 TOC_LINK = r"^[-*]\s+\[.+\]\(#.+\)"
 QUERY_SPLIT = r"[\s,，。;；:：、.!！?？\"'“”‘’()（）\[\]【】《》<>]+"
 SUMMARY_MAX = 60
+KEY_VALUE = r"^\s*[\"']?([\w一-鿿]+)[\"']?\s*[:：]\s*(.+?)\s*$"
 # --- end of fixed values ---
 
 NO_TEXTS = "array<string>"
@@ -135,9 +136,20 @@ def frontmatter(c: Column) -> Column:
     return F.map_from_entries(F.transform(let(pairs, lambda p: last_of_each(p)), lambda p: F.struct(p["k"], _front_value(p["v"]))))
 
 
+def one_of_each(elements: Column, name: str, last: bool = False) -> Column:
+    """Of array elements with an equal field the first, or the last, in the order of the array; by one sort."""
+
+    def ends(s: Column) -> Column:
+        beside = lambda x, i: F.coalesce(F.get(s, i + (1 if last else -1))["k"] != x["k"], F.lit(True))
+        return F.filter(s, beside)
+
+    keyed = F.array_sort(F.transform(elements, lambda x, i: F.struct(x[name].alias("k"), i.alias("i"))))
+    places = F.array_sort(F.transform(let(keyed, ends), lambda x: x["i"]))
+    return let(elements, lambda e: F.transform(places, lambda i: F.get(e, i)))
+
+
 def last_of_each(pairs: Column, name: str = "k") -> Column:
-    """Of array elements with an equal field the last."""
-    return F.filter(pairs, lambda p, i: ~F.exists(after(pairs, i + 1), lambda q: q[name] == p[name]))
+    return one_of_each(pairs, name, last=True)
 
 
 def _front_value(v: Column) -> Column:
@@ -195,8 +207,7 @@ def links(c: Column) -> Column:
 def bold_terms(c: Column) -> Column:
     """Bold Latin terms in order; of equal spellings (without regard to case) the first stays."""
     found = F.transform(all_matches(c, BOLD_TERM, 1), lambda t: F.struct(strip(t).alias("t"), F.lower(strip(t)).alias("low")))
-    first = lambda all_: F.filter(all_, lambda t, i: F.array_position(all_["low"], t["low"]) == i + 1)
-    return F.transform(let(found, first), lambda t: t["t"])
+    return F.transform(let(found, lambda all_: one_of_each(all_, "low")), lambda t: t["t"])
 
 
 def query_words(q: Column) -> Column:
@@ -256,9 +267,14 @@ def source_sections(c: Column) -> Column:
 
 
 def numbered_sections(c: Column, pattern: str) -> Column:
-    """array(num, size) of the sections that a numbered heading opens, each up to the next such heading."""
+    """array(num, size) of the sections that a numbered heading opens, each up to the next such heading; num is a text of digits."""
     own = F.filter(F.split(text(c), rf"(?md)(?={pattern})"), lambda p: F.regexp_like(p, F.lit(rf"(?md)\A{pattern}")))
-    return F.transform(own, lambda p: F.struct(F.regexp_extract(p, rf"(?md)\A{pattern}", 1).cast("bigint").alias("num"), content_length(p).alias("size")))
+    return F.transform(own, lambda p: F.struct(_digits(F.regexp_extract(p, rf"(?md)\A{pattern}", 1)).alias("num"), content_length(p).alias("size")))
+
+
+def _digits(c: Column) -> Column:
+    """A number of any length without leading zeros, so that equal numbers are equal texts."""
+    return F.regexp_replace(c, r"^0+(?=\d)", "")
 
 
 SOURCE_UNIT = r"^##\s*(\d+)[.\d]*[ ，,．.、]"
@@ -306,8 +322,8 @@ def count_literal(c: Column, literal: str) -> Column:
 
 
 def natural_key(name: Column) -> Column:
-    """Sort key of file names: names with numbers first, by their numbers, then by name."""
-    nums = F.transform(F.regexp_extract_all(name, F.lit(r"(\d+)"), F.lit(1)), lambda x: x.cast("bigint"))
+    """Sort key of file names: names with numbers first, by their numbers (of any length), then by name."""
+    nums = F.transform(F.regexp_extract_all(name, F.lit(r"(\d+)"), F.lit(1)), lambda x: F.struct(F.length(_digits(x)).alias("n"), _digits(x).alias("d")))
     return F.struct((F.size(nums) == 0).alias("plain"), nums.alias("nums"), name.alias("name"))
 
 
@@ -318,8 +334,7 @@ def json_object(c: Column, schema: str) -> Column:
 
 def key_values(c: Column) -> Column:
     """map of ``key: value`` lines, the fallback for replies without JSON."""
-    pattern = r"^\s*[\"']?([\w\x{4e00}-\x{9fff}]+)[\"']?\s*[:：]\s*(.+?)\s*$"
-    own = F.filter(lines(c), lambda x: F.regexp_like(x, F.lit(pattern)))
-    value = lambda x: F.regexp_replace(F.regexp_extract(x, pattern, 2), "^[\"',]+|[\"',]+\\z", "")
-    pairs = F.transform(own, lambda x: F.struct(F.regexp_extract(x, pattern, 1).alias("k"), value(x).alias("v")))
+    own = F.filter(lines(c), lambda x: F.regexp_like(x, F.lit(KEY_VALUE)))
+    value = lambda x: F.regexp_replace(F.regexp_extract(x, KEY_VALUE, 2), "^[\"',]+|[\"',]+\\z", "")
+    pairs = F.transform(own, lambda x: F.struct(F.regexp_extract(x, KEY_VALUE, 1).alias("k"), value(x).alias("v")))
     return F.map_from_entries(let(pairs, lambda p: last_of_each(p)))

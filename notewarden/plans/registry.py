@@ -108,8 +108,8 @@ SELECT k, carry::INT AS carry, kp_note::INT AS kp_note, kp_src::INT AS kp_src, m
 def expansion_verdict(spark, d):
     """Richness of rewritten notes: ratio, points, structure and the upper median over units."""
     df = rendered.notes(spark, d)
-    v = df.select("k", quality.expansion(F.col("src"), F.col("note")).alias("v"), F.coalesce(T.upper_median(T.unit_ratios(F.col("src"), F.col("note"))), F.lit(1.0)).alias("unit_median"))
-    return v.select("k", "v.carry", "v.kp_note", "v.kp_src", "unit_median", "v.exempt", "v.ok")
+    v = df.select("k", quality.expansion(F.col("src"), F.col("note")).alias("v"))
+    return v.select("k", "v.carry", "v.kp_note", "v.kp_src", F.col("v.unit_median_exact").alias("unit_median"), "v.exempt", "v.ok")
 
 
 @query(f"{N}, x AS (SELECT k, unnest(generate_series(1, len(string_split(note, chr(10))))) AS pos, unnest(string_split(note, chr(10))) AS line FROM n) SELECT k, (pos - 1)::INT AS pos, line FROM x WHERE NOT (line = '' AND pos = (SELECT max(pos) FROM x y WHERE y.k = x.k))")
@@ -183,7 +183,7 @@ def metadata_scrub(spark, d):
 @query(f"{N}, s AS (SELECT k, rn, {_CONTENT.format(x='src')} AS size FROM tx) SELECT k, rn::BIGINT AS num, size::INT AS size FROM s WHERE size > 50")
 def source_units(spark, d):
     u = rendered.notes(spark, d).select("k", F.explode(T.source_units(F.col("src"))).alias("u"))
-    return u.select("k", "u.num", "u.size")
+    return u.select("k", F.col("u.num").try_cast("bigint").alias("num"), "u.size")
 
 
 _SCORE = r"""WITH l AS (SELECT row_number() OVER () AS r, doc_id, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '\S')) AS ls FROM documents),
@@ -272,12 +272,16 @@ def course_entries(spark, d):
 
 
 @query(
-    f"{N}, e AS (SELECT k % 100 AS course, row_number() OVER (PARTITION BY k % 100 ORDER BY k) AS i, file, k FROM n) SELECT course, md5('---' || chr(10) || 'okf_version: v0.2' || chr(10) || 'type: course-index' || chr(10) || 'course: C' || course || chr(10) || 'notes: ' || count(*) || chr(10) || '---' || chr(10) || chr(10) || '# C' || course || "
-    "' · 课程索引' || chr(10) || chr(10) || '> AI 先读本索引定位讲次与顺序，再按需打开具体笔记，勿整目录倾倒。' || chr(10) || chr(10) || '## 讲次地图' || chr(10) || chr(10) || string_agg(i || '. [[' || file || '|Order ' || k || ']] — A summary of order ' || k || '.', chr(10) ORDER BY i) || chr(10) || chr(10) || '## 统计' || chr(10) || chr(10) || '- 讲次总数：' || count(*) || chr(10) || '- 链接全部指向本课程笔记，AI 按需点开。' || chr(10)) AS index_md5 FROM e GROUP BY course"
+    f"{N}, e AS (SELECT k % 100 AS course, row_number() OVER (PARTITION BY k % 100 ORDER BY k) AS i, file, k FROM n), c AS (SELECT course, count(*) AS m FROM e GROUP BY course) "
+    "SELECT course, 0::INT AS section, 0::INT AS n, '---' || chr(10) || 'okf_version: v0.2' || chr(10) || 'type: course-index' || chr(10) || 'course: C' || course || chr(10) || 'notes: ' || m || chr(10) || '---' || chr(10) || chr(10) || '# C' || course || "
+    "' · 课程索引' || chr(10) || chr(10) || '> AI 先读本索引定位讲次与顺序，再按需打开具体笔记，勿整目录倾倒。' || chr(10) || chr(10) || '## 讲次地图' || chr(10) AS line FROM c "
+    "UNION ALL SELECT course, 1, i::INT, i || '. [[' || file || '|Order ' || k || ']] — A summary of order ' || k || '.' FROM e "
+    "UNION ALL SELECT course, 2, 0, chr(10) || '## 统计' || chr(10) || chr(10) || '- 讲次总数：' || m || chr(10) || '- 链接全部指向本课程笔记，AI 按需点开。' || chr(10) FROM c"
 )
 def course_index(spark, d):
+    """The lines of the index of each course."""
     own = _notes(spark, d).withColumn("course", F.col("k") % 100)
-    return corpus.course_index(own, F.concat(F.lit("C"), "course"), ["course"]).select("course", F.md5("text").alias("index_md5"))
+    return corpus.course_index(own, F.concat(F.lit("C"), "course"), ["course"])
 
 
 @query(
@@ -338,7 +342,7 @@ def line_filter(spark, d):
 )
 def speech_track(spark, d):
     """The speech lines of conversations written as time-coded transcripts."""
-    t = table(spark, d, "conversations").where("conv_id is not null")
+    t = table(spark, d, "conversations")
     i = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text"))
     line = F.concat(F.lit("[0"), i, F.lit(":00] "), F.when(F.col("role") == "user", "🎤 ").otherwise("📷 "), F.translate(T.text(F.col("text")), "\n", " "))
     rows = t.select("conv_id", F.struct(i.alias("i"), line.alias("x")).alias("r")).groupBy("conv_id").agg(F.array_sort(F.collect_list("r")).alias("r"))
@@ -408,7 +412,7 @@ def chunk_documents(spark, d):
 )
 def rolling_compile(spark, d):
     """The rolling fold over conversations; a user's turn asks to be merged with the next."""
-    t = table(spark, d, "conversations").where("conv_id is not null")
+    t = table(spark, d, "conversations")
     order = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text")) - 1
     chunks = t.select("conv_id", order.alias("ord"), F.concat(F.when(F.col("role") == "user", "u").otherwise("-"), T.text(F.col("text"))).alias("text"), F.array(F.col("role")).alias("breadcrumb"))
     chunks = chunks.where(F.regexp_like(F.substring("text", 2, 1 << 30), F.lit(r"\S")))
@@ -460,28 +464,24 @@ def known_targets(spark, d):
 
 
 @query(
-    f"{N}, b AS (SELECT k, 'Brand ' || ['A','B','C','D','E'][p % 5 + 1] || ' Line' AS term, min(rn) AS a FROM tx WHERE p % 7 <> 0 GROUP BY ALL), "
-    "h AS (SELECT k, rn || ' · part' AS term, rn AS a FROM tx WHERE p % 7 <> 0), "
-    "u AS (SELECT k, 0 AS s, a, term FROM b UNION ALL SELECT k, 1, 0, 'Order ' || k FROM n UNION ALL SELECT k, 2, a, term FROM h) "
-    "SELECT k, string_agg(term, '|' ORDER BY s, a) AS terms FROM u GROUP BY k"
+    f"{N}, o AS (SELECT DISTINCT 'Brand ' || ['A','B','C','D','E'][p % 5 + 1] || ' Line' AS name, k FROM tx WHERE p % 7 <> 0), b AS (SELECT k, name, min(rn) AS a FROM o JOIN tx USING (k) WHERE name = 'Brand ' || ['A','B','C','D','E'][p % 5 + 1] || ' Line' AND p % 7 <> 0 GROUP BY k, name), "
+    "c AS (SELECT k, rn, sum(length(note) + 1) OVER (PARTITION BY k ORDER BY rn) AS z FROM tx WHERE p % 7 <> 0) "
+    "SELECT n.k, coalesce((SELECT string_agg(name, '|' ORDER BY a) FROM b WHERE b.k = n.k), '') AS bold, true AS has_title FROM n"
 )
 def concept_map(spark, d):
-    """Bold terms of each note, then its breadcrumbs, without repeats.
-
-    Chunks are cut at every block, so that each heading's breadcrumb is among them."""
-    notes = _notes(spark, d)
-    crumbs = segment.blocks(notes, "k", "text")
-    bold = notes.select("k", F.posexplode(T.bold_terms(F.col("text"))).alias("b", "term")).select("k", F.lit(0).alias("a"), "b", F.lit(0).alias("c"), "term")
-    rest = crumbs.select("k", "ord", F.posexplode("breadcrumb").alias("c", "term")).select("k", F.lit(1).alias("a"), F.col("ord").alias("b"), "c", "term")
-    first = bold.union(rest).groupBy("k", F.lower("term").alias("low")).agg(F.min(F.struct("a", "b", "c", "term")).alias("x"))
-    return first.groupBy("k").agg(F.array_sort(F.collect_list("x")).alias("x")).select("k", F.array_join(F.transform("x", lambda t: t["term"]), "|").alias("terms"))
+    """Bold terms of each note, and whether its title is among the breadcrumbs of its chunks."""
+    found = segment.concept_map(_notes(spark, d), "k").join(_notes(spark, d).select("k", F.size(T.bold_terms(F.col("text"))).alias("n")), "k")
+    return found.select("k", F.array_join(F.slice("terms", 1, F.col("n")), "|").alias("bold"), F.array_contains("terms", F.concat(F.lit("Order "), "k")).alias("has_title"))
 
 
 @query(
-    f"{N}, o AS (SELECT DISTINCT 'Brand ' || ['A','B','C','D','E'][p % 5 + 1] || ' Line' AS name, file FROM tx JOIN n USING (k) WHERE p % 7 <> 0)"
-    " SELECT lower(replace(name, ' ', '_')) || '.md' AS page, name, count(*)::BIGINT AS places FROM o GROUP BY name"
+    f"{N}, o AS (SELECT ['A','B','C','D','E'][p % 5 + 1] AS b, k, rn, string_split(note, chr(10))[5] AS line FROM tx WHERE p % 7 <> 0), "
+    "r AS (SELECT *, row_number() OVER (PARTITION BY b, k ORDER BY rn) AS i FROM o), g AS (SELECT DISTINCT b FROM o), "
+    "u AS (SELECT b, 0 AS section, '' AS file, 0 AS i, '---' || chr(10) || 'type: concept' || chr(10) || 'name: Brand ' || b || ' Line' || chr(10) || '---' || chr(10) || chr(10) || '# Brand ' || b || ' Line' || chr(10) || chr(10) || '## 出现讲次' || chr(10) AS line FROM g "
+    "UNION ALL SELECT b, 2, '', 0, chr(10) || '## 摘录定义' || chr(10) FROM g UNION ALL SELECT b, 3, '', 0, chr(10) || '> 概念页由机械抽取打底，可人工完善定义与概念关系。' || chr(10) FROM g "
+    "UNION ALL SELECT DISTINCT b, 1, 'order_' || k || '.md', 0, '- [[order_' || k || '.md]]' FROM o UNION ALL SELECT b, 2, 'order_' || k || '.md', i, '- `' || line || '`' FROM r WHERE i <= 3) "
+    "SELECT 'brand_' || lower(b) || '_line.md' AS page, 'Brand ' || b || ' Line' AS name, section::INT AS section, file, i::INT AS i, line FROM u"
 )
 def concept_pages(spark, d):
-    """A rendered page for each concept, with a link for each of its files."""
-    pages = corpus.concept_pages(_notes(spark, d))
-    return pages.select("page", "name", F.regexp_count("text", F.lit(r"(?m)^- \[\[")).cast("bigint").alias("places"))
+    """The lines of a rendered page for each concept, with a link for each of its files and its first quotes there."""
+    return corpus.concept_pages(_notes(spark, d))

@@ -4,25 +4,28 @@ from __future__ import annotations
 
 import json
 import os
-import tempfile
+import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Folders that a scan leaves out.
+# --- fixed values: folders that a scan leaves out ---
 SKIPPED = (".git", ".venv", "__pycache__", "temp", "node_modules", ".idea", ".vscode")
+# --- end of fixed values ---
 
 
 def notes(spark: SparkSession, root: str) -> DataFrame:
     """(path, file, mtime, text) of every .md file below root, in any letter case; byte-order mark and line ends are normalised."""
     raw = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.[mM][dD]")
-    path = F.col("_metadata.file_path")
+    decoded = lambda c: F.url_decode(F.replace(F.col(c), F.lit("+"), F.lit("%2B")))
+    path = decoded("_metadata.file_path")
     skipped = "|".join(s.replace(".", r"\.") for s in SKIPPED)
-    base = os.path.basename(root.rstrip("/"))
-    inner = F.substring_index(path, f"/{base}/", -1) if base else path
+    above = (root if "://" in root else os.path.abspath(root)).split("://")[-1].rstrip("/") + "/"
+    inner = F.substring(path, F.locate(above, path) + F.lit(len(above)), F.length(path))  # below the root, whose own folders may have any name
     text = F.regexp_replace(F.regexp_replace("value", r"^\x{FEFF}", ""), r"\r\n?", "\n")
     out = raw.where(~F.regexp_like(inner, F.lit(rf"(?:^|/)(?:{skipped})/")))
-    return out.select(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))).alias("path"), F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))).alias("file"), F.col("_metadata.file_modification_time").alias("mtime"), text.alias("text"))
+    return out.select(path.alias("path"), decoded("_metadata.file_name").alias("file"), F.col("_metadata.file_modification_time").alias("mtime"), text.alias("text"))
 
 
 def write_notes(df: DataFrame, out_dir: str, file: str = "file", text: str = "text") -> None:
@@ -30,21 +33,26 @@ def write_notes(df: DataFrame, out_dir: str, file: str = "file", text: str = "te
     df.select(F.col(file).alias("file"), F.col(text).alias("value")).write.mode("overwrite").partitionBy("file").text(out_dir)
 
 
+def write_pages(lines: DataFrame, out_dir: str, page: str = "page", order: tuple[str, ...] = ("section", "file", "i")) -> None:
+    """One folder file=<page> for each page, its lines in order; a long page is several files, whose names ascend."""
+    ordered = lines.repartitionByRange(page, *order).sortWithinPartitions(page, *order)
+    ordered.select(F.col(page).alias("file"), F.col("line").alias("value")).write.mode("overwrite").partitionBy("file").text(out_dir)
+
+
 def read_written(spark: SparkSession, out_dir: str) -> DataFrame:
     return spark.read.text(out_dir, wholetext=True).select(F.col("file").cast("string").alias("file"), F.col("value").alias("text"))
 
 
 def write_text(path: str, text: str) -> None:
-    """One file on the driver, replaced in one step."""
-    os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
-    fd, part = tempfile.mkstemp(dir=os.path.dirname(os.path.abspath(path)))
+    """One small file of the driver, replaced in one step; tables of notes are written by write_notes."""
+    target = Path(path).absolute()
+    target.parent.mkdir(parents=True, exist_ok=True)
+    part = target.with_name(f".{uuid.uuid4().hex}")
     try:
-        with os.fdopen(fd, "w", encoding="utf-8", newline="") as f:
-            f.write(text)
-        os.replace(part, path)
-    except BaseException:
-        os.unlink(part)
-        raise
+        part.write_text(text, encoding="utf-8", newline="")
+        part.replace(target)
+    finally:
+        part.unlink(missing_ok=True)
 
 
 def read_state(path: str) -> dict:
