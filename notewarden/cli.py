@@ -1,11 +1,13 @@
 """Command line: rewrite, index, links, concepts, search, gate, contents, filters.
 
-    python -m notewarden.cli rewrite NOTE [--output DIR] [--max-chars N] [--overlap N] [--retries N]
+    python -m notewarden.cli rewrite NOTE|DIR [--output DIR] [--max-chars N] [--overlap N] [--retries N] [--glossary TEXT] [--spec FILE] [--json]
     python -m notewarden.cli index|links|concepts DIR [--output DIR]
     python -m notewarden.cli search WORDS DIR
-    python -m notewarden.cli gate NOTE [--src SOURCE]
+    python -m notewarden.cli gate NOTE [--src SOURCE] [--score] [--prefs FILE] [--json]
     python -m notewarden.cli toc NOTE [--apply]
     python -m notewarden.cli lines|ebook --src FILE --out FILE [--rules FILE] [--keep-reading]
+
+rewrite and gate --score ask the model behind NOTEWARDEN_URL and NOTEWARDEN_KEY; without one a rewrite keeps the text and there is no score.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from notewarden import config, prepare
-from notewarden.operators import corpus, filters, quality, rolling, segment, toc
+from notewarden.operators import corpus, filters, model_stages, quality, rolling, segment, toc
 from notewarden.sources import files, vcs
 
 
@@ -42,6 +44,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--overlap", type=_at_least(0), default=segment.OVERLAP)
     p.add_argument("--retries", type=_at_least(0), default=1)
     p.add_argument("--commit", action="store_true")
+    p.add_argument("--glossary", default="")
+    p.add_argument("--spec", default="")
+    p.add_argument("--json", action="store_true")
     for mode in ("index", "links", "concepts"):
         p = modes.add_parser(mode)
         p.add_argument("input")
@@ -54,6 +59,9 @@ def parser() -> argparse.ArgumentParser:
     p = modes.add_parser("gate")
     p.add_argument("input")
     p.add_argument("--src", default="")
+    p.add_argument("--score", action="store_true")
+    p.add_argument("--prefs", default="")
+    p.add_argument("--json", action="store_true")
     p = modes.add_parser("toc")
     p.add_argument("input")
     p.add_argument("--apply", action="store_true")
@@ -90,27 +98,45 @@ def _show(df) -> list[dict]:
     return rows
 
 
-def run(spark: SparkSession, a: argparse.Namespace) -> int:
+def _rewrite(spark: SparkSession, a: argparse.Namespace, call) -> int:
+    """Rewrites a note, or all notes of a folder as one job."""
+    many = os.path.isdir(a.input)
+    text = None if many else _file(a.input)
+    if text is None and not many:
+        print(f"cannot read {a.input}", file=sys.stderr)
+        return 1
+    notes = files.notes(spark, a.input).select("path", "file", "text") if many else _one(spark, path=a.input, file=os.path.basename(a.input), text=text)
+    spec = config.load(a.spec) if a.spec else None
+    rewrite = model_stages.rewriter(call, spec, a.glossary) if call else rolling.echo
+    done = rolling.process(notes, rewrite, model_stages.issues_of(call, spec) if call else None, a.max_chars, a.overlap, a.retries)
+    done = done.withColumn("output", toc.build(F.col("output"))["text"])
+    if many:
+        if a.output:  # the job runs once; its report is read from what it wrote
+            done.join(notes.select("path", "file"), "path").write.mode("overwrite").parquet(os.path.join(a.output, "report"))
+            done = spark.read.parquet(os.path.join(a.output, "report"))
+            files.write_notes(done.where("error is null"), os.path.join(a.output, "notes"), text="output")
+        return 0 if all(r["ok"] for r in _show(done.select("path", "ok", "issues", "units", "inferred", "low_conf", "error"))) else 1
+    row = done.first()
+    if a.output and row.error is None:
+        target = os.path.join(a.output, os.path.basename(a.input))
+        files.write_text(target, row.output)
+        files.write_text(os.path.join(a.output, "源数据", "转写.md"), text)
+        if a.commit:
+            vcs.commit_file(target, f"Rewrite {os.path.basename(target)}")
+    if a.json:
+        print(json.dumps({k: v for k, v in row.asDict().items() if k != "output"}, ensure_ascii=False))
+    elif not a.output and row.error is None:
+        print(row.output)
+    else:
+        print(row.error or "; ".join(row.issues) or "ok", file=sys.stderr)
+    return 0 if row.ok else 1
+
+
+def run(spark: SparkSession, a: argparse.Namespace, call=None) -> int:
     prepare(spark)
+    call = call or config.caller_from()
     if a.mode == "rewrite":
-        text = _file(a.input)
-        if text is None:
-            print(f"cannot read {a.input}", file=sys.stderr)
-            return 1
-        docs = _one(spark, doc=a.input, text=text)
-        units = rolling.rolling_compile(segment.chunks(docs, max_chars=a.max_chars, overlap_chars=a.overlap))
-        done = rolling.joined(rolling.repair(units, lambda source, note, issues: note, a.retries))
-        rows = done.select(toc.build(F.col("note"))["text"].alias("note")).collect()
-        note = rows[0].note if rows else ""
-        if a.output:
-            target = os.path.join(a.output, os.path.basename(a.input))
-            files.write_text(target, note)
-            files.write_text(os.path.join(a.output, "源数据", "转写.md"), text)
-            if a.commit:
-                vcs.commit_file(target, f"Rewrite {os.path.basename(target)}")
-        else:
-            print(note)
-        return 0
+        return _rewrite(spark, a, call)
     if a.mode in ("index", "links", "concepts", "search"):
         if not os.path.isdir(a.input):
             print(f"no folder {a.input}", file=sys.stderr)
@@ -134,8 +160,18 @@ def run(spark: SparkSession, a: argparse.Namespace) -> int:
     if a.mode == "gate":
         note = _file(a.input)
         source = _file(a.src) if a.src else None
-        pair = spark.createDataFrame([(a.input, note or "", source, bool(a.src))], "key string, note string, src string, given boolean")
-        return 0 if _show(quality.gate_report(pair, "key", "note", "src", "given"))[0]["pass"] and note is not None else 1
+        if note is None:
+            print(f"cannot read {a.input}", file=sys.stderr)
+            return 1
+        score = model_stages.score(call, note, None) if a.score and call else None
+        pair = spark.createDataFrame([(a.input, note, source, bool(a.src))], "key string, note string, src string, given boolean")
+        limits = quality.limits_of(config.load(a.prefs) if a.prefs else None)
+        report = quality.gate_report(pair, "key", "note", "src", "given", (lambda c: F.lit(score)) if score is not None else None, limits).cache()
+        if a.json:
+            _show(report)
+        else:
+            print(quality.report_text(report, "key").first().text)
+        return 0 if report.first()["pass"] else 1
     if a.mode == "toc":
         text = _file(a.input)
         if text is None:

@@ -49,6 +49,15 @@ def model_for(stage: str, environ: dict | None = None, executors: dict | None =
     return env.get(f"NOTEWARDEN_{stage.upper()}_MODEL") or own or (models or {}).get(stage) or default
 
 
+def caller_from(environ: dict | None = None, stage: str = "rewrite", settings: dict | None = None) -> Callable[[str], str] | None:
+    """A caller for the endpoint that NOTEWARDEN_URL and NOTEWARDEN_KEY name; None where there is none."""
+    env = os.environ if environ is None else environ
+    own = settings or {}
+    url = env.get("NOTEWARDEN_URL") or own.get("url")
+    model = model_for(stage, env, own, own.get("models"), own.get("model", ""))
+    return http_caller(url, env.get("NOTEWARDEN_KEY", ""), model) if url else None
+
+
 def http_caller(url: str, key: str, model: str, timeout: float = 180, retries: int = 2, pause: float = 1.0, open_url: Callable = urllib.request.urlopen) -> Callable[[str], str]:
     """A callable prompt -> reply for a chat endpoint; time-outs, 5xx, 429 and broken replies are tried again, other errors are not."""
 

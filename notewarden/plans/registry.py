@@ -416,7 +416,7 @@ def rolling_compile(spark, d):
     order = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text")) - 1
     chunks = t.select("conv_id", order.alias("ord"), F.concat(F.when(F.col("role") == "user", "u").otherwise("-"), T.text(F.col("text"))).alias("text"), F.array(F.col("role")).alias("breadcrumb"))
     chunks = chunks.where(F.regexp_like(F.substring("text", 2, 1 << 30), F.lit(r"\S")))
-    units = rolling.rolling_compile(chunks, lambda text, summary: (text[1:], summary, text[0] == "u"), key="conv_id")
+    units = rolling.rolling_compile(chunks, lambda text, summary: (text[1:], summary, text[0] == "u"), key="conv_id")  # a null id is one document
     return units.select("conv_id", "ord", "merged_blocks", F.md5("rewritten").alias("text_md5"))
 
 
@@ -485,3 +485,52 @@ def concept_map(spark, d):
 def concept_pages(spark, d):
     """The lines of a rendered page for each concept, with a link for each of its files and its first quotes there."""
     return corpus.concept_pages(_notes(spark, d))
+
+
+@query(
+    f"{N}, c AS (SELECT k, regexp_extract_all(src, 'Part ([0-9]+)', 1) AS ps, src FROM n) "
+    "SELECT k, k % 5 <> 0 AS ok, CASE WHEN k % 5 = 0 THEN 'ValueError: order ' || k END AS error, CASE WHEN k % 5 = 0 THEN 0 ELSE 1 END::INT AS units, "
+    "CASE WHEN k % 5 = 0 THEN 0 ELSE (k % 2)::INT END::INT AS inferred, CASE WHEN k % 5 = 0 THEN '' ELSE md5(regexp_replace(src, '(^|\n)## ', '\1# Order ' || k || ' > ', 'g')) END AS unused FROM c".replace(
+        ", CASE WHEN k % 5 = 0 THEN '' ELSE md5(regexp_replace(src, '(^|\n)## ', '\1# Order ' || k || ' > ', 'g')) END AS unused", ""
+    )
+)
+def process_notes(spark, d):
+    """The whole rewrite with a fixed caller: it loses all numbers at first, repairs itself where it is told so, marks odd orders, and fails for every fifth."""
+
+    def caller(text: str, summary: str, hint: str = ""):
+        number = int(text.split("Order ")[1].split()[0])
+        if number % 5 == 0:
+            raise ValueError(f"order {number}")
+        return (text + rolling.INFERRED * (number % 2) + "\nand more\nlines\nfor the\nscore" if hint else "nothing"), "", False
+
+    src = rendered.notes(spark, d).select("path", "k", F.col("src").alias("text"))
+    done = rolling.process(src.drop("k"), caller, max_chars=1_000_000).join(src.select("path", "k"), "path")
+    return done.select("k", "ok", "error", "units", F.col("inferred").cast("int").alias("inferred"))
+
+
+@query(f"{N}, m AS (SELECT k, length(note) - length(replace(note, '**Brand', '')) AS d FROM n) SELECT k, (d // 7)::INT AS marks FROM m")
+def marker_counts(spark, d):
+    """How often a literal mark stands in each note."""
+    return _notes(spark, d).select("k", T.count_literal(F.col("text"), "**Brand").cast("int").alias("marks"))
+
+
+@query(f"{N} SELECT k, md5(note) AS note_md5 FROM n")
+def toc_strip(spark, d):
+    """Taking the contents block out of a note that got one gives the note back."""
+    built = _notes(spark, d).select("k", F.col("text").alias("old"), toc.build(F.col("text"))["text"].alias("new"))
+    lean = lambda c: T.strip(F.regexp_replace(c, r"\n+", "\n"))
+    same = lean(toc.strip_toc(F.col("new"))) == lean(F.col("old"))
+    return built.select("k", F.when(same, F.md5("old")).otherwise("changed").alias("note_md5"))
+
+
+@query(
+    f"{N}, c AS (SELECT k, src, note, {_facts('src')[0]} AS s, {_facts('note')[0]} AS t, list_filter(string_split(note, chr(10)), lambda x: trim(x) <> '') AS ls FROM n), "
+    "g AS (SELECT k, len(s) AS total, len(list_filter(s, lambda x: len(list_filter(t, lambda y: contains(y, x))) = 0)) AS miss, ls FROM c), "
+    "q AS (SELECT k, total, miss, ls, round_even(CASE WHEN total = 0 THEN 1.0 ELSE 1.0 - miss / total END, 3) AS cov FROM g), "
+    "z AS (SELECT *, greatest(0.0, least(100.0, round_even(40 + 20 + CASE WHEN len(ls) >= 5 THEN 20 ELSE 0 END + CASE WHEN len(list_filter(ls, lambda x: length(x) <= 1 AND NOT regexp_matches(x, '[一-鿿A-Za-z0-9]'))) > 0 THEN 10 ELSE 20 END + (cov - 0.9) * 100, 1))) AS score FROM q) "
+    "SELECT k, score::DOUBLE AS score, ((total = 0 OR 1.0 - miss / total >= 0.9) AND score >= 80) AS pass FROM z"
+)
+def check_notes(spark, d):
+    """The combined check of every rendered pair: facts, score, emptiness."""
+    c = rendered.notes(spark, d).select("k", quality.check(F.col("src"), F.col("note")).alias("c"))
+    return c.select("k", "c.score", "c.pass")
