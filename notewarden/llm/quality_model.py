@@ -7,7 +7,8 @@ into arrays (feature, threshold, children, value), and a batch walks all trees l
 
 Defined results: null and empty texts have zero statistics and get a score like any other; documents
 labelled twice count twice in training; null labels are ignored; without labels, or with only one class,
-the score is the smoothed share of label 1 (0.5 without labels); ties between splits take the first
+the score is the smoothed share of label 1 (0.5 without labels); very long texts are measured whole; repeated rows get the same score each; an
+empty table gives no rows; ties between splits take the first
 statistic and the lowest threshold; labels, language, source and id are never inputs of a score.
 A column that is named like a result is replaced by it.
 """

@@ -4,9 +4,10 @@ Each URL is expanded into every host suffix crossed with its path prefixes of th
 have.  Expressions are joined to the rules on a short prefix of their SHA-256, the full digest then
 confirms a match, and the longest rule decides.  Everything is built-in column work: one narrow
 expansion, a join whose rule side is broadcast only below ``broadcast_rules`` rows, and one
-aggregation on a unique row number, so no host is a hot key.
+aggregation on a unique row number, so no host is a hot key.  Above that size URLs meet rules by (short hash,
+salt), where each rule stands once for each of ``SALTS`` salts, so an expression that every URL has (``com/``) is spread over as many tasks.
 
-Defined results: a null URL or one without ``://`` has an empty host and path and no rule; without a
+Defined results: very long URLs are expanded to the lengths that rules have only; an empty table gives no rows; a null URL or one without ``://`` has an empty host and path and no rule; without a
 rule the verdict is ``default``, and ``hostless`` where the host is empty; rules of equal length are
 ordered by host, then path, the greatest first; null rules fit nothing; repeated rows stay
 repeated; other columns pass through, also where they are named like the helper columns.
@@ -29,6 +30,7 @@ RULES = [
 ]
 PREFIX_HEX = 8
 BROADCAST_RULES = 100_000
+SALTS = 32
 
 
 def host_of(url: Column) -> Column:
@@ -72,8 +74,12 @@ def url_verdicts(
     ranked = cut(ranked)
     n = ranked.agg(F.count("*").alias("n"), F.sort_array(F.collect_set("__len")).alias("l")).first()
     lengths = F.array(*[F.lit(x) for x in n.l]) if n.l else F.array().cast("array<int>")
+    met_by = ["__short"]
+    index = ranked.select("__short", "__full", "__rank")
     if n.n <= broadcast_rules:
-        ranked = F.broadcast(ranked)
+        index, ranked = F.broadcast(index), F.broadcast(ranked)
+    else:
+        index, met_by = index.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["__short", "__salt"]
 
     own = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
     base = pages.select(*[F.col(f"`{c}`").alias(f"__own{i}") for i, c in enumerate(own)], host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
@@ -84,7 +90,8 @@ def url_verdicts(
     digests = F.flatten(F.transform(suffixes, lambda h: F.transform(paths, lambda p: _digest(h, p))))
     asked = base.withColumn("__asked", F.explode_outer(digests))  # rows without an expression keep one null
     asked = asked.withColumn("__short", F.substring("__asked", 1, prefix_hex))
-    met = asked.join(ranked.select("__short", "__full", "__rank"), "__short", "left")
+    asked = asked.withColumn("__salt", (F.col("__id") % SALTS).cast("int"))
+    met = asked.join(index, met_by, "left")
     # the rows of one URL lie together in one task, so the partial aggregate leaves one row for each URL
     best = F.max(F.when(F.col("__asked") == F.col("__full"), F.col("__rank"))).alias("__rank")
     one = met.groupBy(*base.columns).agg(best).join(ranked.select("__rank", "rule", "__verdict"), "__rank", "left")

@@ -274,6 +274,94 @@ def test_op5_trees():
     assert np.allclose(quality_model.fit(x[:50], np.ones(50)).score(x[:3]), 51 / 52)
 
 
+def test_op5_walk():
+    """Flattened arrays give what a walk from node to node gives."""
+    rng = np.random.default_rng(3)
+    for depth in (1, 2, 4):
+        inner = 2**depth - 1
+        forest = quality_model.Forest(rng.integers(0, 6, (9, inner)), rng.normal(size=(9, inner)), rng.normal(size=(9, inner + 1)), 0.25)
+        forest.threshold[rng.random((9, inner)) < 0.2] = np.inf  # a node that was not split
+        x = rng.normal(size=(200, 6))
+        for row, got in zip(x, forest.score(x), strict=True):
+            total = 0.25
+            for t in range(9):
+                node = 0
+                while node < inner:
+                    node = 2 * node + (2 if row[forest.feature[t, node]] > forest.threshold[t, node] else 1)
+                total += forest.value[t, node - inner]
+            assert math.isclose(got, 1 / (1 + math.exp(-total)))
+
+
+def naive_tree(x, grad, hess, rows, edges, depth, min_leaf, leaves):
+    """Appends the leaves (rows, value without rate) of a tree that tries every threshold of every statistic in turn."""
+    best = (1e-9, None)
+    if depth:
+        g, h = sum(grad[i] for i in rows), sum(hess[i] for i in rows)
+        for f, cuts in enumerate(edges):
+            for c in cuts:
+                left = [i for i in rows if x[i][f] <= c]
+                if min_leaf <= len(left) <= len(rows) - min_leaf:
+                    gl, hl = sum(grad[i] for i in left), sum(hess[i] for i in left)
+                    gain = gl**2 / (hl + 1) + (g - gl) ** 2 / (h - hl + 1) - g**2 / (h + 1)
+                    if gain > best[0] * (1 + 1e-9) + 1e-12:
+                        best = (gain, (f, c))
+    if best[1] is None:
+        leaves.append((rows, sum(grad[i] for i in rows) / (sum(hess[i] for i in rows) + 1)))
+        return
+    f, c = best[1]
+    naive_tree(x, grad, hess, [i for i in rows if x[i][f] <= c], edges, depth - 1, min_leaf, leaves)
+    naive_tree(x, grad, hess, [i for i in rows if x[i][f] > c], edges, depth - 1, min_leaf, leaves)
+
+
+def test_op5_fit():
+    """The histogram fit finds the trees of a plain search over all thresholds."""
+    rng = np.random.default_rng(8)
+    x = np.round(rng.normal(size=(150, 4)), 1)
+    y = ((x[:, 0] + x[:, 1] * x[:, 2] > 0.2) ^ (rng.random(150) < 0.1)).astype(float)
+    got = quality_model.fit(x, y, trees=4, depth=3, bins=8, rate=0.3, min_leaf=5).score(x)
+    edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, 9)[1:-1])) for j in range(4)]
+    share = (y.sum() + 1) / (len(y) + 2)
+    raw = [math.log(share / (1 - share))] * len(y)
+    for _ in range(4):
+        prob = [1 / (1 + math.exp(-r)) for r in raw]
+        leaves = []
+        naive_tree(x.tolist(), [b - a for a, b in zip(prob, y, strict=True)], [q * (1 - q) for q in prob], list(range(len(y))), edges, 3, 5, leaves)
+        for rows, value in leaves:
+            for i in rows:
+                raw[i] += 0.3 * value
+    assert np.allclose(got, [1 / (1 + math.exp(-r)) for r in raw])
+
+
+def test_op5_columns(spark):
+    """Columns named like helpers or results change nothing; repeated rows keep their scores; labels may be null."""
+    rng = random.Random(71)
+    rows = [(i, words(40, rng) if i % 2 else " ".join(w + "|" for w in words(40, rng).split())) for i in range(200)]
+    labels = spark.createDataFrame([(i, i % 2, None) for i in range(150)] + [(3, None, 1), (None, 1, 0)], "doc_id bigint, quality int, toxic int")
+    docs = frame(spark, [*rows, rows[0], rows[1]])
+    clash = docs.withColumns({"score": F.lit("x"), "x": F.lit(1), "__id": F.lit(2), "t": F.lit(3), "__y": F.lit(4), "quality": F.lit(0)})
+    plain = sorted((r.doc_id, r.score) for r in quality_model.op5(docs, labels).collect())
+    assert sorted((r.doc_id, r.score) for r in quality_model.op5(clash, labels).collect()) == plain
+    assert len(plain) == 202 and sum((s > 0.5) == bool(i % 2) for i, s in plain) >= 195
+
+
+def test_op1_columns(spark):
+    """Columns named like helpers or results are replaced by results; null texts and very long ones beside each other."""
+    item = words(15)
+    bench = spark.createDataFrame([(1, item)], "item_id bigint, text string").withColumn("i", F.lit(5))
+    docs = frame(spark, [(1, item), (2, None), (3, f"{words(30_000)} {item}")]).withColumns({"n_words": F.lit("x"), "spans": F.lit(1), "item_ids": F.lit(2), "i": F.lit(0)})
+    got = {r.doc_id: r for r in decontaminate.decontaminate(docs, bench).collect()}
+    assert [got[i].contaminated for i in (1, 2, 3)] == [True, False, False] and got[3].n_hit == 15 and got[3].i == 0 and got[2].n_words == 0
+
+
+def test_op4_long_and_hot(spark):
+    """Very long URLs, and a rule side that is joined by shuffle where one expression is in every URL."""
+    urls = [(i, f"http://h{i}.com/de/{'a/' * 3000}") for i in range(300)] + [(300, "http://" + "a." * 300 + "org/x")]
+    pages = spark.createDataFrame(urls, "page_id bigint, url string")
+    rules = spark.createDataFrame(url_filter.RULES, "host string, path string, verdict string")
+    got = url_filter.url_verdicts(pages, rules, broadcast_rules=0).groupBy("rule", "verdict").count().collect()
+    assert sorted((r["rule"], r["verdict"], r["count"]) for r in got) == [("com/de/", "block", 300), ("org/", "allow", 1)]
+
+
 def test_op6(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = language_id.op6(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
