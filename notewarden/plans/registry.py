@@ -381,7 +381,20 @@ def demo_angles(spark, d):
     return _pointed(spark, d).select("k", F.explode(quality.demo_angles(F.col("note"))["low"]).alias("m")).select("k", "m.kp", "m.n")
 
 
-@query()
+_SCRUBBED = r"regexp_replace(regexp_replace(regexp_replace(src, '[0-9]{4}-[0-9]{2}-[0-9]{2}', ' ', 'g'), '\b[0-9]{1,2}\.[0-9]{1,2}\b', ' ', 'g'), '\b[0-9]{3,}\.[0-9]{1,3}\b', ' ', 'g')"
+
+
+@query(
+    _VERDICT[: _VERDICT.index("SELECT k, carry::INT AS carry, kp_note")]
+    + f""", fa AS (SELECT k, {_facts('src')[0]} AS sn, {_facts('note')[0]} AS dn FROM (SELECT k, {_SCRUBBED} AS src, note FROM n)),
+ga AS (SELECT k, len(sn) AS total, len(list_filter(sn, lambda t: len(list_filter(dn, lambda d: contains(d, t))) = 0)) AS miss FROM fa),
+re AS (SELECT k, (ratio >= 0.8 OR exempt) AS rich, CASE WHEN ratio >= 0.8 THEN 'rich enough' WHEN ratio < 0.3 THEN 'below the red line' WHEN exempt THEN 'condensed into structure'
+  ELSE concat_ws('; ', CASE WHEN NOT (kp_src = 0 OR kp_note / kp_src >= 0.8) THEN 'points not covered' END, CASE WHEN carry < 10 THEN 'no tables or code' END,
+    CASE WHEN NOT (pairs = 0 OR med >= 0.4) THEN 'units squeezed' END) END AS reason FROM w),
+al AS (SELECT *, (total = 0 OR 1.0 - miss / total >= 0.9) AS facts_ok FROM ga JOIN re USING (k))
+SELECT k, false AS pass, round_even(CASE WHEN total = 0 THEN 1.0 ELSE 1.0 - miss / total END, 3)::DOUBLE AS coverage, facts_ok, rich, 0::INT AS n_variants,
+  concat_ws('; ', CASE WHEN NOT facts_ok THEN 'facts missing' END, 'no knowledge points', 'no knowledge points', CASE WHEN NOT rich THEN 'not rich enough: ' || reason END) AS problems FROM al"""
+)
 def gate_reports(spark, d):
     """The whole gate report of every rendered pair."""
     r = quality.gate_report(rendered.notes(spark, d), "k", "note", "src")
