@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from notewarden.llm.common import cut, release_memory, space_words
+from notewarden.llm.common import cut, free_shuffles, release_memory, space_words
 
 WINDOW = 13
 GRAM = 5
@@ -391,6 +391,7 @@ def dedup_substrings(documents: DataFrame, doc_id: str = "doc_id", text: str = "
     judged = dealt.mapInPandas(lambda frames: _verdicts(frames, often), "fp bigint, run bigint, doc bigint, key bigint, kind int")
     of_kind = lambda k: F.collect_set(F.when(F.col("kind") == k, F.col("run")))
     found = cut(judged.groupBy("doc", "key").agg(of_kind(0).alias("full"), of_kind(1).alias("few"), of_kind(2).alias("many")))
+    free_shuffles(documents.sparkSession)  # of all runs
 
     asked = found.where("size(few) > 0 or size(many) > 0").select("doc", "key", "few", "many")
     texts = _with_hit(some, _bitmap(asked)).where("__hit").drop("__hit").join(asked, ["doc", "key"])
@@ -401,6 +402,7 @@ def dedup_substrings(documents: DataFrame, doc_id: str = "doc_id", text: str = "
     low = cut(one.groupBy("w").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("w", "low"))  # plain tables, so Spark may split a frequent window
     by_window = one.join(low, "w").where("doc > low").select("doc", "key", "run", F.expr("shiftleft(1L, i)").alias("mask"))
     masks = matched.union(by_window).groupBy("doc", "key").agg(F.collect_list(F.struct("run", "mask")).alias("partial"))
+    free_shuffles(documents.sparkSession)  # of the texts with contested runs
     changes = cut(found.select("doc", "key", "full").join(masks, ["doc", "key"], "left").where("size(full) > 0 or partial is not null"))
 
     marked = _with_hit(docs, _bitmap(changes))
