@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from notewarden.llm.common import cut, release_memory
+from notewarden.llm.common import cut, free_shuffles, release_memory
 
 SHINGLE = 3
 RADIUS = 3
@@ -404,6 +404,7 @@ def near_copies(documents: DataFrame, doc_id: str = "doc_id", text: str = "text"
     docs = documents.select(F.col(doc_id).alias("__d"), F.xxhash64(text).alias("__x"), F.col(text).cast("binary").alias("__t"))
     met = docs.join(needed, F.col("__d").eqNullSafe(F.col("__i")) & (F.col("__x") == F.col("__h"))).select("node", _sets(shingle)("__t").alias("hashes"))
     sets = cut(met.groupBy("node").agg(F.first("hashes").alias("hashes")))  # a row may be repeated as a whole
+    free_shuffles(documents.sparkSession)  # of the signatures, the texts and the sets
     own = F.pmod(F.xxhash64("node", F.lit("block")), "blocks").cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least(x, own).alias("lo"), F.greatest(x, own).alias("hi")))
     pairs = F.filter(pairs, lambda x: (F.col("blocks") == 1) | (x["lo"] < x["hi"]))
@@ -411,6 +412,7 @@ def near_copies(documents: DataFrame, doc_id: str = "doc_id", text: str = "text"
     shards = dealt.join(sets, "node").repartition("key").sortWithinPartitions("key")
     links = shards.select("key", "node", "hashes").mapInPandas(_exact_links, "u bigint, v bigint")
     linked = cut(components(links))
+    free_shuffles(documents.sparkSession)  # of the sets by shard
     ids = prints.select("doc_id", "text_hash", "node").join(linked.select(F.col("u").alias("node"), "root"), "node", "left")
     return ids.select("doc_id", "text_hash", "node", F.coalesce("root", "node").alias("root"))
 
