@@ -59,12 +59,6 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def free_shuffles(spark: SparkSession) -> None:
-    """Shuffle files of finished DataFrames are deleted when the driver collects its garbage; asked for behind a large shuffle, so that the
-    next one does not lie on the disks beside it."""
-    spark._jvm.System.gc()
-
-
 def lower_ascii(c: Column) -> Column:
     """Lower-cases A-Z only."""
     return F.translate(c, UPPER, LOWER)
