@@ -6,12 +6,14 @@ A word goes if a window of ``WINDOW`` = 13 words that covers it also starts in a
    anchor, so a window has the same anchor wherever it stands, and consecutive windows with one anchor form a run.
    A run is one row (anchor, hash of the run's words, id): about one row for five words.  Equal runs within a batch are
    resolved on the spot (map-side combine), so a frequent passage sends one row a batch.
-2. Rows meet by anchor, sorted, and are streamed: of equal runs all but those of the smallest id are repeats.  An
-   anchor with several different runs is contested: its runs may still share windows.
+2. Rows meet by anchor, sorted, and are streamed: of equal runs all but those of the smallest id are repeats.  Different
+   runs of one anchor may still share windows.  A window has eight words around its anchor, so four at least on one side:
+   runs can only share one if the four words before the anchor or the four after it are the same in both.  Such runs are contested;
+   16 bits of the hash of either side tell, and equal bits of different words only add work.
 3. Contested runs form the reference shards: for each anchor, passages are taken in the order of ids, matched
    against a suffix automaton of all passages of smaller ids (matching statistics; 13 words or more
    are a repeat), and then added to it.  The automata are built where their shard lies, not broadcast: repeats grow
-   with the corpus, so no bound would hold for a broadcast.  An anchor with more than ``MOST_RUNS`` different runs
+   with the corpus, so no bound would hold for a broadcast.  An anchor with more than ``MOST_RUNS`` contested runs
    (a frequent line in many contexts) is resolved exactly by its windows instead: the smallest id for each window.
    Anchors that would fill a task (found in a sample of documents, at most ``HOT_SHARE`` for each partition) are dealt
    by anchor and run, and taken by windows as well; which ones they are changes the work, never the result.
@@ -40,6 +42,7 @@ from notewarden.llm.common import cut, release_memory, space_words
 
 WINDOW = 13
 GRAM = 5
+SIDE = (WINDOW - GRAM) // 2
 MOST_RUNS = 256
 BATCH_BYTES = 600_000
 BITMAP_BITS = 1 << 24
@@ -100,16 +103,24 @@ def words_of(texts: list[bytes]) -> Words:
     return Words(text, start, end, first, joined)
 
 
-def runs_of(w: Words) -> tuple[np.ndarray, ...]:
-    """Of each run: text, number of the first word of its first and last window, anchor, hash of its words."""
+class Runs(NamedTuple):
+    """Of each run: text, number of the first word of its first and last window and of its anchor, hashes of anchor and words."""
+
+    text: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+    at: np.ndarray
+    fp: np.ndarray
+    run: np.ndarray
+    code: np.ndarray  # a hash of each word of the texts
+
+
+def runs_of(w: Words) -> Runs:
     total = len(w.start)
-    empty = np.empty(0, np.int64)
     size, width = total - WINDOW + 1, WINDOW - GRAM + 1
-    if size < 1:
-        return empty, empty, empty, empty, empty
-    start = np.flatnonzero(w.text[WINDOW - 1 :] == w.text[:size])
+    start = np.flatnonzero(w.text[WINDOW - 1 :] == w.text[:size]) if size > 0 else []
     if not len(start):
-        return empty, empty, empty, empty, empty
+        return Runs(*[np.empty(0, np.int64)] * 6, np.empty(0, np.uint64))
     code = _range_hash(_BYTE[np.frombuffer(w.joined, np.uint8)], w.start, w.end)
     gram = np.zeros(total - GRAM + 1, np.uint64)
     for j in range(GRAM):
@@ -124,7 +135,18 @@ def runs_of(w: Words) -> tuple[np.ndarray, ...]:
     head = np.flatnonzero(np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1]))))
     a, b = start[head], start[np.append(head[1:], len(start)) - 1]
     run = _range_hash(code, a, b + WINDOW)
-    return text[head], a, b, gram[anchor[head]].view(np.int64), run.view(np.int64)
+    return Runs(text[head], a, b, anchor[head], gram[anchor[head]].view(np.int64), run.view(np.int64), code)
+
+
+def sides_of(r: Runs) -> np.ndarray:
+    """32 bits of each run: 16 for the SIDE words before its anchor, 16 for those after it; 0 where the run has fewer there."""
+    before, after = r.at - SIDE, r.at + GRAM
+    has_left, has_right = before >= r.first, after + SIDE <= r.last + WINDOW
+    start = np.concatenate((before[has_left], after[has_right]))
+    sides = _range_hash(r.code, start, start + SIDE) % _U(0xFFFF) + _U(1)
+    out = np.zeros((2, len(r.at)), np.uint64)
+    out[0, has_left], out[1, has_right] = sides[: has_left.sum()], sides[has_left.sum() :]
+    return (out[0] << _U(16) | out[1]).astype(np.int64)
 
 
 def _batches(frames, most: int = BATCH_BYTES):
@@ -137,48 +159,66 @@ def _batches(frames, most: int = BATCH_BYTES):
 
 
 def _run_rows(frames):
+    """Rows of runs; tag is the key of the document's text and below it the sides of the run, 32 bits each."""
     for f in _batches(frames):
-        d, _, _, fp, run = runs_of(words_of(list(f["text"])))
-        doc, key = f["doc"].to_numpy()[d], f["key"].to_numpy()[d]
-        order = np.lexsort((doc, run))
-        fp, run, doc, key = fp[order], run[order], doc[order], key[order]
+        r = runs_of(words_of(list(f["text"])))
+        doc, tag = f["doc"].to_numpy()[r.text], f["key"].to_numpy()[r.text] << 32 | sides_of(r)
+        order = np.lexsort((doc, r.run))
+        fp, run, doc, tag = r.fp[order], r.run[order], doc[order], tag[order]
         same = np.concatenate(([False], (fp[1:] == fp[:-1]) & (run[1:] == run[:-1])))[: len(fp)]
         low = doc[np.maximum.accumulate(np.where(same, 0, np.arange(len(doc))))]
-        again = same & np.concatenate(([False], (doc[1:] == doc[:-1]) & (key[1:] == key[:-1])))[: len(fp)]
-        yield pd.DataFrame({"fp": fp, "run": run, "doc": doc, "key": key, "sure": doc > low})[~again]
+        again = same & np.concatenate(([False], (doc[1:] == doc[:-1]) & (tag[1:] == tag[:-1])))[: len(fp)]
+        yield pd.DataFrame({"fp": fp, "run": run, "doc": doc, "tag": tag, "sure": doc > low})[~again]
+
+
+def _shared(group: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Whether another element of the group has the same value, other than 0."""
+    order = np.lexsort((value, group))
+    g, v = group[order], value[order]
+    same = (g[1:] == g[:-1]) & (v[1:] == v[:-1]) & (v[1:] != 0)
+    out = np.zeros(len(order), bool)
+    out[order] = np.concatenate(([False], same)) | np.concatenate((same, [False]))
+    return out
 
 
 def _verdicts(frames, often=()):
-    """Streams rows sorted by (sure, fp, run, doc, key): kind 0 repeat, 1 contested, 2 contested by many runs."""
-    cols = ["fp", "run", "doc", "key"]
+    """Streams rows sorted by (sure, fp, run, doc, tag): kind 0 repeat, 1 contested, 2 contested by many runs."""
+    cols = ["fp", "run", "doc", "tag"]
     often = np.array(sorted(often), np.int64)
     held = pd.DataFrame(columns=cols).astype("int64")
     hot: tuple[int, int, int] | None = None  # anchor under way, its last run and that run's smallest id
 
     def judge(f: pd.DataFrame, last: bool):
         nonlocal hot
-        fp, run, doc, key = (f[c].to_numpy() for c in cols)
+        fp, run, doc, tag = (f[c].to_numpy() for c in cols)
         if not len(fp):
-            return f.assign(kind=pd.Series(dtype="int32"))
+            return answer(f, np.empty(0, np.int32))
         new_fp = np.concatenate(([True], fp[1:] != fp[:-1]))
         new_run = new_fp | np.concatenate(([True], run[1:] != run[:-1]))
         low = doc[np.maximum.accumulate(np.where(new_run, np.arange(len(doc)), 0))]
-        group = np.cumsum(new_fp) - 1
-        runs = np.where(np.isin(fp[new_fp], often), MOST_RUNS + 1, np.bincount(group, new_run))
+        group, number = np.cumsum(new_fp) - 1, np.cumsum(new_run) - 1
+        side, of = tag[new_run] & 0xFFFFFFFF, group[new_run]
+        contested = _shared(of, side >> 16) | _shared(of, side & 0xFFFF)
+        apart = np.isin(fp[new_fp], often)  # anchors whose runs are not all here
         if hot and fp[0] == hot[0]:
-            runs[0] = MOST_RUNS + 1
+            apart[0] = True
             if run[0] == hot[1]:
                 low[: (np.flatnonzero(new_run)[1:].tolist() or [len(low)])[0]] = hot[2]
         if not last:
-            runs[-1] = MOST_RUNS + 1
+            apart[-1] = True
             hot = (fp[-1], run[-1], low[-1])
-        kind = np.where(doc > low, 0, np.where(runs[group] > MOST_RUNS, 2, np.where(runs[group] > 1, 1, 3)))
-        again = ~new_run & np.concatenate(([False], (doc[1:] == doc[:-1]) & (key[1:] == key[:-1])))
-        return f.assign(kind=kind.astype(np.int32))[(kind < 3) & ~again]
+        many = np.bincount(of, contested) > MOST_RUNS
+        of_run = np.where(apart[of] | contested & many[of], 2, np.where(contested, 1, 3))
+        kind = np.where(doc > low, 0, of_run[number])
+        again = ~new_run & np.concatenate(([False], (doc[1:] == doc[:-1]) & (tag[1:] == tag[:-1])))
+        return answer(f, kind)[(kind < 3) & ~again]
+
+    def answer(f: pd.DataFrame, kind) -> pd.DataFrame:
+        return pd.DataFrame({"run": f["run"], "doc": f["doc"], "key": f["tag"].to_numpy() >> 32, "kind": np.asarray(kind, np.int32)})
 
     for f in frames:
         sure = f[f["sure"]]
-        yield sure[cols].assign(kind=np.int32(0))
+        yield answer(sure, np.zeros(len(sure)))
         held = pd.concat([held, f.loc[~f["sure"], cols]])
         if len(held):
             fp = held["fp"].to_numpy()
@@ -276,7 +316,7 @@ def _passages(frames):
     """Contested runs of each text with their words; runs of frequent anchors (kind 2) with each of their windows."""
     for f in _batches(frames):
         w = words_of(list(f["text"]))
-        d, a, b, fp, run = runs_of(w)
+        d, a, b, _, fp, run, _ = runs_of(w)
         few = [set(x) for x in f["few"]]
         many = [set(x) for x in f["many"]]
         asked = np.flatnonzero(np.isin(run, [r for s in (*few, *many) for r in s]))
@@ -316,7 +356,7 @@ def _without(texts: list[bytes], removed: np.ndarray, w: Words) -> list[str]:
 
 def _cut_out(texts: list[bytes], full: list, partial: list) -> list[str]:
     w = words_of(texts)
-    d, a, b, _, run = runs_of(w)
+    d, a, b, _, _, run, _ = runs_of(w)
     whole = [set(x) if x is not None else set() for x in full]
     masks: list[dict[int, int]] = []
     for parts in partial:
@@ -373,13 +413,13 @@ def _ranked(documents: DataFrame, doc_id: str) -> DataFrame:
     return documents.join(ids, F.col(doc_id) == F.col("__id"), "left").drop("__id")
 
 
-RUN_ROWS = "fp bigint, run bigint, doc bigint, key bigint, sure boolean"
+RUN_ROWS = "fp bigint, run bigint, doc bigint, tag bigint, sure boolean"
 
 
 def dedup_substrings(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents with repeats cut out of their text; the other columns are kept."""
     cols = documents.columns
-    key = F.xxhash64(text)
+    key = F.hash(text).cast("bigint")  # tells rows with one id apart; verdicts depend on ids and words, so equal keys only share a row of them
     docs = _ranked(documents, doc_id).select(F.struct(*[F.col(f"`{c}`") for c in cols if c != text]).alias("row"), F.col(text).alias("text"), F.col("__doc").alias("doc"), key.alias("key"))
     read = docs.select("doc", "key", F.col("text").cast("binary").alias("text"))
     some = read.where("doc is not null and octet_length(text) >= 25")  # 13 words and 12 spaces at least
@@ -387,8 +427,8 @@ def dedup_substrings(documents: DataFrame, doc_id: str = "doc_id", text: str = "
 
     rows = some.mapInPandas(_run_rows, RUN_ROWS)
     place = F.when(F.col("sure"), F.xxhash64("doc", "run")).when(F.col("fp").isin(often), F.xxhash64("fp", "run")).otherwise(F.col("fp"))
-    dealt = rows.repartition(place).sortWithinPartitions("sure", "fp", "run", "doc", "key")
-    judged = dealt.mapInPandas(lambda frames: _verdicts(frames, often), "fp bigint, run bigint, doc bigint, key bigint, kind int")
+    dealt = rows.repartition(place).sortWithinPartitions("sure", "fp", "run", "doc", "tag")
+    judged = dealt.mapInPandas(lambda frames: _verdicts(frames, often), "run bigint, doc bigint, key bigint, kind int")
     of_kind = lambda k: F.collect_set(F.when(F.col("kind") == k, F.col("run")))
     found = cut(judged.groupBy("doc", "key").agg(of_kind(0).alias("full"), of_kind(1).alias("few"), of_kind(2).alias("many")))
 

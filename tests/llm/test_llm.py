@@ -546,6 +546,31 @@ def test_op8_columns(spark):
     assert out.columns == docs.columns and sorted(map(str, out.collect())) == sorted(map(str, docs.collect()))
 
 
+def test_op8_sides():
+    """Different runs of one anchor that share a window agree on a side, so none of them escapes the automata."""
+    rng = random.Random(67)
+    base = [rng.choice(VOCAB) for _ in range(400)]
+    texts = []
+    for _ in range(60):
+        one, at = list(base), rng.randrange(380)
+        for _ in range(rng.randint(0, 25)):
+            one[rng.randrange(400)] = rng.choice(VOCAB)
+        texts.append(" ".join(one[at : at + rng.randint(13, 120)]).encode())
+    w = substring_dedup.words_of([*texts, b"", b"one"])
+    r = substring_dedup.runs_of(w)
+    side = substring_dedup.sides_of(r)
+    word = [w.joined[i:j] for i, j in zip(w.start, w.end, strict=True)]
+    windows = [{tuple(word[j : j + 13]) for j in range(i, k + 1)} for i, k in zip(r.first, r.last, strict=True)]
+    shared = 0
+    for i, j in itertools.combinations(range(len(windows)), 2):
+        if r.run[i] != r.run[j] and windows[i] & windows[j]:
+            shared += 1
+            both = [(int(side[k]) >> 16, int(side[k]) & 0xFFFF) for k in (i, j)]
+            assert r.fp[i] == r.fp[j] and any(x == y != 0 for x, y in zip(*both, strict=True))
+    assert shared > 100
+    assert len(substring_dedup.sides_of(substring_dedup.runs_of(substring_dedup.words_of([b"", b"a b c"])))) == 0
+
+
 def test_op8_automaton():
     rng = random.Random(2)
     auto, parts = substring_dedup.SuffixAutomaton(), []
