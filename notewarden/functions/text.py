@@ -216,8 +216,13 @@ def query_words(q: Column) -> Column:
 
 def contexts(c: Column, concept: Column, most: int = 3, longest: int = 200) -> Column:
     """The first lines that name a concept."""
+    return line_contexts(F.transform(lines(c), strip), concept, most, longest)
+
+
+def line_contexts(stripped: Column, concept: Column, most: int = 3, longest: int = 200) -> Column:
+    """The first of the stripped lines that name a concept."""
     fits = lambda x: F.length(x).between(1, longest) & F.contains(F.lower(x), F.lower(concept))
-    return F.slice(F.filter(F.transform(lines(c), strip), fits), 1, most)
+    return F.slice(F.filter(stripped, fits), 1, most)
 
 
 def speech(c: Column) -> Column:
