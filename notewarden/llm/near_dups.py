@@ -334,20 +334,23 @@ def _sets(shingle: int):
     return of.asNondeterministic()
 
 
-def set_links(sets: list[np.ndarray], similar: tuple[int, int] = SIMILAR) -> np.ndarray:
-    """label[i]: the first member of i's component under links of Jaccard similarity at least similar, by exact sets.
+def set_links(sets: list[np.ndarray], label: np.ndarray | None = None, ask: np.ndarray | None = None, similar: tuple[int, int] = SIMILAR) -> np.ndarray:
+    """label[i]: a member of i's component under links of Jaccard similarity at least similar, by exact sets.
 
-    A set is compared with all others at once, unless it lies in the largest component; when every set outside that has
-    been compared, all links between components are known."""
+    label may give components that are known already, ask the sets whose links are wanted (all of them otherwise).  A set is compared
+    with all others at once, unless it lies in the largest component and all sets outside that are asked; then their own
+    comparisons find all links between components."""
     size = np.array([len(s) for s in sets])
     ends = np.cumsum(size)
     values, at = np.unique(np.concatenate(sets), return_inverse=True)
     mark = np.zeros(len(values), np.int64)
-    label, open_ = np.arange(len(sets)), np.ones(len(sets), bool)
+    label = np.arange(len(sets)) if label is None else label.copy()
+    ask = np.ones(len(sets), bool) if ask is None else ask
+    open_ = ask.copy()
     p, q = similar
     while True:
-        largest = np.bincount(label).argmax()
-        left = np.flatnonzero(open_ & (label != largest))
+        outside = label != np.bincount(label).argmax()
+        left = np.flatnonzero(open_ & (outside | (outside & ~ask).any()))
         if not len(left):
             return label
         i = left[0]
@@ -362,36 +365,71 @@ def set_links(sets: list[np.ndarray], similar: tuple[int, int] = SIMILAR) -> np.
 
 
 def _exact_links(batches):
-    """(key, node, hashes) sorted by key -> (u, v) with v a member of u's component in the shard."""
+    """(key, node, root, ask, hashes) sorted by key -> (u, v): links between members of components that meet in a shard."""
 
-    def found(nodes: list[int], sets: list[bytes]) -> pd.DataFrame:
-        nodes = np.array(nodes, np.int64)
-        label = set_links([np.frombuffer(s, np.uint64) for s in sets])
-        own = label != np.arange(len(nodes))
-        return pd.DataFrame({"u": nodes[own], "v": nodes[label[own]]})
+    def found(rows: list[tuple]) -> pd.DataFrame:
+        node, root, ask, sets = zip(*rows, strict=True)
+        node = np.array(node, np.int64)
+        _, first, of = np.unique(np.array(root, np.int64), return_index=True, return_inverse=True)
+        label = set_links([np.frombuffer(s, np.uint64) for s in sets], first[of], np.array(ask, bool))
+        moved = first[label[first] != first]
+        return pd.DataFrame({"u": node[moved], "v": node[label[moved]]})
 
-    key, nodes, sets = None, [], []
+    key, rows = None, []
     for b in batches:
         out = []
-        for k, node, s in zip(b["key"], b["node"], b["hashes"], strict=True):
-            if k != key and nodes:
-                out.append(found(nodes, sets))
-                nodes, sets = [], []
+        for k, *row in zip(b["key"], b["node"], b["root"], b["ask"], b["hashes"], strict=True):
+            if k != key and rows:
+                out.append(found(rows))
+                rows = []
             key = k
-            nodes.append(node)
-            sets.append(s)
+            rows.append(row)
         if out:
             yield pd.concat(out)
-    if nodes:
-        yield found(nodes, sets)
+    if rows:
+        yield found(rows)
     release_memory()
 
 
+def _compared(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links of the shards in rows (key, node, root, ask)."""
+    met = rows.join(sets, "node").repartition("key").sortWithinPartitions("key")
+    return met.select("key", "node", "root", "ask", "hashes").mapInPandas(_exact_links, "u bigint, v bigint")
+
+
+def _within_blocks(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links within each block of each shard (key, node, blocks), and to the shard's pivot, which is in all its blocks."""
+    pivot = members.where("blocks > 1").groupBy("key", "blocks").agg(F.min("node").alias("node"))
+    pivot = pivot.select("key", "node", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b"))
+    rows = members.select("key", "node", _block_of("blocks").alias("b")).union(pivot)
+    return _compared(rows.select(F.xxhash64("key", "b").alias("key"), "node", F.col("node").alias("root"), F.lit(True).alias("ask")), sets)
+
+
+def _between_blocks(members: DataFrame, sets: DataFrame, found: DataFrame) -> DataFrame:
+    """All other links of the shards with several blocks, given the components found (u, root).
+
+    Only nodes outside the largest component of their shard are asked: in blocks of their own they meet all blocks of the shard."""
+    big = members.where("blocks > 1").join(found.withColumnRenamed("u", "node"), "node", "left")
+    big = cut(big.select("key", "node", "blocks", F.coalesce("root", "node").alias("root")))
+    top = big.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("total"))
+    top = top.where("top.n < total").select("key", F.col("top.root").alias("top"), (1 - F.col("top.n") / F.col("total")).alias("share"))
+    big = cut(big.join(top, "key").withColumn("others", F.ceil(F.col("share") * F.col("blocks")).cast("int")))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    asked = big.where("root <> top").select("key", "node", "root", F.lit(True).alias("ask"), _block_of("others").alias("o"), each("blocks").alias("b"))
+    rows = asked.union(big.select("key", "node", "root", F.lit(False), each("others").alias("o"), _block_of("blocks").alias("b")))
+    return _compared(rows.select(F.xxhash64("key", "o", "b").alias("key"), "node", "root", "ask"), sets)
+
+
+def _block_of(blocks: str):
+    return F.pmod(F.xxhash64("node", F.lit("block")), F.col(blocks)).cast("int")
+
+
 def near_copies(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = COPY_SHINGLE, block: int = BLOCK_SHINGLES) -> DataFrame:
     """(doc_id, text_hash, node, root) for each document row; root names the component of near copies.
 
     Texts of equal shingle sets are one node.  Shards with the same members are worked once; a shard of over block
-    shingles is dealt out in blocks, any two of which meet."""
+    shingles is dealt out in blocks.  A block is worked by itself and with the shard's pivot, which unites most of a large group;
+    only the nodes that are left outside the shard's largest component then meet the other blocks."""
     prints = documents.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), _signature(shingle)(F.col(text).cast("binary")).alias("s"))
     prints = cut(prints.select("doc_id", "text_hash", "s.node", "s.size", "s.keys"))
     nodes = cut(prints.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("rep"), F.first("size").alias("size"), F.first("keys").alias("keys")))
@@ -404,13 +442,10 @@ def near_copies(documents: DataFrame, doc_id: str = "doc_id", text: str = "text"
     docs = documents.select(F.col(doc_id).alias("__d"), F.xxhash64(text).alias("__x"), F.col(text).cast("binary").alias("__t"))
     met = docs.join(needed, F.col("__d").eqNullSafe(F.col("__i")) & (F.col("__x") == F.col("__h"))).select("node", _sets(shingle)("__t").alias("hashes"))
     sets = cut(met.groupBy("node").agg(F.first("hashes").alias("hashes")))  # a row may be repeated as a whole
-    own = F.pmod(F.xxhash64("node", F.lit("block")), "blocks").cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least(x, own).alias("lo"), F.greatest(x, own).alias("hi")))
-    pairs = F.filter(pairs, lambda x: (F.col("blocks") == 1) | (x["lo"] < x["hi"]))
-    dealt = members.select("key", "node", F.explode(pairs).alias("p")).select(F.xxhash64("key", "p.lo", "p.hi").alias("key"), "node")
-    shards = dealt.join(sets, "node").repartition("key").sortWithinPartitions("key")
-    links = shards.select("key", "node", "hashes").mapInPandas(_exact_links, "u bigint, v bigint")
-    linked = cut(components(links))
+    linked = cut(components(_within_blocks(members, sets)))
+    if not members.where("blocks > 1").isEmpty():
+        links = _between_blocks(members, sets, linked)
+        linked = cut(components(linked.withColumnRenamed("root", "v").union(links)))
     ids = prints.select("doc_id", "text_hash", "node").join(linked.select(F.col("u").alias("node"), "root"), "node", "left")
     return ids.select("doc_id", "text_hash", "node", F.coalesce("root", "node").alias("root"))
 

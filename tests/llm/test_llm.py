@@ -711,6 +711,55 @@ def test_pipeline_near_copies(spark):
     assert near_dups.drop_near_duplicates(df).count() > len(want)
 
 
+def test_near_copies_set_links():
+    """Links of the asked sets join the given components, as all comparisons would."""
+    rng = random.Random(71)
+    for _ in range(60):
+        bases = [[rng.getrandbits(60) for _ in range(30)] for _ in range(3)]
+        sets = []
+        for _ in range(rng.randint(1, 25)):
+            one = list(rng.choice(bases))
+            for j in rng.sample(range(30), rng.randint(0, 6)):
+                one[j] = rng.getrandbits(60)
+            sets.append(np.unique(np.array(one, np.uint64)))
+        n = len(sets)
+        label, ask = np.arange(n), np.array([rng.random() < 0.5 for _ in range(n)])
+        for i in range(1, n):
+            if rng.random() < 0.3:
+                label[label == label[i]] = label[0]
+        label = np.unique(label, return_index=True)[1][np.unique(label, return_inverse=True)[1]]
+        for given, asked in ((None, None), (label, None), (label, ask)):
+            root = list(range(n) if given is None else given)
+            for i, j in itertools.combinations(range(n), 2):
+                both = len(set(sets[i].tolist()) & set(sets[j].tolist()))
+                if (asked is None or asked[i] or asked[j]) and 5 * both >= 4 * (len(sets[i]) + len(sets[j]) - both):
+                    root = [root[i] if r == root[j] else r for r in root]
+            got = near_dups.set_links(sets, given, asked)
+            assert len({*zip(root, got.tolist(), strict=True)}) == len(set(root)) == len(set(got.tolist()))
+
+
+def test_near_copies_hot_group(spark):
+    """A large group of near copies is united by its pivot: blocks do not meet in pairs."""
+    rng = random.Random(73)
+    base = words(100, rng).split()
+    docs = []
+    for i in range(300):
+        one = list(base)
+        one[rng.randrange(100)] = f"edit{i}"
+        docs.append((i, " ".join(one)))
+    found = near_dups.near_copies(frame(spark, docs), block=2_000).collect()
+    assert len({r.root for r in found}) == 1 and len(found) == 300
+    nodes = spark.range(300).withColumnRenamed("id", "node").withColumns({"key": F.lit(1).cast("bigint"), "blocks": F.lit(15)})
+    seen = []
+    linked = nodes.where("node > 0 and node < 290").select(F.col("node").alias("u"), F.lit(0).cast("bigint").alias("root"))
+    compared, near_dups._compared = near_dups._compared, lambda rows, sets: seen.append(rows.count()) or rows
+    try:
+        near_dups._between_blocks(nodes, None, linked)
+    finally:
+        near_dups._compared = compared
+    assert seen == [10 * 15 + 300]  # ten nodes in all blocks, all nodes in one
+
+
 PAGE = """<html><head><title>T</title><script>var a="</p>";</script></head><body><header><h1>Site</h1></header><nav><a href=1>x</a></nav>
 <div id="cookie-notice">We use cookies, accept them please now.</div><div class="wrap"><div class="content"><h1>Title &amp; more</h1>
 <p>First para, with commas, and some&nbsp;text that is
