@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from notewarden.llm import decontaminate, html_text, language_id, license_scan, near_dups, packing, quality_model, quality_rules, substring_dedup, url_filter
+from notewarden.llm import decontaminate, html_text, language_id, license_scan, near_dups, packing, quality_model, quality_rules, substring_dedup, url_filter, whitening
 from notewarden.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,7 @@ def queries() -> dict[str, Query]:
         "op8_substring_dedup": lambda s, d: substring_dedup.op8(docs(s, d)),
         "op9_simhash_near_dedup": lambda s, d: near_dups.op9(docs(s, d)),
         "op10_html_extraction": lambda s, d: html_text.op10(pages(s, d)),
+        "op11_embedding_whitening": lambda s, d: whitening.op11(table(s, d, "embeddings")),
     }
 
 
