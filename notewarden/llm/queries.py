@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from notewarden.llm import decontaminate, html_text, language_id, license_scan, line_dedup, near_dups, packing, quality_model, quality_rules, substring_dedup, url_filter, whitening
+from notewarden.llm import decontaminate, html_text, language_id, license_scan, line_dedup, near_dups, packing, quality_model, quality_rules, spelling, substring_dedup, url_filter, whitening
 from notewarden.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,7 @@ def queries() -> dict[str, Query]:
         "op9_simhash_near_dedup": lambda s, d: near_dups.op9(docs(s, d)),
         "op10_html_extraction": lambda s, d: html_text.op10(pages(s, d)),
         "op11_embedding_whitening": lambda s, d: whitening.op11(table(s, d, "embeddings")),
+        "op12_spelling_variants": lambda s, d: spelling.op12(docs(s, d)),
         "op13_line_dedup": lambda s, d: line_dedup.op13(docs(s, d)),
     }
 
@@ -39,5 +40,6 @@ def oracle_sql() -> dict[str, str]:
         "op3_license_scan": license_scan.SQL,
         "op4_url_filter": url_filter.SQL,
         "op8_substring_dedup": substring_dedup.SQL,
+        "op12_spelling_variants": spelling.SQL,
         "op13_line_dedup": line_dedup.SQL,
     }
