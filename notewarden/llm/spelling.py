@@ -338,12 +338,12 @@ def op12(documents: DataFrame) -> DataFrame:
 
 
 SQL = r"""
-WITH RECURSIVE t AS (SELECT list_transform(range(256), b -> list_reduce([b] || range(8), (c, _) -> CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc),
+WITH RECURSIVE t AS (SELECT list_transform(range(256), lambda b: list_reduce([b] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc),
 d AS (SELECT coalesce(doc_id::VARCHAR, '') AS id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{00C0}-\x{00FF}]+') AS runs FROM documents),
 r AS (SELECT id, run, count(*) AS n FROM (SELECT id, unnest(runs) AS run FROM d) WHERE length(run) >= 6 GROUP BY id, run),
 x AS (SELECT id, run, n, hex(encode(id || ':' || run)) AS x FROM r),
-h AS (SELECT run, n, xor(list_reduce([4294967295::BIGINT] || list_transform(range(1, length(x), 2), i -> ('0x' || substr(x, i, 2))::BIGINT),
-  (c, b) -> xor(c >> 8, t.crc[xor(c & 255, b) + 1])), 4294967295) AS h FROM x, t),
+h AS (SELECT run, n, xor(list_reduce([4294967295::BIGINT] || list_transform(range(1, length(x), 2), lambda i: ('0x' || substr(x, i, 2))::BIGINT),
+  lambda c, b: xor(c >> 8, t.crc[xor(c & 255, b) + 1])), 4294967295) AS h FROM x, t),
 w AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM h),
 v AS (SELECT word, sum(n)::BIGINT AS n FROM w WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
 g AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS less FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
