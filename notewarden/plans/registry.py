@@ -13,6 +13,7 @@ from notewarden.functions import text as T
 from notewarden.operators import corpus, filters, quality, rolling, segment, toc
 from notewarden.plans import rendered
 from notewarden.plans.rendered import table
+from notewarden.tables import new_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -410,14 +411,42 @@ def term_variants(spark, d):
     return quality.term_variants(pairs, "doc_id", F.col("src"), F.col("note"))
 
 
-@query()
+@query(
+    r"""WITH RECURSIVE d AS (SELECT doc_id AS doc, text AS t FROM documents WHERE regexp_matches(coalesce(text, ''), '\S')),
+l AS (SELECT doc, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS i FROM d WHERE length(replace(t, chr(10), '')) > 2000),
+c AS (SELECT *, unnest(range(0, cut + 1)) AS j FROM (SELECT *, greatest(ceil(length(line) / 2000)::INT - 1, 0) AS cut FROM l)),
+p AS (SELECT doc, substr(line, j * 2000 + 1, 2000) AS x, j < cut AS alone, row_number() OVER (PARTITION BY doc ORDER BY i, j) AS n FROM c),
+g AS (SELECT doc, n, length(x) AS size, alone, 0 AS pack FROM p WHERE n = 1
+  UNION ALL SELECT p.doc, p.n, length(x) + CASE WHEN g.alone OR p.alone OR size + length(x) > 2000 THEN 0 ELSE size END, p.alone, pack + CASE WHEN g.alone OR p.alone OR size + length(x) > 2000 THEN 1 ELSE 0 END
+  FROM g JOIN p ON p.doc = g.doc AND p.n = g.n + 1),
+o AS (SELECT doc, pack AS ord, string_agg(x, chr(10) ORDER BY n) AS t, true AS overlap FROM g JOIN p USING (doc, n) GROUP BY doc, pack
+  UNION ALL SELECT doc, 0, t, length(t) > 2000 FROM d WHERE length(replace(t, chr(10), '')) <= 2000)
+SELECT doc, ord::INT AS ord, length(t)::INT AS chars, md5(t) AS text_md5, overlap FROM o"""
+)
 def chunk_documents(spark, d):
-    """Chunks of whole documents with overlap."""
+    """Chunks of whole documents with overlap; these have neither headings nor blank lines, so the SQL packs lines and slices."""
     docs = table(spark, d, "documents").select(F.col("doc_id").alias("doc"), "text")
     c = segment.chunks(docs, max_chars=2000, overlap_chars=100)
     return c.select("doc", "ord", F.length("text").alias("chars"), F.md5("text").alias("text_md5"), "overlap")
 
 
+_BLOCKS = "'# Order ' || k || ' > ' || rn || '. part' || chr(10) || split_part(src, chr(10), 3)"
+
+
+@query(
+    f"""{N}, b AS (SELECT k, 0 AS i, '# Order ' || k AS t, 'Order ' || k AS crumb FROM n UNION ALL SELECT k, rn, {_BLOCKS}, rn || '. part' FROM tx),
+w AS (SELECT k, i, t AS cur, length(t) AS size, false AS tail, 0 AS ord FROM b WHERE i = 0
+  UNION ALL SELECT k, b.i, CASE WHEN size + length(t) > 300 THEN right(cur, 40) ELSE cur END || chr(10) || t, length(t) + CASE WHEN size + length(t) > 300 THEN least(40, length(cur)) ELSE size END,
+    tail OR size + length(t) > 300, ord + CASE WHEN size + length(t) > 300 THEN 1 ELSE 0 END FROM w JOIN b USING (k) WHERE b.i = w.i + 1),
+z AS (SELECT k, ord, max(i) AS i, arg_max(cur, i) AS t, bool_or(tail) AS tail FROM w GROUP BY k, ord)
+SELECT z.k, z.ord::INT AS ord, md5(z.t) AS text_md5, z.tail AS overlap, coalesce(x.crumb, y.crumb) AS crumb FROM z JOIN b y ON y.k = z.k AND y.i = z.i LEFT JOIN b x ON x.k = z.k AND x.i = z.i + 1"""
+)
+def chunk_notes(spark, d):
+    """Blocks of rendered sources packed into chunks that open with the end of the chunk before."""
+    c = segment.chunks(_notes(spark, d, "src"), "k", max_chars=300, overlap_chars=40)
+    return c.select("k", "ord", F.md5("text").alias("text_md5"), "overlap", F.element_at("breadcrumb", -1).alias("crumb"))
+
+
 @query(
     "WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS ord, text, role FROM conversations WHERE regexp_matches(coalesce(text, ''), '\\S')), "
     "g AS (SELECT *, sum(CASE WHEN prev = 'user' THEN 0 ELSE 1 END) OVER (PARTITION BY conv_id ORDER BY ord) - 1 AS unit FROM (SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY ord) AS prev FROM t)) "
@@ -500,25 +529,60 @@ def concept_pages(spark, d):
     return corpus.concept_pages(_notes(spark, d))
 
 
+_CHUNKED = f"""{N}, c AS (SELECT k, rn, CASE WHEN rn = 1 THEN '# Order ' || k || chr(10) ELSE '' END || {_BLOCKS} AS t FROM tx),
+u AS (SELECT k, rn, t, string_agg('|' || length(t), '') OVER (PARTITION BY k ORDER BY rn) AS s,
+  sum(CASE WHEN rn > 1 AND (rn - 1) % 3 = 0 THEN 0 ELSE 1 END) OVER (PARTITION BY k ORDER BY rn) AS unit FROM c)"""
+_MORE = "\nand more\nlines\nfor the\nscore\n"
+
+
+def _third(text: str) -> bool:
+    """Whether a chunk is that of every third part."""
+    return int(text.split(" > ")[1].split(".")[0]) % 3 == 0
+
+
 @query(
-    f"{N}, c AS (SELECT k, regexp_extract_all(src, 'Part ([0-9]+)', 1) AS ps, src FROM n) "
-    "SELECT k, k % 5 <> 0 AS ok, CASE WHEN k % 5 = 0 THEN 'ValueError: order ' || k END AS error, CASE WHEN k % 5 = 0 THEN 0 ELSE 1 END::INT AS units, "
-    "CASE WHEN k % 5 = 0 THEN 0 ELSE (k % 2)::INT END::INT AS inferred, CASE WHEN k % 5 = 0 THEN '' ELSE md5(regexp_replace(src, '(^|\n)## ', '\1# Order ' || k || ' > ', 'g')) END AS unused FROM c".replace(
-        ", CASE WHEN k % 5 = 0 THEN '' ELSE md5(regexp_replace(src, '(^|\n)## ', '\1# Order ' || k || ' > ', 'g')) END AS unused", ""
-    )
+    f"""{_CHUNKED}, g AS (SELECT k, unit, string_agg(t, chr(10) ORDER BY rn) || repeat('[AI推断]', (k % 2)::INT) || '{_MORE}' || arg_max(s, rn) AS r FROM u GROUP BY k, unit),
+o AS (SELECT k, count(*) AS units, string_agg(r, chr(10) || chr(10) ORDER BY unit) AS output FROM g GROUP BY k)
+SELECT k, k % 5 <> 0 AS ok, CASE WHEN k % 5 = 0 THEN 'ValueError: order ' || k END AS error, CASE WHEN k % 5 = 0 THEN 0 ELSE units END::INT AS units,
+  CASE WHEN k % 5 = 0 THEN 0 ELSE (k % 2) * units END::INT AS inferred, md5(CASE WHEN k % 5 = 0 THEN '' ELSE output END) AS output_md5 FROM o"""
 )
 def process_notes(spark, d):
-    """The whole rewrite with a fixed caller: it loses all numbers at first, repairs itself where it is told so, marks odd orders, and fails for every fifth."""
+    """The whole rewrite with a fixed caller, chunk by chunk: it loses all numbers at first, repairs itself where it is told so, merges what follows every third
+    part, marks odd orders, sums up the lengths so far, and fails for every fifth order."""
 
     def caller(text: str, summary: str, hint: str = ""):
         number = int(text.split("Order ")[1].split()[0])
         if number % 5 == 0:
             raise ValueError(f"order {number}")
-        return (text + rolling.INFERRED * (number % 2) + "\nand more\nlines\nfor the\nscore" if hint else "nothing"), "", False
+        if hint:
+            return text + rolling.INFERRED * (number % 2) + _MORE + summary, "", False
+        return "nothing", f"{summary}|{len(text)}", _third(text)
+
+    src = rendered.notes(spark, d).select("path", "k", F.col("src").alias("text"))
+    done = rolling.process(src.drop("k"), caller, max_chars=160, overlap_chars=0).join(src.select("path", "k"), "path")
+    return done.select("k", "ok", "error", "units", "inferred", F.md5("output").alias("output_md5"))
+
+
+@query(
+    f"""{_CHUNKED}, g AS (SELECT k, string_agg(t || '{_MORE}' || s, chr(10) || chr(10) ORDER BY rn) AS output, count(*) AS units FROM u GROUP BY k)
+SELECT k, k % 3 <> 0 OR units = 1 AS resumed, units::INT AS units, md5(output) AS output_md5 FROM g"""
+)
+def resume_notes(spark, d):
+    """A rewrite that ends in the middle of every third order, and its second run: what was finished is not asked for again, and the rest goes on behind its last unit."""
+
+    def caller(fails: bool):
+        def call(text: str, summary: str, hint: str = ""):
+            if fails and int(text.split("Order ")[1].split()[0]) % 3 == 0 and " > 1. part" not in text:
+                raise OSError("ended")
+            return f"{text}{_MORE}{summary}|{len(text)}", f"{summary}|{len(text)}", False
+
+        return call
 
     src = rendered.notes(spark, d).select("path", "k", F.col("src").alias("text"))
-    done = rolling.process(src.drop("k"), caller, max_chars=1_000_000).join(src.select("path", "k"), "path")
-    return done.select("k", "ok", "error", "units", F.col("inferred").cast("int").alias("inferred"))
+    state = new_dir(spark, "resume")
+    for fails in (True, False):
+        done = rolling.process(src.drop("k"), caller(fails), max_chars=160, overlap_chars=0, state=state)
+    return done.join(src.select("path", "k"), "path").select("k", "resumed", "units", F.md5("output").alias("output_md5"))
 
 
 @query(f"{N}, m AS (SELECT k, length(note) - length(replace(note, '**Brand', '')) AS d FROM n) SELECT k, (d // 7)::INT AS marks FROM m")

@@ -66,7 +66,7 @@ def notes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL = r"""
-WITH it AS (SELECT l_orderkey AS k, l_partkey AS p, l_suppkey AS s, l_quantity::DECIMAL(18,2)::VARCHAR AS q,
+WITH RECURSIVE it AS (SELECT l_orderkey AS k, l_partkey AS p, l_suppkey AS s, l_quantity::DECIMAL(18,2)::VARCHAR AS q,
     l_extendedprice::DECIMAL(18,2)::VARCHAR AS e, l_shipdate::DATE::VARCHAR AS d,
     row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_shipdate, l_discount, l_tax) AS rn
   FROM lineitem),
