@@ -402,7 +402,22 @@ def gate_reports(spark, d):
     return r.select("k", "pass", F.col("reconcile.coverage").alias("coverage"), F.col("reconcile.ok").alias("facts_ok"), F.col("expansion.ok").alias("rich"), F.size("variants").alias("n_variants"), F.array_join("problems", "; ").alias("problems"))
 
 
-@query()
+@query(
+    """WITH c AS (SELECT doc_id, replace(translate(regexp_replace(text, '[A-Za-z]+', ' ', 'g'), 'éèêçàüöäßñóíáú', '一二三四五六七八九十百千万亿'), ' ', '') AS src FROM documents),
+x AS (SELECT doc_id, list_filter(regexp_extract_all(src, '[一-鿿]{2,}'), lambda e: length(e) >= 4) AS x FROM c),
+t AS (SELECT doc_id, list_filter(x, lambda e, i: list_position(x, e) = i) AS s FROM x),
+s AS (SELECT doc_id, unnest(s) AS term, generate_subscripts(s, 1) - 1 AS pos FROM t),
+v AS (SELECT DISTINCT doc_id, translate(term, '四', '五') AS v, length(term) AS n FROM s),
+p AS (SELECT DISTINCT s.doc_id, pos, term, n FROM s JOIN v USING (doc_id) WHERE n <= length(term)),
+w AS (SELECT doc_id, pos, term, n, i, substr(term, i, n) AS w FROM (SELECT *, unnest(range(1, length(term) - n + 2)) AS i FROM p)),
+m AS (SELECT w.*, v, hamming(w, v) AS dist FROM w JOIN v USING (doc_id, n) WHERE hamming(w, v) <= 1 AND (n = length(term) OR NOT contains('"""
+    + quality.STOP_HEADS
+    + """', left(w, 1)))),
+h AS (SELECT *, min(CASE WHEN dist = 0 THEN i END) OVER (PARTITION BY doc_id, pos, n) AS stop FROM m),
+b AS (SELECT *, row_number() OVER (PARTITION BY doc_id, pos ORDER BY n DESC, i DESC, v) AS r FROM h WHERE dist = 1 AND (stop IS NULL OR i < stop)),
+o AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS place FROM b WHERE r = 1)
+SELECT doc_id, pos::INT AS pos, w AS term, v AS variant, 1::INT AS distance FROM o WHERE place <= 10"""
+)
 def term_variants(spark, d):
     """Near-miss spellings: each document's longer words outside ASCII against a copy that swaps one letter."""
     docs = table(spark, d, "documents").select("doc_id", F.regexp_replace("text", "[A-Za-z]+", " ").alias("src"))
