@@ -410,7 +410,8 @@ s AS (SELECT doc_id, unnest(s) AS term, generate_subscripts(s, 1) - 1 AS pos FRO
 v AS (SELECT DISTINCT doc_id, translate(term, '四', '五') AS v, length(term) AS n FROM s),
 p AS (SELECT DISTINCT s.doc_id, pos, term, n FROM s JOIN v USING (doc_id) WHERE n <= length(term)),
 w AS (SELECT doc_id, pos, term, n, i, substr(term, i, n) AS w FROM (SELECT *, unnest(range(1, length(term) - n + 2)) AS i FROM p)),
-m AS (SELECT w.*, v, hamming(w, v) AS dist FROM w JOIN v USING (doc_id, n) WHERE hamming(w, v) <= 1 AND (n = length(term) OR NOT contains('"""
+m AS (SELECT w.*, v, len(list_filter(range(1, n + 1), lambda x: substr(w, x, 1) <> substr(v, x, 1))) AS dist FROM w JOIN v USING (doc_id, n)
+  WHERE len(list_filter(range(1, n + 1), lambda x: substr(w, x, 1) <> substr(v, x, 1))) <= 1 AND (n = length(term) OR NOT contains('"""
     + quality.STOP_HEADS
     + """', left(w, 1)))),
 h AS (SELECT *, min(CASE WHEN dist = 0 THEN i END) OVER (PARTITION BY doc_id, pos, n) AS stop FROM m),
