@@ -1,6 +1,6 @@
 """Command line: rewrite, index, links, concepts, search, gate, contents, filters.
 
-    python -m notewarden.cli rewrite NOTE|DIR [--output DIR] [--max-chars N] [--overlap N] [--retries N] [--glossary TEXT] [--spec FILE] [--json]
+    python -m notewarden.cli rewrite NOTE|DIR [--output DIR] [--state DIR] [--max-chars N] [--overlap N] [--retries N] [--glossary TEXT] [--spec FILE] [--json]
     python -m notewarden.cli index|links|concepts DIR [--output DIR]
     python -m notewarden.cli search WORDS DIR
     python -m notewarden.cli gate NOTE [--src SOURCE] [--score] [--prefs FILE] [--json]
@@ -40,6 +40,7 @@ def parser() -> argparse.ArgumentParser:
     p = modes.add_parser("rewrite")
     p.add_argument("input")
     p.add_argument("--output", default="")
+    p.add_argument("--state", default="", help="folder of finished notes, units and replies; a later run goes on from there")
     p.add_argument("--max-chars", type=_at_least(100), default=segment.MAX_CHARS)
     p.add_argument("--overlap", type=_at_least(0), default=segment.OVERLAP)
     p.add_argument("--retries", type=_at_least(0), default=1)
@@ -108,14 +109,16 @@ def _rewrite(spark: SparkSession, a: argparse.Namespace, call) -> int:
     notes = files.notes(spark, a.input).select("path", "file", "text") if many else _one(spark, path=a.input, file=os.path.basename(a.input), text=text)
     spec = config.load(a.spec) if a.spec else None
     rewrite = model_stages.rewriter(call, spec, a.glossary) if call else rolling.echo
-    done = rolling.process(notes, rewrite, model_stages.issues_of(call, spec) if call else None, a.max_chars, a.overlap, a.retries)
+    version = json.dumps([spec, a.glossary, os.environ.get("NOTEWARDEN_REWRITE_MODEL", "")], sort_keys=True)
+    done = rolling.process(notes, rewrite, model_stages.questions(call, spec) if call else None, a.max_chars, a.overlap, a.retries, state=a.state or None, version=version)
     done = done.withColumn("output", toc.build(F.col("output"))["text"])
     if many:
         if a.output:  # the job runs once; its report is read from what it wrote
-            done.join(notes.select("path", "file"), "path").write.mode("overwrite").parquet(os.path.join(a.output, "report"))
+            rel = files.below(F.col("path"), a.input).alias("rel")
+            done.join(notes.select("path", rel, F.col("text").alias("source")), "path").write.mode("overwrite").parquet(os.path.join(a.output, "report"))
             done = spark.read.parquet(os.path.join(a.output, "report"))
-            files.write_notes(done.where("error is null"), os.path.join(a.output, "notes"), text="output")
-        return 0 if all(r["ok"] for r in _show(done.select("path", "ok", "issues", "units", "inferred", "low_conf", "error"))) else 1
+            files.write_notes(done.where("error is null"), os.path.join(a.output, "notes"), "rel", "output", "source")
+        return 0 if all(r["ok"] for r in _show(done.select("path", "ok", "issues", "units", "inferred", "low_conf", "error", "resumed"))) else 1
     row = done.first()
     if a.output and row.error is None:
         target = os.path.join(a.output, os.path.basename(a.input))

@@ -7,7 +7,7 @@ import os
 import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # --- fixed values: folders that a scan leaves out ---
@@ -21,16 +21,25 @@ def notes(spark: SparkSession, root: str) -> DataFrame:
     decoded = lambda c: F.url_decode(F.replace(F.col(c), F.lit("+"), F.lit("%2B")))
     path = decoded("_metadata.file_path")
     skipped = "|".join(s.replace(".", r"\.") for s in SKIPPED)
-    above = (root if "://" in root else os.path.abspath(root)).split("://")[-1].rstrip("/") + "/"
-    inner = F.substring(path, F.locate(above, path) + F.lit(len(above)), F.length(path))  # below the root, whose own folders may have any name
+    inner = below(path, root)  # folders above the root may have any name
     text = F.regexp_replace(F.regexp_replace("value", r"^\x{FEFF}", ""), r"\r\n?", "\n")
     out = raw.where(~F.regexp_like(inner, F.lit(rf"(?:^|/)(?:{skipped})/")))
     return out.select(path.alias("path"), decoded("_metadata.file_name").alias("file"), F.col("_metadata.file_modification_time").alias("mtime"), text.alias("text"))
 
 
-def write_notes(df: DataFrame, out_dir: str, file: str = "file", text: str = "text") -> None:
-    """One folder file=<name> for each note, by Spark's commit protocol, so a failed task leaves nothing behind."""
-    df.select(F.col(file).alias("file"), F.col(text).alias("value")).write.mode("overwrite").partitionBy("file").text(out_dir)
+def below(path: Column, root: str) -> Column:
+    """The part of notes' paths behind the root folder."""
+    above = (root if "://" in root else os.path.abspath(root)).split("://")[-1].rstrip("/") + "/"
+    return F.substring(path, F.locate(above, path) + F.lit(len(above)), F.length(path))
+
+
+def write_notes(df: DataFrame, out_dir: str, path: str = "path", text: str = "text", source: str | None = None) -> None:
+    """Each note as a file under its path (relative) below out_dir, with its source, if that is given, in a folder beside it."""
+    from notewarden.sources import datasource
+
+    datasource.register(df.sparkSession)
+    columns = [F.col(path).alias("path"), F.col(text).alias("text"), *([F.col(source).alias("source")] if source else [])]
+    df.select(*columns).write.format("notes").mode("append").save(out_dir)
 
 
 def write_pages(lines: DataFrame, out_dir: str, page: str = "page", order: tuple[str, ...] = ("section", "file", "i")) -> None:
