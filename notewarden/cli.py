@@ -159,7 +159,7 @@ def run(spark: SparkSession, a: argparse.Namespace, call=None) -> int:
         files.write_pages(corpus.concept_pages(notes), a.output or os.path.join(a.input, "concepts"))
         return 0
     if a.mode == "search":
-        return 0 if _show(corpus.search(corpus.latest(notes), a.words, a.top)) else 1
+        return 0 if _show(corpus.search_latest(notes, a.words, a.top)) else 1
     if a.mode == "gate":
         note = _file(a.input)
         source = _file(a.src) if a.src else None

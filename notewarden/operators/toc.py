@@ -14,23 +14,15 @@ HEADING = r"^(#{1,4})\s+(.+?)\s*$"
 
 
 def headings(c: Column) -> Column:
-    """array(level, title) of the headings of level 1 to 4 outside frontmatter, code fences and an existing contents block."""
-    ls = F.transform(T.body_lines(c), T.strip)
-    none = F.array().cast("array<struct<level:int,title:string>>")
-    start = F.struct(F.lit(False).alias("code"), F.lit(False).alias("toc"), none.alias("out"))
-
-    def step(s: Column, x: Column) -> Column:
-        fence = x.startswith("```")
-        named = F.contains(x, F.lit(TITLE))
-        toc = F.when(fence | s["code"], s["toc"]).otherwise(named | (s["toc"] & ~x.startswith("#")))
-        mark = F.regexp_extract(x, HEADING, 1)
-        hit = ~fence & ~s["code"] & ~toc & (mark != "")
-        one = F.array(F.struct(F.length(mark).alias("level"), T.strip(F.regexp_extract(x, HEADING, 2)).alias("title")))
-        return F.struct((s["code"] != fence).alias("code"), toc.alias("toc"), F.when(hit, F.concat(s["out"], one)).otherwise(s["out"]).alias("out"))
-
-    # only lines that change the state take part in the fold
-    matter = F.filter(ls, lambda x: x.startswith("```") | x.startswith("#") | F.contains(x, F.lit(TITLE)))
-    return F.aggregate(matter, start, step, lambda s: s["out"])
+    """array(level, title) of the headings of level 1 to 4 outside frontmatter, code fences and an existing contents block.
+
+    Fence lines cut a text into parts, of which every second one is code; a contents block goes up to the next heading, so its own title is
+    all that it hides."""
+    ls = F.array_join(F.transform(T.body_lines(c), T.strip), "\n")
+    prose = F.filter(F.split(ls, r"(?m)^```[^\n]*(?:\n|\z)", -1), lambda _, i: i % 2 == 0)
+    marked = F.filter(F.split(F.array_join(prose, "\n"), "\n"), lambda x: F.regexp_like(x, F.lit(HEADING)) & ~F.contains(x, F.lit(TITLE)))
+    one = lambda x: F.struct(F.length(F.regexp_extract(x, HEADING, 1)).alias("level"), T.strip(F.regexp_extract(x, HEADING, 2)).alias("title"))
+    return F.transform(marked, one)
 
 
 def render(heads: Column) -> Column:

@@ -328,7 +328,7 @@ LINE_RULES = filters.LineRules(noise_first=(r"\b[0-9]*7[0-9]* times",), noise_la
     rf"""{N}, l AS (SELECT k, unnest(range(0, len(string_split(src, chr(10))))) AS pos, unnest(string_split(src, chr(10))) AS line FROM n),
 f AS (SELECT k, pos, line, coalesce(last_value(CASE WHEN starts_with(line, '## 3. ') THEN true WHEN starts_with(line, '## 5. ') THEN false END IGNORE NULLS) OVER (PARTITION BY k ORDER BY pos), false) AS skip FROM l
   WHERE NOT (line = '' AND pos = (SELECT len(string_split(src, chr(10))) - 1 FROM n WHERE n.k = l.k))),
-j AS (SELECT *, NOT skip AND NOT regexp_matches(line, '\b[0-9]*7[0-9]* times') AND (starts_with(line, '#') OR starts_with(line, 'Part') OR (NOT regexp_matches(line, '\.[0-9]*9') AND length(line) <= 40)) AS keep FROM f)
+j AS (SELECT *, NOT skip AND NOT regexp_matches(line, '\b[0-9]*7[0-9]* times') AND (starts_with(line, '#') OR starts_with(line, 'Part') OR (NOT regexp_matches(line, '\.[0-9]*9') AND length(line) < 40)) AS keep FROM f)
 SELECT k, count(*) FILTER (WHERE keep)::BIGINT AS kept, count(*) FILTER (WHERE NOT keep)::BIGINT AS dropped, md5(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE keep), '')) AS text_md5 FROM j GROUP BY k"""
 )
 def line_filter(spark, d):
@@ -337,6 +337,31 @@ def line_filter(spark, d):
     return f.select("k", "kept", "dropped", F.md5("text").alias("text_md5"))
 
 
+RULE_SETS = {
+    "0": LINE_RULES,
+    "1": filters.LineRules(noise_first=(r"^## [24]\.", "supplier 1"), short_line=9),
+    None: filters.LineRules(short_line=12, short_needs="[0-9]", anywhere="price of 1", skip=(("## 1.", "## 2."), ("## 4.", "## 6."))),
+}
+
+
+@query(
+    rf"""{N}, l AS (SELECT k, k % 3 AS c, unnest(range(0, len(string_split(src, chr(10))))) AS pos, unnest(string_split(src, chr(10))) AS line, len(string_split(src, chr(10))) - 1 AS last FROM n),
+f AS (SELECT *, last_value(CASE WHEN starts_with(line, '## 3. ') THEN 1 WHEN starts_with(line, '## 5. ') THEN 0 END IGNORE NULLS) OVER w AS a,
+  last_value(CASE WHEN starts_with(line, '## 1.') THEN 1 WHEN starts_with(line, '## 2.') THEN 0 END IGNORE NULLS) OVER w AS b,
+  last_value(CASE WHEN starts_with(line, '## 4.') THEN 1 WHEN starts_with(line, '## 6.') THEN 0 END IGNORE NULLS) OVER w AS d FROM l WHERE NOT (line = '' AND pos = last) WINDOW w AS (PARTITION BY k ORDER BY pos)),
+j AS (SELECT k, c, pos, line, starts_with(line, '#') AS head, CASE c
+  WHEN 0 THEN coalesce(a, 0) = 0 AND NOT regexp_matches(line, '\b[0-9]*7[0-9]* times') AND (head OR starts_with(line, 'Part') OR (NOT regexp_matches(line, '\.[0-9]*9') AND length(line) < 40))
+  WHEN 1 THEN NOT regexp_matches(line, '^## [24]\.|supplier 1') AND (head OR length(line) < 9)
+  ELSE coalesce(b, 0) = 0 AND coalesce(d, 0) = 0 AND (head OR contains(line, 'price of 1') OR (length(line) < 12 AND regexp_matches(line, '[0-9]'))) END AS keep FROM f)
+SELECT k, count(*) FILTER (WHERE keep)::BIGINT AS kept, count(*) FILTER (WHERE NOT keep)::BIGINT AS dropped, md5(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE keep), '')) AS text_md5 FROM j GROUP BY k"""
+)
+def line_filter_sets(spark, d):
+    """Three rule sets over sources in one plan, chosen by their chapter; one of them is for all chapters that have none of their own."""
+    docs = rendered.notes(spark, d).select("k", "src", (F.col("k") % 3).cast("string").alias("chapter"))
+    f = filters.filter_lines(docs, RULE_SETS, "k", "src", "chapter")
+    return f.select("k", "kept", "dropped", F.md5("text").alias("text_md5"))
+
+
 @query(
     "WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS i, role, replace(coalesce(text, ''), chr(10), ' ') AS x FROM conversations) "
     "SELECT conv_id, md5(CASE WHEN count(*) FILTER (WHERE role = 'user' AND x <> '') > 0 THEN string_agg(x, chr(10) ORDER BY i) FILTER (WHERE role = 'user' AND x <> '') ELSE string_agg('[0' || i || ':00] ' || CASE WHEN role = 'user' THEN '🎤 ' ELSE '📷 ' END || x, chr(10) ORDER BY i) END) AS speech_md5 FROM t GROUP BY conv_id"
