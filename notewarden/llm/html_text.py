@@ -2,12 +2,13 @@
 
 A page is read once into elements and text blocks.  Elements that never hold article text (scripts, menus,
 headers, footers, forms, and whatever is named like an advert, notice, sidebar or comment section) are
-dropped with all they contain.  Inside an ``article`` only classes and roles of one meaning count, and ids,
-which are often made of headings, never; the same holds for headings, paragraphs, tables and sections anywhere, and ids of
-blocks do not count inside the container that is kept.  Every remaining block passes points for its length and commas to its
+dropped with all they contain.  Inside an ``article`` ids, which are often made of headings, never count, and of classes and roles those
+that name side content (adverts, notices, comments, menus) and no part of an article; the same holds for headings, paragraphs, tables and sections anywhere, and ids of
+blocks do not count inside the container that is kept.  Of a ``header`` inside an article only the headings stay.  Every remaining block passes points for its length and commas to its
 ancestors, half as much with each level and less by its share of link text.  The container of the most points, again
 discounted by its link density, is kept with its good siblings; inside an ``article`` (or ``main``) it grows to
-that element, so among several articles the points decide.  Its blocks are the result, in page order.
+that element, so among several articles the points decide; containers in it that are mostly links and have few points of their own go, a list that
+nothing marks as a menu stays.  Its blocks are the result, in page order.
 
 Pages are independent, so this is one Arrow UDF without shuffle.  Time is linear in the page's length: a tag that does not end is looked
 for once, open elements are found by their kind, and sums over ancestors are one pass over the elements.
@@ -60,7 +61,12 @@ SURE = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsored adslot adbox adunit advertorial comments commentlist disqus sidebar"
     " sidebars sidenav sidepanel share sharing cookie cookies cookiebar gdpr newsletter navbar breadcrumb breadcrumbs pagination outbrain taboola paywall".split()
 )
-HARD, SOFT = 2, 1
+#: Names of side content that blocks of running text have, too.
+NAMED = SURE | frozenset(
+    "alert banner comment consent footer login masthead menu menus modal nav navigation notice notices notification notifications overlay pager popup privacy promo promos promoted promotion"
+    " recommended recommendations replies reply respond responses signup skip social sponsor subscribe subscription taboola toast toolbar topbar widget widgets".split()
+)
+HARD, HEADER, SOFT = 3, 2, 1
 SURE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog menu menubar toolbar".split())
 #: Words that tell that a container has, or lacks, one of these.
 ABOUT = frozenset("has have with without no".split())
@@ -71,6 +77,10 @@ CONTAINERS = frozenset("html body article main section div center".split())
 RUNNING = HEADINGS | frozenset("p section table pre blockquote figure".split())
 
 
+#: Elements that such a name makes side content; a heading, a table or a listing is none by its name.
+SIDE = BLOCKS - HEADINGS - frozenset("html body article main table thead tbody tfoot tr td th pre".split())
+
+
 def _attrs(raw: str) -> dict[str, str]:
     return {(m[1] or m[5]).lower(): m[2] or m[3] or m[4] or "" for m in ATTR.finditer(raw)} if raw.strip(" /") else {}
 
@@ -80,20 +90,22 @@ def _words(attrs: dict[str, str], *keys: str) -> set[str]:
 
 
 def _is_dropped(tag: str, attrs: dict[str, str], in_article: bool) -> int:
-    """HARD if an element is dropped, SOFT if only outside the container that is kept, else 0."""
+    """HARD if an element is dropped, HEADER if all but its headings is, SOFT if only outside the container that is kept, else 0."""
     if tag in DROPPED or tag == "header" and not in_article:
         return HARD
+    head = HEADER if tag == "header" else 0
     if not attrs:
-        return 0
+        return head
     if "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in attrs.get("style", "").replace(" ", "").lower():
         return HARD
     if tag in ("html", "body"):
         return 0
     names, ids = _words(attrs, "class", "role"), _words(attrs, "id")
     if (names | ids) & ABOUT or tag in ("article", "main") and (names | ids) & LIKELY:
-        return 0
+        return head
     if in_article or tag in RUNNING:
-        return HARD if names & SURE or attrs.get("role", "").lower() in SURE_ROLES else 0
+        side = NAMED if tag in SIDE else SURE
+        return HARD if names & side or attrs.get("role", "").lower() in SURE_ROLES else head
     if names & UNLIKELY:
         return HARD
     return (SOFT if tag in BLOCKS else HARD) if ids & UNLIKELY else 0
@@ -194,7 +206,9 @@ class _Page:
         in_article = around >= 0 and self.tag[around] == "article"
         self.tag.append(tag)
         self.parent.append(parent)
-        self.dropped.append(max(self.dropped[parent], _is_dropped(tag, attrs, in_article)) if parent >= 0 else 0)
+        above = self.dropped[parent] if parent >= 0 else 0
+        above = 0 if above == HEADER and tag in HEADINGS else above
+        self.dropped.append(max(above, _is_dropped(tag, attrs, in_article)) if parent >= 0 else 0)
         self.block_of.append(i if tag in BLOCKS else self.block_of[parent])
         self.articles.append(i if tag == "article" and not in_article or tag == "main" and around < 0 else around)
         self.links.append(0)
@@ -232,7 +246,7 @@ class _Page:
             self._flush()
 
     def _text(self, raw: str) -> None:
-        if self.dropped[self._stack[-1]] < HARD:
+        if self.dropped[self._stack[-1]] < HEADER:
             self._parts.append(text := unescape(raw))
             if self._anchors:
                 self._linked += len("".join(text.split()))
@@ -286,8 +300,12 @@ def main_text(html: str | None) -> str:
     for i in range(n):
         up = parent[i]
         within[i] = i == top or up >= 0 and within[up]
-        most = 0.95 if page.articles[i] >= 0 else 0.6
-        menu = tag[i] in LINK_LISTS and links[i] >= 2 and density[i] > most and i != top
+        around = page.articles[i]
+        if around >= 0 and tag[around] == "article":  # a list that nothing marks as a menu belongs to the article
+            menu = tag[i] in ("div", "section") and links[i] >= 2 and density[i] > 0.6 and score[i] < 0.2 * score[best]
+        else:
+            menu = tag[i] in LINK_LISTS and links[i] >= 2 and density[i] > (0.95 if around >= 0 else 0.6)
+        menu = menu and i != top
         inside[i] = not menu and (i in kept or up >= 0 and inside[up])
     return "\n".join(text for block, text, _ in page.blocks if inside[block] and (not page.dropped[block] or spare and within[block]))
 

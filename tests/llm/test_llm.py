@@ -872,6 +872,49 @@ def test_op10_keeps_the_whole_article():
         assert "bought" not in text and "said" not in text and "aside" not in text
 
 
+SIDE_CONTENT = (
+    "<div class='notice'>{}</div>", "<div class='promo box'><p>{}</p></div>", "<aside>{}</aside>", "<section class='responses'><h2>Responses</h2><p>{}</p></section>", "<p class='promo'>{}</p>",
+    "<nav><a href=1>{}</a></nav>", "<footer>{}</footer>", "<form>{}<input></form>", "<ul class='menu'><li><a href=1>{}</a></li></ul>", "<div class='comments'><p>{}</p></div>", "<script>{}</script>", "<style>{}</style>",
+    "<div class='ad'>{}</div>", "<div role='navigation'><p>{}</p></div>", "<div class='newsletter-signup'>{}</div>", "<div class='cookie-banner'>{}</div>", "<!-- {} -->", "<div class='teasers'><a href=1>{}</a> <a href=2>more</a></div>",
+    "<div class='comment' id='c1'><p>{}</p></div>", "<section class='recommended'><p>{}</p></section>", "<div hidden>{}</div>",
+)
+ARTICLE_PARTS = (
+    "<p>{}</p>", "<p class='lead'>{}</p>", "<h2 id='related-work'>{}</h2>", "<section id='comments-on-method'><p>{}</p></section>", "<blockquote>{}</blockquote>", "<table><tr><td>{}</td></tr></table>", "<ul><li>{}</li></ul>",
+    "<ul><li><a href=1>{}</a></li></ul>", "<div class='figure-with-caption'><p>{}</p></div>", "<pre class='comment'>{}</pre>", "<section class='discussion'><p>{}</p></section>", "<p>{} <a href=1>link</a></p>", "<header><h2>{}</h2></header>",
+)
+
+
+def test_op10_side_content():
+    """Two hundred pages whose parts are known: what is the article stays in order, what is not goes, inside the article and beside it."""
+    rng = random.Random(61)
+    for n in range(200):
+        want, serial = [], itertools.count()
+
+        def piece(kinds, kept):
+            text = f"{'keep' if kept else 'drop'}{next(serial)} " + ", ".join(words(rng.randint(2, 9), rng) for _ in range(rng.randint(1, 4)))
+            shape = rng.choice(kinds)
+            if kept:
+                want.append(f"{text} link" if "{} <a" in shape else text)
+            return shape.format(text)
+
+        inner = "<header><h1>The title</h1><p>By somebody, share</p></header>"
+        want.append("The title")
+        for _ in range(rng.randint(3, 12)):
+            inner += piece(*((ARTICLE_PARTS, True) if rng.random() < 0.6 else (SIDE_CONTENT, False)))
+        inner += "<p>last one, of the article, and long enough, with commas, to weigh something at all in any case, whatever else</p>" * 3
+        want += ["last one, of the article, and long enough, with commas, to weigh something at all in any case, whatever else"] * 3
+        before, after = ("".join(piece(SIDE_CONTENT, False) for _ in range(rng.randint(0, 4))) for _ in range(2))
+        page = f"<html><head><title>t</title></head><body><header>drop <h1>Site</h1></header>{before}<article>{inner}</article>{after}</body></html>"
+        if n % 2:  # without an article: a container of the most points
+            page = page.replace("<article>", "<div class='content'>").replace("</article>", "</div>")
+            want = [w for w in want if w != "The title"]  # a header outside an article is the page's
+            got = [x for x in html_text.main_text(page).split("\n")]
+            assert not [x for x in got if x.startswith("drop")], page
+            assert {w for w in want if w.startswith("last")} <= set(got), page
+        else:
+            assert html_text.main_text(page).split("\n") == want, page
+
+
 def test_pipeline(spark, tmp_path):
     rng = random.Random(23)
     item = words(20, rng)
