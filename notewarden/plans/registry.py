@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from notewarden.functions import text as T
-from notewarden.operators import corpus, filters, quality, rolling, segment, toc
+from notewarden.operators import corpus, filters, quality, rolling, search_index, segment, toc
 from notewarden.plans import rendered
 from notewarden.plans.rendered import table
+from notewarden.streaming import links
 from notewarden.tables import new_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -213,6 +214,35 @@ def search_topk(spark, d):
     return found.select(F.col("file").alias("doc_id"), F.col("score").cast("bigint").alias("score"))
 
 
+@query(
+    r"""WITH w(x) AS (VALUES ('the'), ('and'), ('of'), ('trash'), ('that')),
+l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents),
+s AS (SELECT doc_id, count(*) AS score FROM l JOIN w ON contains(lower(line), x) GROUP BY doc_id)
+SELECT doc_id, score::BIGINT AS score FROM s ORDER BY score DESC, doc_id LIMIT 20"""
+)
+def search_indexed(spark, d):
+    """The same rows by an index of letter groups, whose bounds tell what texts have to be read."""
+    index = new_dir(spark, "index")
+    search_index.build(table(spark, d, "documents"), index, "doc_id", order="doc_id")
+    found = search_index.search(spark, index, WORDS, 20)
+    return found.select(F.col("file").cast("bigint").alias("doc_id"), F.col("score").cast("bigint").alias("score"))
+
+
+@query(
+    f"""{N}, e AS (SELECT k, s, row_number() OVER (PARTITION BY k ORDER BY rn) - 1 AS pos FROM tx JOIN it USING (k, rn) WHERE tx.p % 7 <> 0)
+SELECT 'notes/order_' || k || '.md' AS path, pos::INT AS pos, 'supplier_' || s || '.md' AS target FROM e WHERE k % 10 > 1 AND s % 3 = 0"""
+)
+def incremental_links(spark, d):
+    """Dangling links after a second run, which brings new orders, the notes of suppliers, orders that have lost their links, and orders that are gone."""
+    state, notes = new_dir(spark, "links"), rendered.notes(spark, d)
+    rows = notes.select("path", "file", F.col("note").alias("text"), (F.col("k") % 10).alias("m"), "src")
+    links.update(spark, state, rows.where("m <> 2").select("path", "file", "text"))
+    suppliers = _suppliers(spark, d).select(F.concat(F.lit("suppliers/"), "target").alias("path"), F.col("target").alias("file"), F.lit("").alias("text"))
+    changed = rows.where("m = 2").select("path", "file", "text").union(rows.where("m = 0").select("path", "file", "src")).union(suppliers)
+    links.update(spark, state, changed, rows.where("m = 1").select("path"))
+    return links.dangling(spark, state)
+
+
 @query(f"{N} SELECT 'brand ' || lower(['A','B','C','D','E'][p % 5 + 1]) || ' line' AS term, 'Brand ' || ['A','B','C','D','E'][p % 5 + 1] || ' Line' AS name, count(DISTINCT k)::INT AS n_files, min('order_' || k || '.md') AS first_file FROM tx WHERE p % 7 <> 0 GROUP BY ALL")
 def term_index(spark, d):
     """Inverted index of bold terms."""
