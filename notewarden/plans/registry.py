@@ -652,7 +652,7 @@ def resume_notes(spark, d):
     src = rendered.notes(spark, d).select("path", "k", F.col("src").alias("text"))
     state = new_dir(spark, "resume")
     for fails in (True, False):
-        done = rolling.process(src.drop("k"), caller(fails), max_chars=160, overlap_chars=0, state=state)
+        done = rolling.process(src.drop("k"), caller(fails), max_chars=160, overlap_chars=0, state=state, task_calls=5000)
     return done.join(src.select("path", "k"), "path").select("k", "resumed", "units", F.md5("output").alias("output_md5"))
 
 
