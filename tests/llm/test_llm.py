@@ -87,12 +87,12 @@ def test_op1_windows():
                 at = [j for j in range(len(w) - k + 1) if tuple(w[j : j + k]) in wins]
                 hit |= {j + x for j in at for x in range(k)}
                 ids |= {item} if at else set()
-            n, spans, found, _ = decontaminate._scan(text.encode(), decontaminate.Block(items, window))
+            n, spans, found, _ = decontaminate._scan([text.encode()], decontaminate.Block(items, window))[0]
             assert (n, {j for a, b in spans for j in range(a, b)}, set(found)) == (len(w), hit, ids)
 
 
 def test_op1_memory():
-    """A full block of benchmark text keeps an automaton of bounded size: about a node for each byte of text."""
+    """A block of benchmark text keeps an automaton of bounded size: about a node for each word of text."""
     rng = random.Random(59)
     size = 1 << 20
     lexicon = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 10))) for _ in range(30_000)]
@@ -101,10 +101,31 @@ def test_op1_memory():
         items.append((str(len(items)), " ".join(rng.choices(lexicon, k=rng.randint(10, 80)))))
         total += len(items[-1][1])
     block = decontaminate.Block(items, 13)
-    stats = block.automaton.get_stats()
-    assert stats["nodes_count"] < 1.2 * size and stats["total_size"] < 100 * size
+    arrays = [x for x in vars(block.automaton).values() if isinstance(x, np.ndarray)]
+    assert len(block.automaton.fail) < size / 4 and sum(x.nbytes for x in arrays) < 12 * size
     text = f"x {items[5][1]} y".encode()
-    assert decontaminate._scan(text, block)[2] == ["5"]
+    assert decontaminate._scan([text], block)[0][2] == ["5"]
+
+
+def test_op1_repetitive_items():
+    """An item of one word, or of a short period, costs no more than its length and that of the text."""
+    for item in ("a " * 50_000, "a b c " * 20_000):
+        block = decontaminate.Block([("1", item), ("2", f"{item} z")], 13)
+        [(n, spans, ids, _)] = decontaminate._scan([(item * 3).encode()], block)
+        assert (spans, ids) == ([(0, n)], ["1", "2"])
+
+
+def test_op1_blocks(spark):
+    """Blocks of a large benchmark give the rows of a single one, also for repeated and null texts and clashing columns."""
+    rng = random.Random(67)
+    items = [(i, " ".join(rng.choices("abcdefgh", k=rng.randint(1, 40)))) for i in range(40)]
+    docs = [(i % 50, rng.choice([None, "", "x", " ".join(rng.choice(items)[1] + " y" for _ in range(rng.randint(1, 5)))])) for i in range(80)]
+    docs = frame(spark, [*docs, *docs[:30]]).withColumn("spans", F.lit("mine")).withColumn("extra", F.col("doc_id"))
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    columns = ["doc_id", "text", "extra", "n_words", "n_hit", "item_ids", "contaminated"]
+    one = decontaminate.decontaminate(docs, bench).select(columns)
+    many = decontaminate.decontaminate(docs, bench, block_bytes=300).select(columns)
+    assert one.exceptAll(many).count() == 0 and many.exceptAll(one).count() == 0 and one.count() == 110 and one.where("n_hit > 0").count() > 20
 
 
 def test_op2_statistics(spark):
