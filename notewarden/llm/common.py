@@ -53,6 +53,12 @@ def remove(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is such a file on its file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Computes df once and cuts its lineage with a reliable checkpoint."""
     shared_dir(df.sparkSession)

@@ -967,3 +967,35 @@ def test_pipeline(spark, tmp_path):
         if name != "packing":
             assert wide.columns == [*docs.columns, *clash]
     assert sorted(r.doc_id for r in wide.collect()) == [3, 6, 7, 9]
+
+
+def test_pipeline_resumes(spark, tmp_path, monkeypatch):
+    """A run that names its folder goes on behind its last finished stage; without a folder a failed run leaves nothing. Null ids pass all stages."""
+    rng = random.Random(29)
+    frame(spark, [(None, words(40, rng)), (None, words(40, rng)), (3, words(40, rng)), (4, None)]).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, words(20, rng))], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    stages, calls, broken = corpus_pipeline.STAGES, [], [True]
+
+    def counted(name, stage):
+        def run(spark, docs, sf_dir):
+            calls.append(name)
+            if name == "substring_dedup" and broken[0]:
+                raise RuntimeError("lost")
+            return stage(spark, docs, sf_dir)
+
+        return run
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(n, counted(n, s)) for n, s in stages])
+    monkeypatch.setattr(corpus_pipeline, "shared_dir", lambda _: str(tmp_path / "shared"))
+    names, folder = [n for n, _ in stages], tmp_path / "run"
+    for where in (None, str(folder)):
+        with pytest.raises(RuntimeError):
+            corpus_pipeline.run(spark, str(tmp_path), where)
+    assert not list((tmp_path / "shared").glob("*/*")) and [p.name for p in folder.iterdir()] == [names[1]]
+    calls.clear()
+    broken[0] = False
+    first = corpus_pipeline.run(spark, str(tmp_path), str(folder))
+    assert calls == names[2:] and [p.name for p in folder.iterdir()] == [names[-1]]
+    again = corpus_pipeline.run(spark, str(tmp_path), str(folder))
+    assert calls == names[2:] and sorted(map(str, again.collect())) == sorted(map(str, first.collect()))
+    assert sorted(str(r.doc_id) for r in first.collect()) == ["3", "None", "None"]
