@@ -13,7 +13,7 @@ from notewarden.functions import text as T
 from notewarden.operators import corpus, filters, quality, rolling, search_index, segment, toc
 from notewarden.plans import rendered
 from notewarden.plans.rendered import table
-from notewarden.streaming import links
+from notewarden.streaming import incremental, links
 from notewarden.tables import new_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -457,6 +457,24 @@ def gate_reports(spark, d):
     return r.select("k", "pass", F.col("reconcile.coverage").alias("coverage"), F.col("reconcile.ok").alias("facts_ok"), F.col("expansion.ok").alias("rich"), F.size("variants").alias("n_variants"), F.array_join("problems", "; ").alias("problems"))
 
 
+@query(
+    N
+    + "SELECT file, 1::INT AS run, md5(note) AS text_md5, k % 5 <> 0 AS ok FROM n"
+    + " UNION ALL SELECT file, 2::INT, md5(CASE WHEN k % 3 = 0 THEN note || 'More.' ELSE note END), true FROM n WHERE k % 3 = 0 OR k % 5 = 0"
+    + " UNION ALL SELECT file, 3::INT, md5(CASE WHEN k % 3 = 0 THEN note || 'More.' ELSE note END), true FROM n WHERE k % 7 = 0"
+)
+def incremental_notes(spark, d):
+    """What each of three runs over all notes works on: every fifth note fails in the first, every third is written anew before the second, every seventh touched before the third."""
+    base, k = new_dir(spark, "runs"), F.col("k")
+    notes = rendered.notes(spark, d).select("k", "path", F.col("note").alias("text"), F.timestamp_seconds(k + 1_700_000_000).alias("mtime"))
+    later = notes.withColumns({"text": F.when(k % 3 == 0, F.concat("text", F.lit("More."))).otherwise(F.col("text")), "mtime": F.when(k % 3 == 0, F.timestamp_seconds(k + 1_700_100_000)).otherwise(F.col("mtime"))})
+    touched = later.withColumn("mtime", F.when(k % 7 == 0, F.timestamp_seconds(k + 1_700_200_000)).otherwise(F.col("mtime")))
+    for run, now in enumerate((notes, later, touched)):
+        failing = (k % 5 == 0) & F.lit(run == 0)
+        incremental.process(spark, now, f"{base}/state", lambda todo, failing=failing: todo.select("path", F.md5("text").alias("text_md5"), (~failing).alias("ok")), f"{base}/out")
+    return spark.read.parquet(f"{base}/out").select(F.element_at(F.split("path", "/"), -1).alias("file"), F.col("run").cast("int").alias("run"), "text_md5", "ok")
+
+
 @query(
     """WITH c AS (SELECT doc_id, replace(translate(regexp_replace(text, '[A-Za-z]+', ' ', 'g'), 'éèêçàüöäßñóíáú', '一二三四五六七八九十百千万亿'), ' ', '') AS src FROM documents),
 x AS (SELECT doc_id, list_filter(regexp_extract_all(src, '[一-鿿]{2,}'), lambda e: length(e) >= 4) AS x FROM c),
