@@ -35,6 +35,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, Jaccard similarity of 0.8 or more) stays, that of the smallest id.
 
+    BK-trees over SimHashes find the pairs, exact sets confirm them.
     Of repeated rows one stays; texts without a word are one group; a very long text counts with all its shingles."""
     return near_dups.drop_near_copies(docs)
 
@@ -69,7 +70,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("language_id", language),
-    ("minhash_near_dedup", near_duplicates),
+    ("simhash_near_dedup", near_duplicates),
     ("substring_dedup", substrings),
     ("benchmark_decontamination", decontamination),
     ("packing", pack),

@@ -16,10 +16,12 @@ Defined results: a null or empty text has fingerprint 0 and is linked like any o
 shingle are one shingle; very long texts are read whole; of bits set in exactly half the shingles none is set; repeated rows stay and share a component; a component's id is its smallest
 non-null id, null where all ids are null; an empty table gives no rows.  Ids of any type that can be ordered will do, and only id and text are read, so no other column can clash.
 
-``near_copies`` is the whole similarity join: it links documents whose sets of five-word shingles have a
-Jaccard similarity of at least 0.8.  At that similarity SimHashes differ in about ten bits, more than bit blocks can
-meet, so candidates share one of ``BANDS`` min-hash bands (a pair at 0.8 shares none with a chance below 0.00003, a more
-similar one still more seldom) and every candidate pair that is not yet linked is decided by its exact sets.
+``near_copies`` is the whole similarity join by the same method: it links documents whose sets of five-word shingles have a
+Jaccard similarity of at least 0.8.  Such sets have SimHashes that differ in 15 % of the bits, at most 19 % (sets of four and five
+shingles).  Its fingerprints have ``PRINT`` = 4 words of 64 bits, of which more than ``COPY_RADIUS`` = 96 differ for one such
+pair in 10 ** 12, while two random ones differ in fewer for 4 pairs in 10 ** 5.  The BK-trees of the shards find all pairs within that radius, and their
+exact sets decide on each pair that is not yet linked.  No block of bits agrees at that distance, so instead of bit blocks
+``BANDS`` min-hash bands are the shard keys (a pair at 0.8 shares none with a chance below 0.00003, a more similar one still more seldom).
 """
 
 from __future__ import annotations
@@ -41,7 +43,9 @@ SEED = 42
 COPY_SHINGLE = 5
 SIMILAR = (4, 5)  # Jaccard similarity of near copies, as a fraction
 BANDS, ROWS = 20, 4
+PRINT, COPY_RADIUS = 4, 96  # 64-bit words of a near copy's fingerprint, and the bits by which near copies may differ
 BLOCK_SHINGLES = 1 << 21  # of a block of a shard; blocks of larger shards meet in pairs
+FOREST_SHINGLES = 1 << 19  # of small shards whose trees are searched together
 
 
 def simhash(text: bytes | None, shingle: int = SHINGLE) -> int:
@@ -75,10 +79,11 @@ def fingerprint(shingle: int = SHINGLE):
 
 
 class BKForest:
-    """The BK-trees of several shards: node i holds points[i]; its parent's distance to it is edge[i]."""
+    """The BK-trees of several shards: node i holds points[i] (64 bits, or a row of words of 64 bits); its parent's distance to it is edge[i]."""
 
     def __init__(self, shard: np.ndarray, points: np.ndarray):
         n = len(points)
+        self.far = 64 if points.ndim == 1 else 64 * points.shape[1]
         self.points = points
         self.shard = shard
         self.root = np.zeros(n, np.int64)  # of each point's shard
@@ -95,13 +100,17 @@ class BKForest:
                 self.root[left] = pivot
             rest = ~head
             left, pivot = left[rest], pivot[rest]
-            d = np.bitwise_count(points[left] ^ points[pivot]).astype(np.int64)
-            above, above_edge, group = pivot, d, pivot * 65 + d
+            d = self._distance(left, pivot)
+            above, above_edge, group = pivot, d, pivot * (self.far + 1) + d
         kids = np.flatnonzero(parent >= 0)
-        key = parent[kids] * 65 + edge[kids]
+        key = parent[kids] * (self.far + 1) + edge[kids]
         order = np.argsort(key)
         self.kid, self.kid_key = kids[order], key[order]
 
+    def _distance(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        d = np.bitwise_count(self.points[a] ^ self.points[b])
+        return d.astype(np.int64) if d.ndim == 1 else d.sum(1, dtype=np.int64)
+
     def links(self, radius: int, label: np.ndarray | None = None, most: int = 1 << 20, block: int = 4096):
         """Blocks of (query, node) pairs of equal shards within the radius; all points are queries.
 
@@ -118,9 +127,10 @@ class BKForest:
                         query = query[label[query] != lo + size[lo:hi].argmax()]
                         if not len(query):
                             break
-            yield from self._search(query, radius, most)
+            yield from self.search(query, radius, most)
 
-    def _search(self, query: np.ndarray, radius: int, most: int):
+    def search(self, query: np.ndarray, radius: int, most: int = 1 << 20):
+        """Blocks of (query, node) pairs of equal shards within the radius, for the points asked."""
         work = [(query, self.root[query])]
         while work:
             query, node = work.pop()
@@ -128,12 +138,12 @@ class BKForest:
                 half = len(query) // 2
                 work += [(query[:half], node[:half]), (query[half:], node[half:])]
                 continue
-            d = np.bitwise_count(self.points[query] ^ self.points[node]).astype(np.int64)
+            d = self._distance(query, node)
             near = (d <= radius) & (query != node)
             if near.any():
                 yield query[near], node[near]
-            lo = np.searchsorted(self.kid_key, node * 65 + np.maximum(d - radius, 0))
-            hi = np.searchsorted(self.kid_key, node * 65 + np.minimum(d + radius, 64), side="right")
+            lo = np.searchsorted(self.kid_key, node * (self.far + 1) + np.maximum(d - radius, 0))
+            hi = np.searchsorted(self.kid_key, node * (self.far + 1) + np.minimum(d + radius, self.far), side="right")
             width = hi - lo
             if width.any():
                 at = np.repeat(lo - np.concatenate(([0], np.cumsum(width)[:-1])), width) + np.arange(width.sum())
@@ -307,6 +317,18 @@ def bands(hashes: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+_WORDS = np.random.default_rng(SEED + 1).integers(0, 1 << 63, PRINT).astype(np.uint64)
+
+
+def set_print(hashes: np.ndarray) -> np.ndarray:
+    """SimHash of a shingle set, in PRINT words of 64 bits; of bits set in exactly half the shingles none is set."""
+    ones = np.zeros(64 * PRINT, np.int64)
+    for a in range(0, len(hashes), 1024):
+        own = _mixed(hashes[a : a + 1024, None] ^ _WORDS)
+        ones += np.unpackbits(own.view(np.uint8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)
+
+
 def _signature(shingle: int):
     @F.pandas_udf("struct<node:bigint,size:bigint,keys:array<bigint>>")
     def of(texts: pd.Series) -> pd.DataFrame:
@@ -325,67 +347,99 @@ def _signature(shingle: int):
 
 
 def _sets(shingle: int):
-    @F.pandas_udf("binary")
-    def of(texts: pd.Series) -> pd.Series:
-        found = pd.Series([shingle_set(t, shingle).tobytes() for t in texts], dtype=object)
+    @F.pandas_udf("struct<hashes:binary,print:binary>")
+    def of(texts: pd.Series) -> pd.DataFrame:
+        found = []
+        for t in texts:
+            own = shingle_set(t, shingle)
+            found.append((own.tobytes(), set_print(own).tobytes()))
         release_memory()
-        return found
+        return pd.DataFrame(found, columns=["hashes", "print"], dtype=object)
 
     return of.asNondeterministic()
 
 
-def set_links(sets: list[np.ndarray], label: np.ndarray | None = None, ask: np.ndarray | None = None, similar: tuple[int, int] = SIMILAR) -> np.ndarray:
-    """label[i]: a member of i's component under links of Jaccard similarity at least similar, by exact sets.
+def _in_common(own: np.ndarray, others: list[np.ndarray], mark: np.ndarray) -> np.ndarray:
+    """How many numbers each of the other sets shares with a set; mark is 0 for every number."""
+    ends = np.cumsum([len(s) for s in others])
+    mark[own] = 1
+    both = np.add.reduceat(mark[np.concatenate(others)], np.append(0, ends[:-1]))
+    mark[own] = 0
+    return both
+
+
+def set_links(sets: list[np.ndarray], label: np.ndarray | None = None, ask: np.ndarray | None = None, shard: np.ndarray | None = None, prints: np.ndarray | None = None) -> np.ndarray:
+    """label[i]: a member of i's component under links of Jaccard similarity at least SIMILAR within a shard (0, 1, ... in ascending order).
 
-    label may give components that are known already, ask the sets whose links are wanted (all of them otherwise).  A set is compared
-    with all others at once, unless it lies in the largest component and all sets outside that are asked; then their own
-    comparisons find all links between components."""
+    The BK-trees of the fingerprints find the pairs, exact sets decide on those of different components.  label may give components that
+    are known already, ask the sets whose links are wanted (all of them otherwise).  A set is asked unless all others of its shard were, or it
+    lies in the largest component there and all sets outside that are asked; then their own links join all components.  First one set of each
+    shard is asked, then twice as many each time, so that a large group is united before its members are asked."""
+    n, (p, q) = len(sets), SIMILAR
     size = np.array([len(s) for s in sets])
-    ends = np.cumsum(size)
+    label = np.arange(n) if label is None else label.copy()
+    ask = np.ones(n, bool) if ask is None else ask
+    shard = np.zeros(n, np.int64) if shard is None else shard
     values, at = np.unique(np.concatenate(sets), return_inverse=True)
-    mark = np.zeros(len(values), np.int64)
-    label = np.arange(len(sets)) if label is None else label.copy()
-    ask = np.ones(len(sets), bool) if ask is None else ask
-    open_ = ask.copy()
-    p, q = similar
+    numbers, mark = np.split(at, np.cumsum(size)[:-1]), np.zeros(len(values), np.int64)
+    forest = BKForest(shard, np.array([set_print(s) for s in sets]) if prints is None else prints)
+    first = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
+    last = np.append(first[1:], n)
+    asked, most = np.zeros(n, bool), 1
     while True:
-        outside = label != np.bincount(label).argmax()
-        left = np.flatnonzero(open_ & (outside | (outside & ~ask).any()))
-        if not len(left):
+        count = np.bincount(label, minlength=n)
+        largest = np.minimum.reduceat(np.where(count == np.maximum.reduceat(count, first)[shard], np.arange(n), n), first)
+        outside = label != largest[shard]
+        left = ask & ~asked & (outside | np.logical_or.reduceat(outside & ~ask, first)[shard])
+        left &= (np.add.reduceat((~asked).astype(np.int64), first) > 1)[shard]
+        rank = np.cumsum(left)
+        query = np.flatnonzero(left & (rank - (rank - left)[first][shard] <= most))
+        if not len(query):
             return label
-        i = left[0]
-        open_[i] = False
-        own = at[ends[i] - size[i] : ends[i]]
-        mark[own] = 1
-        both = np.add.reduceat(mark[at], ends - size)
-        mark[own] = 0
-        near = np.flatnonzero((p + q) * both >= p * (size + size[i]))  # both / (a + b - both) >= p / q
-        joined = np.unique(label[near])
-        label[np.isin(label, joined)] = joined[0]
+        turn = np.full(n, -1)  # a pair is decided once, by the set asked first
+        turn[~asked] = n
+        turn[query] = query
+        asked[query] = True
+        most *= 2
+        for a, b in forest.search(query, COPY_RADIUS, 1 << 18):
+            open_ = np.flatnonzero((label[a] != label[b]) & (turn[b] > turn[a]))
+            open_ = open_[np.argsort(a[open_], kind="stable")]
+            a, b = a[open_], b[open_]
+            start = np.flatnonzero(np.diff(a, prepend=-1))
+            for lo, hi in zip(start, np.append(start, len(a))[1:], strict=True):
+                i = a[lo]
+                near = b[lo:hi][label[b[lo:hi]] != label[i]]
+                if not len(near):
+                    continue
+                both = _in_common(numbers[i], [numbers[j] for j in near], mark)
+                near = near[(p + q) * both >= p * (size[near] + size[i])]  # both / (a + b - both) >= p / q
+                if len(near):
+                    joined = np.append(label[near], label[i])
+                    own = label[first[shard[i]] : last[shard[i]]]
+                    own[np.isin(own, joined)] = joined.min()
 
 
 def _exact_links(batches):
-    """(key, node, root, ask, hashes) sorted by key -> (u, v): links between members of components that meet in a shard."""
+    """(key, node, root, ask, hashes, print) sorted by key -> (u, v): links between members of components that meet in a shard."""
 
     def found(rows: list[tuple]) -> pd.DataFrame:
-        node, root, ask, sets = zip(*rows, strict=True)
-        node = np.array(node, np.int64)
-        _, first, of = np.unique(np.array(root, np.int64), return_index=True, return_inverse=True)
-        label = set_links([np.frombuffer(s, np.uint64) for s in sets], first[of], np.array(ask, bool))
+        key, node, root, ask, sets, prints = zip(*rows, strict=True)
+        key, node = np.array(key, np.int64), np.array(node, np.int64)
+        shard = np.cumsum(np.append(False, key[1:] != key[:-1]))
+        _, first, of = np.unique(np.stack([shard, np.array(root, np.int64)], 1), axis=0, return_index=True, return_inverse=True)
+        prints = np.frombuffer(b"".join(prints), np.uint64).reshape(-1, PRINT)
+        label = set_links([np.frombuffer(s, np.uint64) for s in sets], first[of.ravel()], np.array(ask, bool), shard, prints)
         moved = first[label[first] != first]
         return pd.DataFrame({"u": node[moved], "v": node[label[moved]]})
 
-    key, rows = None, []
+    rows, held = [], 0
     for b in batches:
-        out = []
-        for k, *row in zip(b["key"], b["node"], b["root"], b["ask"], b["hashes"], strict=True):
-            if k != key and rows:
-                out.append(found(rows))
-                rows = []
-            key = k
+        for row in zip(b["key"], b["node"], b["root"], b["ask"], b["hashes"], b["print"], strict=True):
+            if held >= 8 * FOREST_SHINGLES and row[0] != rows[-1][0]:
+                yield found(rows)
+                rows, held = [], 0
             rows.append(row)
-        if out:
-            yield pd.concat(out)
+            held += len(row[4])
     if rows:
         yield found(rows)
     release_memory()
@@ -394,7 +448,7 @@ def _exact_links(batches):
 def _compared(rows: DataFrame, sets: DataFrame) -> DataFrame:
     """Links of the shards in rows (key, node, root, ask)."""
     met = rows.join(sets, "node").repartition("key").sortWithinPartitions("key")
-    return met.select("key", "node", "root", "ask", "hashes").mapInPandas(_exact_links, "u bigint, v bigint")
+    return met.select("key", "node", "root", "ask", "hashes", "print").mapInPandas(_exact_links, "u bigint, v bigint")
 
 
 def _within_blocks(members: DataFrame, sets: DataFrame) -> DataFrame:
@@ -427,8 +481,8 @@ def _block_of(blocks: str):
 def near_copies(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = COPY_SHINGLE, block: int = BLOCK_SHINGLES) -> DataFrame:
     """(doc_id, text_hash, node, root) for each document row; root names the component of near copies.
 
-    Texts of equal shingle sets are one node.  Shards with the same members are worked once; a shard of over block
-    shingles is dealt out in blocks.  A block is worked by itself and with the shard's pivot, which unites most of a large group;
+    Texts of equal shingle sets are one node.  Links are found by the BK-trees of the nodes' fingerprints and confirmed by exact sets.
+    Shards with the same members are worked once; a shard of over block shingles is dealt out in blocks, each with a tree of its own.  A block is worked by itself and with the shard's pivot, which unites most of a large group;
     only the nodes that are left outside the shard's largest component then meet the other blocks."""
     prints = documents.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), _signature(shingle)(F.col(text).cast("binary")).alias("s"))
     prints = cut(prints.select("doc_id", "text_hash", "s.node", "s.size", "s.keys"))
@@ -440,8 +494,8 @@ def near_copies(documents: DataFrame, doc_id: str = "doc_id", text: str = "text"
     needed = members.select("node").distinct().join(nodes.select("node", "rep"), "node")
     needed = cut(needed.select("node", F.col("rep.doc_id").alias("__i"), F.col("rep.text_hash").alias("__h")))
     docs = documents.select(F.col(doc_id).alias("__d"), F.xxhash64(text).alias("__x"), F.col(text).cast("binary").alias("__t"))
-    met = docs.join(needed, F.col("__d").eqNullSafe(F.col("__i")) & (F.col("__x") == F.col("__h"))).select("node", _sets(shingle)("__t").alias("hashes"))
-    sets = cut(met.groupBy("node").agg(F.first("hashes").alias("hashes")))  # a row may be repeated as a whole
+    met = docs.join(needed, F.col("__d").eqNullSafe(F.col("__i")) & (F.col("__x") == F.col("__h"))).select("node", _sets(shingle)("__t").alias("s"))
+    sets = cut(met.groupBy("node").agg(F.first("s").alias("s")).select("node", "s.hashes", "s.print"))  # a row may be repeated as a whole
     linked = cut(components(_within_blocks(members, sets)))
     if not members.where("blocks > 1").isEmpty():
         links = _between_blocks(members, sets, linked)

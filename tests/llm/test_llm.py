@@ -759,6 +759,47 @@ def test_near_copies_set_links():
             assert len({*zip(root, got.tolist(), strict=True)}) == len(set(root)) == len(set(got.tolist()))
 
 
+def test_near_copies_trees(monkeypatch):
+    """Near copies of any size are found by the BK-trees of their fingerprints, in several shards at once; few other pairs reach the exact check."""
+    rng = random.Random(79)
+    sets, shard = [], []
+    for k in range(12):
+        for _ in range(8 if k % 3 else 1):
+            base = [rng.getrandbits(60) for _ in range(rng.choice((4, 9, 30, 400)))]
+            for _ in range(rng.randint(1, 6)):
+                one = base + [rng.getrandbits(60)] if len(base) == 4 and rng.random() < 0.5 else list(base)
+                for j in rng.sample(range(len(one)), rng.randint(0, len(one) // 8)):
+                    one[j] = rng.getrandbits(60)
+                sets.append(np.unique(np.array(one, np.uint64)))
+                shard.append(k)
+    shard, n = np.array(shard), len(sets)
+    same = [(i, j) for i, j in itertools.combinations(range(n), 2) if shard[i] == shard[j]]
+    both = {(i, j): len(set(sets[i].tolist()) & set(sets[j].tolist())) for i, j in same}
+    near = [(i, j) for i, j in same if 9 * both[i, j] >= 4 * (len(sets[i]) + len(sets[j]))]
+    prints = np.array([near_dups.set_print(s) for s in sets])
+    for s, own in zip(sets[:20], prints, strict=False):
+        hashes = [[int(x) for x in near_dups._mixed(np.array([v]) ^ near_dups._WORDS)] for v in s]
+        assert own.tolist() == [sum(1 << b for b in range(64) if 2 * sum(h[w] >> b & 1 for h in hashes) > len(s)) for w in range(4)]
+    close = lambda i, j: int(np.bitwise_count(prints[i] ^ prints[j]).sum()) <= near_dups.COPY_RADIUS
+    found = {(a, b) for q, v in near_dups.BKForest(shard, prints).search(np.arange(n), near_dups.COPY_RADIUS) for a, b in zip(q.tolist(), v.tolist(), strict=True)}
+    assert found == {x for i, j in same if close(i, j) for x in ((i, j), (j, i))}
+    assert len(near) > 50 and all(close(i, j) for i, j in near)
+    root = list(range(n))
+    for i, j in near:
+        root = [root[i] if r == root[j] else r for r in root]
+    checked, common = [], near_dups._in_common
+    monkeypatch.setattr(near_dups, "_in_common", lambda own, others, mark: checked.append(len(others)) or common(own, others, mark))
+    for given in (None, prints):
+        got = near_dups.set_links(sets, shard=shard, prints=given)
+        assert len({*zip(root, got.tolist(), strict=True)}) == len(set(root)) == len(set(got.tolist()))
+    assert sum(checked) < len(same) / 2
+    # a pair whose fingerprints are not within the radius is not compared
+    monkeypatch.setattr(near_dups, "COPY_RADIUS", 0)
+    checked.clear()
+    apart = np.random.default_rng(5).integers(0, 1 << 63, prints.shape).astype(np.uint64)
+    assert near_dups.set_links(sets, shard=shard, prints=apart).tolist() == list(range(n)) and not checked
+
+
 def test_near_copies_hot_group(spark):
     """A large group of near copies is united by its pivot: blocks do not meet in pairs."""
     rng = random.Random(73)
