@@ -2,10 +2,12 @@
 
 import random
 
+from oracle import SF
 from pyspark.sql import functions as F
 
 from notewarden.operators import corpus, search_index
-from notewarden.streaming import links
+from notewarden.plans import registry
+from notewarden.streaming import incremental, links
 
 NOTE = "path string, file string, text string"
 
@@ -52,3 +54,34 @@ def test_search_index(spark, tmp_path):
             assert [tuple(r) for r in search_index.search(spark, index, query, k).collect()] == want, query
     plan = search_index.bounds(spark, index, ["markov"])._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [bucket" in plan
+
+
+def test_search_index_keeps_words_once(spark, tmp_path):
+    """Letter groups are kept for each distinct word, not for each text, and words between marks are found by their parts."""
+    notes = spark.createDataFrame([(f"p{i}", f"f{i}.md", "the-thesis, (other)\nthe。Other" if i % 2 else "none") for i in range(40)], NOTE)
+    index = str(tmp_path / "index")
+    search_index.build(notes, index)
+    words = spark.read.parquet(f"{index}/words")
+    assert sorted(r.token for r in words.select("token").distinct().collect()) == ["none", "other", "the", "the-thesis"]
+    assert words.groupBy("gram", "token").count().where("count > 1").count() == 0
+    assert [tuple(r) for r in search_index.search(spark, index, "the hes", 7).collect()] == [tuple(r) for r in corpus.search(notes, "the hes", 7).collect()]
+
+
+def test_links_read_texts_once(spark, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(x):
+        read.add(1)
+        return x
+
+    notes = spark.createDataFrame([(f"n/{i}.md", f"{i}.md", f"[[{i + 1}.md]]") for i in range(6)], NOTE)
+    links.update(spark, str(tmp_path / "state"), notes.withColumn("text", seen.asNondeterministic()("text")))
+    assert read.value == 6 and links.dangling(spark, str(tmp_path / "state")).count() == 1
+
+
+def test_incremental_notes_compares_times_without_texts(spark, monkeypatch):
+    seen, process = [], incremental.process
+    monkeypatch.setattr(incremental, "process", lambda spark, notes, *rest: (seen.append(notes.columns), process(spark, notes, *rest)))
+    registry.queries()["incremental_notes"](spark, SF)
+    assert seen == [["k", "path", "mtime", "more"]] * 3
