@@ -66,3 +66,17 @@ def test_few_numbers_and_many_are_looked_up_alike(spark, monkeypatch, few):
     df = spark.createDataFrame([(["12", "3.5", "77", "2024", "99"], ["13.57", "1123", "77", "202"]), (["12"], []), ([], ["1.5"])], "m array<string>, t array<string>")
     got = df.select(quality.uncovered(F.col("m"), F.col("t")).alias("x")).collect()
     assert [r.x for r in got] == [["2024", "99"], ["12"], []]
+
+
+def test_near_miss_terms_read_texts_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(x):
+        read.add(1)
+        return x
+
+    pairs = spark.createDataFrame([(1, "一二三四五", "一二三四六"), (2, "甲乙丙丁", "x")], "k int, s string, n string")
+    found = quality.term_variants(pairs.withColumn("s", seen.asNondeterministic()("s")), "k", F.col("s"), F.col("n"))
+    assert [(r.k, r.variant) for r in found.collect()] == [(1, "一二三四六")]
+    assert read.value == 2
